@@ -4,7 +4,9 @@ Codes are strings (a leading zero counts), money and rates are decimals (binary
 grid), dates are dates.
 """
 
-from pyspark.sql import types as T
+from functools import cache
+
+from pyspark.sql.types import StructType
 
 LOAN = "LoanId"
 PERIOD = "MEPeriod"
@@ -45,5 +47,10 @@ _DDL = {
 }
 SNAPSHOTS = ("loan_master", "modification_master", "foreclosure_master", "borrower_master")
 
-SCHEMAS = {name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
-SCHEMAS |= {f"{name}_me": T.StructType.fromDDL(f"{_DDL[name]}, {PERIOD} int") for name in SNAPSHOTS}
+_DDL |= {f"{name}_me": f"{_DDL[name]}, {PERIOD} int" for name in SNAPSHOTS}
+TABLE_NAMES = tuple(_DDL)
+
+
+@cache
+def schema(name: str) -> StructType:
+    return StructType.fromDDL(_DDL[name])

@@ -5,12 +5,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.sources.schemas import PERIOD, SCHEMAS
+from scrubline.sources.schemas import PERIOD, TABLE_NAMES, schema
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """The declared columns in the declared types. A column already of its type is left alone, so filters push down."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema(name).fields])
 
 
 class Tables:
@@ -23,11 +23,11 @@ class Tables:
     @classmethod
     def in_directory(cls, spark: SparkSession, directory: str) -> "Tables":
         """One parquet dataset per table; the month-end ones are partitioned by period."""
-        return cls(spark, {name: f"{directory.rstrip('/')}/{name}" for name in SCHEMAS})
+        return cls(spark, {name: f"{directory.rstrip('/')}/{name}" for name in TABLE_NAMES})
 
     @classmethod
     def in_catalog(cls, spark: SparkSession, database: str) -> "Tables":
-        return cls(spark, {name: f"{database}.{name}" for name in SCHEMAS})
+        return cls(spark, {name: f"{database}.{name}" for name in TABLE_NAMES})
 
     def live(self, name: str) -> DataFrame:
         if name not in self._places:
