@@ -1,4 +1,4 @@
-"""The registered queries: each takes a session and a test-data directory and returns a lazy DataFrame."""
+"""The registered queries, as lazy DataFrames over the input tables (or, for two date checks, over the orders)."""
 
 from collections.abc import Callable
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scrubline.functions import derive, periods
 from scrubline.operators import enrich, population
+from scrubline.operators.skew import Skew, left_join
 from scrubline.plans.pipeline import derived, eligibility, screened_loans, source
 from scrubline.plans.variants import CURRENT, MONTH_END, Variant
 from scrubline.sources.fixtures import AS_OF, fixture_tables
@@ -14,6 +15,7 @@ from scrubline.sources.schemas import LOAN
 from scrubline.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
+TableQuery = Callable[[Tables], DataFrame]
 
 RUN_DATE = AS_OF
 MODIFICATION_DATES = (
@@ -47,7 +49,12 @@ def _commented(tables: Tables, code: str) -> DataFrame:
     return comments.filter(F.col("ReasonCode") == code).select(LOAN).distinct()
 
 
-def _both(tables: Tables, query: Callable[[Variant], DataFrame]) -> DataFrame:
+def _with_rows(tables: Tables, variant: Variant, rows: DataFrame) -> DataFrame:
+    """The variant's loan ids left-joined with one row set."""
+    return left_join(source(tables, variant, "loan_master", _run_date()).select(LOAN), {"rows": rows}, Skew())
+
+
+def _both(query: Callable[[Variant], DataFrame]) -> DataFrame:
     """A join of both variants, told apart by a column."""
     parts = [query(v).withColumn("Variant", F.lit(v.name)) for v in (CURRENT, MONTH_END)]
     return parts[0].unionByName(parts[1])
@@ -88,67 +95,52 @@ def loan_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def population_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loans = screened_loans(fixture_tables(spark, sf_dir), _run_date(), CURRENT)
+def population_current(tables: Tables) -> DataFrame:
+    loans = screened_loans(tables, _run_date(), CURRENT)
     return loans.select(LOAN, "InvestorId", "DelinquentStatusCodeId", "CurrentPrincipalBalanceAmt", "LoTypeId")
 
 
-def population_month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loans = screened_loans(fixture_tables(spark, sf_dir), _run_date(), MONTH_END)
+def population_month_end(tables: Tables) -> DataFrame:
+    loans = screened_loans(tables, _run_date(), MONTH_END)
     return loans.select(
         LOAN, "InvestorId", "DelinquentStatusCodeId", "LoanStatusId", "CurrentPrincipalBalanceAmt", "LoTypeId"
     )
 
 
-def loan_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = fixture_tables(spark, sf_dir)
+def loan_list(tables: Tables) -> DataFrame:
     loans = screened_loans(tables, _run_date(), CURRENT)
     return population.only_loans(loans, _commented(tables, LOAN_LIST_COMMENT)).select(LOAN, "InvestorId")
 
 
-def loan_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loan_type(tables: Tables) -> DataFrame:
     code = F.col("LoTypeId")
-    return _loans(spark, sf_dir).select(LOAN, code, derive.loan_type(code).alias("LoanType"))
+    return tables.live("loan_master").select(LOAN, code, derive.loan_type(code).alias("LoanType"))
 
 
-def source_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+def source_label(tables: Tables) -> DataFrame:
     investor = F.col("InvestorId")
-    return _loans(spark, sf_dir).select(LOAN, investor, derive.source_label(investor).alias("Source"))
+    return tables.live("loan_master").select(LOAN, investor, derive.source_label(investor).alias("Source"))
 
 
-def ssdil_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ssdil_status(tables: Tables) -> DataFrame:
     reason = F.col("LossMitDenialReasonCodeid")
-    return _loans(spark, sf_dir).select(LOAN, reason, derive.short_sale_status(reason).alias("SSDILStatus"))
+    return tables.live("loan_master").select(LOAN, reason, derive.short_sale_status(reason).alias("SSDILStatus"))
 
 
-def _loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture_tables(spark, sf_dir).live("loan_master")
-
-
-def loan_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = fixture_tables(spark, sf_dir)
+def loan_status(tables: Tables) -> DataFrame:
     return enrich.with_loan_status(tables.live("loan_master"), tables).select(LOAN, "LoanStatusId", "LoanStatus")
 
 
-def property_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = fixture_tables(spark, sf_dir)
-    return _both(
-        tables,
-        lambda v: source(tables, v, "loan_master", _run_date())
-        .select(LOAN)
-        .join(tables.live(v.property_table), LOAN, "left"),
-    )
+def property_state(tables: Tables) -> DataFrame:
+    return _both(lambda variant: _with_rows(tables, variant, tables.live(variant.property_table)))
 
 
-def _joined_source(name: str, *columns: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = fixture_tables(spark, sf_dir)
-        return _both(
-            tables,
-            lambda v: source(tables, v, "loan_master", _run_date())
-            .select(LOAN)
-            .join(source(tables, v, name, _run_date()).select(LOAN, *columns), LOAN, "left"),
-        )
+def _joined_source(name: str, *columns: str) -> TableQuery:
+    def query(tables: Tables) -> DataFrame:
+        def rows(variant: Variant) -> DataFrame:
+            return source(tables, variant, name, _run_date()).select(LOAN, *columns)
+
+        return _both(lambda variant: _with_rows(tables, variant, rows(variant)))
 
     return query
 
@@ -160,25 +152,20 @@ deceased_borrower = _joined_source(
 )
 
 
-def lossmit_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = fixture_tables(spark, sf_dir)
-    steps = tables.live("lossmitigation_step_transpose")
-    return tables.live("loan_master").select(LOAN).join(steps, LOAN, "left").select(LOAN, *STEP_DATES)
+def lossmit_steps(tables: Tables) -> DataFrame:
+    return _with_rows(tables, CURRENT, tables.live("lossmitigation_step_transpose"))
 
 
-def deceased_comment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = fixture_tables(spark, sf_dir)
-    return tables.live("loan_master").select(LOAN).join(enrich.deceased_comments(tables), LOAN, "left")
+def deceased_comment(tables: Tables) -> DataFrame:
+    return _with_rows(tables, CURRENT, enrich.deceased_comments(tables))
 
 
-def na_housing_184(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = fixture_tables(spark, sf_dir)
-    loans = tables.snapshot("loan_master", periods.me_period(_run_date())).select(LOAN)
-    return loans.join(enrich.native_housing_escrow(tables), LOAN, "left")
+def na_housing_184(tables: Tables) -> DataFrame:
+    return _with_rows(tables, MONTH_END, enrich.native_housing_escrow(tables))
 
 
-def va_refi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.va_refi(fixture_tables(spark, sf_dir)).select(
+def va_refi(tables: Tables) -> DataFrame:
+    return enrich.va_refi(tables).select(
         LOAN, "LoTypeId", "LoanPurposeCodeId", "LoanPurposeCodeDesc", "OriginalLoanToValueRatio"
     )
 
@@ -192,42 +179,41 @@ def _buyout(loans: DataFrame) -> DataFrame:
     )
 
 
-def buyout_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _buyout(_loans(spark, sf_dir))
+def buyout_rates(tables: Tables) -> DataFrame:
+    return _buyout(tables.live("loan_master"))
 
 
-def servicing_fee_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+def servicing_fee_check(tables: Tables) -> DataFrame:
     fee = F.col("Svcg Fee at Buyout")
-    return _buyout(_loans(spark, sf_dir)).select(LOAN, fee, derive.service_fee_check(fee).alias("Servicing Fee Check"))
+    checked = derive.service_fee_check(fee).alias("Servicing Fee Check")
+    return _buyout(tables.live("loan_master")).select(LOAN, fee, checked)
 
 
-def mod_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = fixture_tables(spark, sf_dir)
-    joined = tables.live("loan_master").join(tables.live("modification_master"), LOAN, "left")
+def mod_stage(tables: Tables) -> DataFrame:
+    joined = left_join(tables.live("loan_master"), {"modification": tables.live("modification_master")}, Skew())
     return derived(joined, _run_date()).select(
         LOAN, "LossMitStatusCodeid", "LossMitTemplateId", "StatusCurrent", "ModStage"
     )
 
 
-def eligibility_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eligibility(fixture_tables(spark, sf_dir), RUN_DATE, CURRENT)
+def eligibility_current(tables: Tables) -> DataFrame:
+    return eligibility(tables, RUN_DATE, CURRENT)
 
 
-def eligibility_month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eligibility(fixture_tables(spark, sf_dir), RUN_DATE, MONTH_END)
+def eligibility_month_end(tables: Tables) -> DataFrame:
+    return eligibility(tables, RUN_DATE, MONTH_END)
 
 
-def scrub_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eligibility_current(spark, sf_dir).select(LOAN, "ModStage", "SSDILStatus", "EligibilityScrub")
+def scrub_current(tables: Tables) -> DataFrame:
+    return eligibility_current(tables).select(LOAN, "ModStage", "SSDILStatus", "EligibilityScrub")
 
 
-def scrub_month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eligibility_month_end(spark, sf_dir).select(LOAN, "ModStage", "SSDILStatus", "EligibilityScrub")
+def scrub_month_end(tables: Tables) -> DataFrame:
+    return eligibility_month_end(tables).select(LOAN, "ModStage", "SSDILStatus", "EligibilityScrub")
 
 
-def _with_lists(variant: Variant) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = fixture_tables(spark, sf_dir)
+def _with_lists(variant: Variant) -> TableQuery:
+    def query(tables: Tables) -> DataFrame:
         lists = {name: _commented(tables, code) for name, code in LIST_COMMENTS.items()}
         report = eligibility(tables, RUN_DATE, variant, exclusion_lists=lists, excluded_trades=TRADES_LEFT_OUT)
         return report.select(LOAN, "TradeCollateral", "EligibilityScrub")
@@ -238,15 +224,23 @@ def _with_lists(variant: Variant) -> Query:
 exclusion_lists = _with_lists(CURRENT)
 exclusion_lists_month_end = _with_lists(MONTH_END)
 
-_ALL = (
-    period_params, population_current, population_month_end, loan_list, loan_type, source_label, loan_status,
-    property_state, mod_stage, ssdil_status, lossmit_steps, deceased_comment, na_housing_184, va_refi, buyout_rates,
-    servicing_fee_check, loan_age, scrub_current, scrub_month_end, eligibility_current, eligibility_month_end,
+_TABLE_QUERIES = (
+    population_current, population_month_end, loan_list, loan_type, source_label, loan_status, property_state,
+    mod_stage, ssdil_status, lossmit_steps, deceased_comment, na_housing_184, va_refi, buyout_rates,
+    servicing_fee_check, scrub_current, scrub_month_end, eligibility_current, eligibility_month_end,
 )
-QUERIES: dict[str, Query] = {query.__name__: query for query in _ALL} | {
+TABLE_QUERIES: dict[str, TableQuery] = {query.__name__: query for query in _TABLE_QUERIES} | {
     "join_modification": join_modification,
     "foreclosure_sale": foreclosure_sale,
     "deceased_borrower": deceased_borrower,
     "exclusion_lists": exclusion_lists,
     "exclusion_lists_month_end": exclusion_lists_month_end,
 }
+DATE_QUERIES: dict[str, Query] = {"period_params": period_params, "loan_age": loan_age}
+
+
+def _over_fixtures(query: TableQuery) -> Query:
+    return lambda spark, sf_dir: query(fixture_tables(spark, sf_dir))
+
+
+QUERIES = DATE_QUERIES | {name: _over_fixtures(query) for name, query in TABLE_QUERIES.items()}

@@ -9,12 +9,12 @@ Pieces come from a row number assigned at the table scan, not from ``rand()``: a
 each row into the same piece again.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.sources.schemas import LOAN
@@ -47,24 +47,20 @@ def find_hot_loans(row_sets: Mapping[str, DataFrame], skew: Skew) -> list[int |
     shuffle; ids are counted one by one only inside buckets over the limit, and normally there are none.
     """
     bucketed = _tagged_ids(row_sets).withColumn("bucket", F.pmod(F.xxhash64(LOAN), F.lit(skew.buckets)).cast("int"))
-    in_all = F.sum("count").over(Window.partitionBy("rows_of"))
-    limit = F.greatest(F.lit(skew.piece_rows).cast("double"), in_all * skew.share)
-    full = (
-        bucketed.groupBy("rows_of", "bucket")
-        .count()
-        .withColumn("limit", limit)
-        .filter(F.col("count") > F.col("limit"))
-        .select("rows_of", "bucket", "limit")
-        .collect()
-    )
-    if not full:
+    by_bucket = bucketed.groupBy("rows_of", "bucket").count()
+    fullest = by_bucket.groupBy("rows_of").agg(F.max("count").alias("most"), F.sum("count").alias("rows")).collect()
+    limits = {row["rows_of"]: max(skew.piece_rows, skew.share * row["rows"]) for row in fullest}
+    suspects = [(row["rows_of"], float(limits[row["rows_of"]])) for row in fullest if row["most"] > limits[row["rows_of"]]]
+    if not suspects:
         return []
-    full_buckets = bucketed.sparkSession.createDataFrame(full, "rows_of string, bucket int, limit double")
+    limited = bucketed.sparkSession.createDataFrame(suspects, "rows_of string, limit double")
+    over = F.col("count") > F.col("limit")
+    full_buckets = by_bucket.join(F.broadcast(limited), "rows_of").filter(over).drop("count")
     hot = (
         bucketed.join(F.broadcast(full_buckets), ["rows_of", "bucket"])
         .groupBy("rows_of", LOAN, "limit")
         .count()
-        .filter(F.col("count") > F.col("limit"))
+        .filter(over)
         .select(LOAN)
         .distinct()
         .collect()
@@ -78,20 +74,45 @@ def is_hot(hot: Sequence[int | None]) -> Column:
     return listed | F.col(LOAN).isNull() if None in hot else listed
 
 
-def left_join_all(loans: DataFrame, row_sets: Mapping[str, DataFrame]) -> DataFrame:
+def left_join(
+    loans: DataFrame,
+    row_sets: Mapping[str, DataFrame],
+    skew: Skew | None,
+    *,
+    searched: Mapping[str, DataFrame] | None = None,
+    prepare: Callable[[DataFrame], DataFrame] = lambda part: part,
+) -> DataFrame:
+    """``loans`` left-joined with every row set on the loan id.
+
+    Hot ids are looked for in ``loans`` and in ``searched`` (the row sets, unless given). ``prepare`` is applied to each
+    part of the loans after the split, before the joins. With ``skew`` None nothing is looked for or split.
+    """
+    hot: list[int | None] = []
+    if skew is not None:
+        hot = find_hot_loans({"": loans} | dict(row_sets if searched is None else searched), skew)
+    if not hot:
+        return _chain(prepare(loans), row_sets)
+    ordinary = {name: df.filter(~is_hot(hot)) for name, df in row_sets.items()}
+    seeded = prepare(_with_row_seed(loans.filter(is_hot(hot))))
+    return _chain(prepare(loans.filter(~is_hot(hot))), ordinary).unionByName(
+        _chain_in_pieces(seeded, row_sets, hot, skew)
+    )
+
+
+def _chain(loans: DataFrame, row_sets: Mapping[str, DataFrame]) -> DataFrame:
     for df in row_sets.values():
         loans = loans.join(df, LOAN, "left")
     return loans
 
 
-def with_row_seed(scan: DataFrame) -> DataFrame:
+def _with_row_seed(scan: DataFrame) -> DataFrame:
     return scan.withColumn("_seed", F.xxhash64(F.monotonically_increasing_id()))
 
 
-def left_join_all_in_pieces(
+def _chain_in_pieces(
     loans: DataFrame, row_sets: Mapping[str, DataFrame], hot: Sequence[int | None], skew: Skew
 ) -> DataFrame:
-    """``left_join_all`` for hot loans only. ``loans`` carries the ``_seed`` of ``with_row_seed``."""
+    """The chain for hot loans, each join on pieces. ``loans`` carries ``_seed``."""
     counted = _tagged_ids({"": loans} | dict(row_sets)).filter(is_hot(hot)).groupBy("rows_of", LOAN).count()
     counts = {(row["rows_of"], row[LOAN]): row["count"] for row in counted.collect()}
     left_rows = {loan: counts.get(("", loan), 0) for loan in hot}
@@ -102,9 +123,9 @@ def left_join_all_in_pieces(
             loan: (max(1, ceil(left_rows[loan] / skew.piece_rows)), max(1, ceil(right_rows[loan] / skew.piece_rows)))
             for loan in hot
         }
-        loans = _join_in_pieces(loans, with_row_seed(df.filter(is_hot(hot))), pieces)
+        loans = _join_in_pieces(loans, _with_row_seed(df.filter(is_hot(hot))), pieces)
         left_rows = {loan: left_rows[loan] * max(1, right_rows[loan]) for loan in hot}
-    return loans
+    return loans.drop("_seed")
 
 
 def _join_in_pieces(left: DataFrame, right: DataFrame, pieces: Mapping[int | None, tuple[int, int]]) -> DataFrame:

@@ -67,50 +67,48 @@ def _joined(
     limits: Skew | None,
     text: Text,
 ) -> DataFrame:
-    def prepared(part: DataFrame) -> DataFrame:
+    def prepare(part: DataFrame) -> DataFrame:
         return enrich.with_loan_status(population.only_loans(part, loan_ids), tables, text)
 
-    hot: list[int | None] = []
-    if limits is not None:
-        many = {name: row_sets[name] for name in _MANY_PER_LOAN}
-        many |= {"loans": loans, "va_refi": enrich.va_refi_rows(tables, text)}
-        hot = skew.find_hot_loans(many, limits)
-    if not hot:
-        return skew.left_join_all(prepared(loans), row_sets)
+    searched = {name: row_sets[name] for name in _MANY_PER_LOAN}
+    searched["va_refi"] = enrich.va_refi_rows(tables, text)
+    return skew.left_join(loans, row_sets, limits, searched=searched, prepare=prepare)
 
-    ordinary = {name: df.filter(~skew.is_hot(hot)) for name, df in row_sets.items()}
-    seeded = skew.with_row_seed(loans.filter(skew.is_hot(hot)))
-    in_pieces = skew.left_join_all_in_pieces(prepared(seeded), row_sets, hot, limits).drop("_seed")
-    return skew.left_join_all(prepared(loans.filter(~skew.is_hot(hot))), ordinary).unionByName(in_pieces)
+
+def derived(joined: DataFrame, run_date: Column, text: Text = Text()) -> DataFrame:
+    """Adds what the rules and several columns build on, each computed once."""
+    return joined.withColumns(
+        {
+            "ModStage": derive.modification_stage(run_date, text),
+            "SSDILStatus": derive.short_sale_status(F.col("LossMitDenialReasonCodeid"), text),
+            "PT at Buyout": derive.pass_through_rate(F.col("CurrentInterestRate"), F.col("FirstServiceFeeRt")),
+        }
+    )
 
 
-def derived(joined: DataFrame, run_date: Column, variant: Variant = CURRENT, text: Text = Text()) -> DataFrame:
-    """Adds the labels, stages, rates and constant columns."""
-    constants = {"MEPeriod": periods.me_period(run_date), "DateKey": periods.date_key(run_date)}
+def report_columns(run_date: Column, variant: Variant, scrub: Column, text: Text) -> dict[str, Column]:
+    """The report's columns that are not input columns of the same name."""
+    col = F.col
+    service_fee = derive.service_fee_at_buyout(col("CurrentInterestRate"), col("PT at Buyout"))
+    columns = {
+        "TradeCollateral": col("TradeId"),
+        "SFee": col("FirstServiceFeeRt"),
+        "DebentureRate": col("FHA_DebentureRt"),
+        "LoanType": derive.loan_type(col("LoTypeId"), text),
+        "Age": derive.loan_age(col("NoteDt"), run_date),
+        "EligibilityScrub": scrub,
+        "MEPeriod": periods.me_period(run_date),
+        "DateKey": periods.date_key(run_date),
+        "Svcg Fee at Buyout": service_fee,
+        "Source": derive.source_label(col("InvestorId"), text),
+        "Servicing Fee Check": derive.service_fee_check(service_fee),
+    }
     if variant.month_end:
-        constants["Next_Due_Date_Cutoff"] = periods.next_due_cutoff_pooled(run_date)
-        constants["Cutoff_1stOfMonth_Prev3Months"] = variant.sale_cutoff(run_date)
+        columns["Next_Due_Date_Cutoff"] = periods.next_due_cutoff_pooled(run_date)
+        columns["Cutoff_1stOfMonth_Prev3Months"] = variant.sale_cutoff(run_date)
     else:
-        constants["Cutoff_1stOfMonth_Prev2Months"] = variant.sale_cutoff(run_date)
-    rate, pass_through = F.col("CurrentInterestRate"), F.col("PT at Buyout")
-    return (
-        joined.withColumnsRenamed(
-            {"TradeId": "TradeCollateral", "FirstServiceFeeRt": "SFee", "FHA_DebentureRt": "DebentureRate"}
-        )
-        .withColumns(
-            {
-                "LoanType": derive.loan_type(F.col("LoTypeId"), text),
-                "ModStage": derive.modification_stage(run_date, text),
-                "SSDILStatus": derive.short_sale_status(F.col("LossMitDenialReasonCodeid"), text),
-                "Age": derive.loan_age(F.col("NoteDt"), run_date),
-                "Source": derive.source_label(F.col("InvestorId"), text),
-                "PT at Buyout": derive.pass_through_rate(rate, F.col("SFee")),
-                **constants,
-            }
-        )
-        .withColumn("Svcg Fee at Buyout", derive.service_fee_at_buyout(rate, pass_through))
-        .withColumn("Servicing Fee Check", derive.service_fee_check(F.col("Svcg Fee at Buyout")))
-    )
+        columns["Cutoff_1stOfMonth_Prev2Months"] = variant.sale_cutoff(run_date)
+    return columns
 
 
 def eligibility(
@@ -136,7 +134,7 @@ def eligibility(
     loans = screened_loans(tables, run_date, variant, text).drop("OriginalLoanToValueRatio", "LoanPurposeCodeId")
     loans = population.without_trades(loans, excluded_trades, text)
     row_sets = enrichments(tables, run_date, variant, exclusion_lists, text)
-    report = derived(_joined(tables, loans, row_sets, loan_ids, skew_limits, text), run_date, variant, text)
+    report = derived(_joined(tables, loans, row_sets, loan_ids, skew_limits, text), run_date, text)
     rules = exclusion_rules(
         month_end=variant.month_end,
         sale_cutoff=variant.sale_cutoff(run_date),
@@ -146,4 +144,5 @@ def eligibility(
         fixed_lists=fixed_lists,
         text=text,
     )
-    return report.withColumn("EligibilityScrub", first_match(rules)).select(*variant.columns)
+    made = report_columns(run_date, variant, first_match(rules), text)
+    return report.select([made[name].alias(name) if name in made else F.col(name) for name in variant.columns])

@@ -6,6 +6,7 @@ key. The WHERE parts leave loans without a matching row, which the left joins ne
 """
 
 import datetime as dt
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -174,28 +175,39 @@ def _lookup_values(name: str) -> str:
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The test tables as lazy DataFrames over one test-data directory."""
-    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    base = read("orders").selectExpr(*_aliased(_BASE))
-    customer = read("customer").selectExpr("c_custkey AS c", "c_nationkey AS n")
-    views = {
-        "base": base,
-        # Every order has its customer, so only the two property tables need this join.
-        "located": base.join(customer, "c"),
-        # A second, empty modification row for some loans: the join must multiply them.
-        "modified": base.selectExpr("*", "explode(CASE WHEN k%97=0 THEN array(0,1) ELSE array(0) END) AS extra"),
-        "lines": read("lineitem").selectExpr("*", f"{_loan_id.format('l_orderkey')} AS LoanId"),
-    }
-    tables: dict[str, DataFrame] = {}
-    for name, (view, where, columns) in TABLES.items():
-        tables[name] = views[view].where(where).selectExpr(*_aliased(columns))
-    for name in SNAPSHOTS:
-        live = tables[name]
-        tables[f"{name}_me"] = live.withColumn(PERIOD, F.lit(FIXTURE_PERIOD)).unionByName(
-            live.filter("LoanId%3=0").withColumn(PERIOD, F.lit(EARLIER_PERIOD))
+
+    @cache
+    def view(name: str) -> DataFrame:
+        read = lambda file: spark.read.parquet(f"{sf_dir}/{file}.parquet")
+        match name:
+            case "base":
+                return read("orders").selectExpr(*_aliased(_BASE))
+            case "located":
+                # Every order has its customer, so only the two property tables need this join.
+                return view("base").join(read("customer").selectExpr("c_custkey AS c", "c_nationkey AS n"), "c")
+            case "modified":
+                # A second, empty modification row for some loans: the join must multiply them.
+                extra = "explode(CASE WHEN k%97=0 THEN array(0,1) ELSE array(0) END) AS extra"
+                return view("base").selectExpr("*", extra)
+            case "lines":
+                return read("lineitem").selectExpr("*", f"{_loan_id.format('l_orderkey')} AS LoanId")
+
+    def live(name: str) -> DataFrame:
+        if name in LOOKUPS:
+            return spark.sql(_lookup_values(name))
+        source, where, columns = TABLES[name]
+        return view(source).where(where).selectExpr(*_aliased(columns))
+
+    def month_end(name: str) -> DataFrame:
+        rows = tables.live(name)
+        return rows.withColumn(PERIOD, F.lit(FIXTURE_PERIOD)).unionByName(
+            rows.filter("LoanId%3=0").withColumn(PERIOD, F.lit(EARLIER_PERIOD))
         )
-    for name in LOOKUPS:
-        tables[name] = spark.sql(_lookup_values(name))
-    return Tables(spark, tables)
+
+    places = {name: partial(live, name) for name in (*TABLES, *LOOKUPS)}
+    places |= {f"{name}_me": partial(month_end, name) for name in SNAPSHOTS}
+    tables = Tables(spark, places)
+    return tables
 
 
 def fixture_ctes(*names: str) -> str:

@@ -1,6 +1,6 @@
 """The input tables by name, wherever they live."""
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,15 +10,22 @@ from scrubline.sources.schemas import PERIOD, TABLE_NAMES, schema
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """The declared columns in the declared types. A column already of its type is left alone, so filters push down."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema(name).fields])
+    return df.to(schema(name))
+
+
+Place = str | DataFrame | Callable[[], DataFrame]
 
 
 class Tables:
-    """Maps a table name to a DataFrame, a parquet path (anything with a slash) or a catalog table."""
+    """Maps a table name to a parquet path (anything with a slash), a catalog table, a DataFrame or a maker of one.
 
-    def __init__(self, spark: SparkSession, places: Mapping[str, str | DataFrame]):
+    A table is opened once, so every use of it in a report sees the same files.
+    """
+
+    def __init__(self, spark: SparkSession, places: Mapping[str, Place]):
         self.spark = spark
         self._places = dict(places)
+        self._opened: dict[str, DataFrame] = {}
 
     @classmethod
     def in_directory(cls, spark: SparkSession, directory: str) -> "Tables":
@@ -30,12 +37,17 @@ class Tables:
         return cls(spark, {name: f"{database}.{name}" for name in TABLE_NAMES})
 
     def live(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = conform(self._open(name), name)
+        return self._opened[name]
+
+    def _open(self, name: str) -> DataFrame:
         if name not in self._places:
             raise KeyError(f"no place given for table {name}")
         place = self._places[name]
-        if isinstance(place, str):
-            place = self.spark.read.parquet(place) if "/" in place else self.spark.table(place)
-        return conform(place, name)
+        if not isinstance(place, str):
+            return place if isinstance(place, DataFrame) else place()
+        return self.spark.read.parquet(place) if "/" in place else self.spark.table(place)
 
     def snapshot(self, name: str, period: Column) -> DataFrame:
         """One period of a month-end table. The period is a literal, so partitions are pruned without a join on it."""

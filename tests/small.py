@@ -3,6 +3,9 @@
 import datetime as dt
 from decimal import Decimal
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from scrubline.sources.schemas import TABLE_NAMES, schema
 from scrubline.sources.tables import Tables
 
@@ -41,8 +44,8 @@ def small_tables(spark, rows: dict[str, list[dict]]) -> Tables:
         if given is None and name.endswith("_me"):
             given = [row | {"MEPeriod": PERIOD} for row in rows.get(name.removesuffix("_me"), [])]
         fields = schema(name)
-        data = [tuple(row.get(f.name) for f in fields) for row in given or []]
-        places[name] = spark.createDataFrame(data, fields)
+        data = [{f.name: row.get(f.name) for f in fields} for row in given or []]
+        places[name] = spark.createDataFrame(pa.Table.from_pylist(data, to_arrow_schema(fields)))
     return Tables(spark, places)
 
 
