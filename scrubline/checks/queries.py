@@ -190,8 +190,8 @@ def servicing_fee_check(tables: Tables) -> DataFrame:
 
 
 def mod_stage(tables: Tables) -> DataFrame:
-    joined = left_join(tables.live("loan_master"), {"modification": tables.live("modification_master")}, Skew())
-    return derived(joined, _run_date()).select(
+    rows = enrich.modifications(tables.live("modification_master"), _run_date())
+    return derived(left_join(tables.live("loan_master"), {"modification": rows}, Skew())).select(
         LOAN, "LossMitStatusCodeid", "LossMitTemplateId", "StatusCurrent", "ModStage"
     )
 

@@ -84,28 +84,37 @@ def service_fee_check(service_fee: Column) -> Column:
     return F.when(service_fee > F.lit(HIGH_SERVICE_FEE), HIGH_FEE_WARNING).otherwise("")
 
 
-def modification_stage(as_of: Column, text: Text = Text()) -> Column:
-    """How far a loan modification has come; first match wins, null when nothing matches.
-
-    A null template matches neither of the template tests, so such a loan goes on to the workflow dates.
-    """
-    status, template = F.col("LossMitStatusCodeid"), F.col("LossMitTemplateId")
-    is_mod = text.contains(template, "mod")
-    finished_lately = F.datediff(as_of, F.col("StatusCompleted")) < FINAL_MOD_DAYS
+def workflow_stage(text: Text = Text()) -> Column:
+    """How far a modification has come by its own dates and status; first match wins, null when nothing matches."""
     has = lambda name: F.col(name).isNotNull()
-
-    no_open_mod = status.isNull() | (text.isin(status, ("R", "C")) & is_mod) | ~is_mod
     at_final_documents = (
         has("StatusFinalDocumentsToBeReceived")
         | has("StatusFinalDocumentsReceivedInReview")
         | text.isin(F.col("StatusCurrent"), FINAL_DOCUMENT_STATUSES)
     )
     return (
-        F.when(text.equals(status, "C") & is_mod & finished_lately, FINAL_MOD)
-        .when(no_open_mod, "")
-        .when(at_final_documents, FINAL_MOD)
+        F.when(at_final_documents, FINAL_MOD)
         .when(has("Verify4thTrialPaymentReceivedDt") | has("Verify3rdTrialPaymentReceivedDt"), THIRD_TRIAL)
         .when(has("Verify2ndTrialPaymentReceivedDt"), SECOND_TRIAL)
         .when(has("VerifyFirstTrialPaymentReceivedDt"), FIRST_TRIAL)
         .when(has("statusApprovedSendTrialPackage") | has("StatusTrialToBeAccepted"), TRIAL_OFFERED)
     )
+
+
+def finished_lately(as_of: Column) -> Column:
+    return F.datediff(as_of, F.col("StatusCompleted")) < FINAL_MOD_DAYS
+
+
+def modification_stage(text: Text = Text()) -> Column:
+    """The loan's stage from its loss-mitigation codes and its modification's ``FinishedLately`` and ``WorkflowStage``.
+
+    A null template matches neither of the template tests, so such a loan goes on to the workflow.
+    """
+    status = F.col("LossMitStatusCodeid")
+    is_mod = text.contains(F.col("LossMitTemplateId"), "mod")
+    no_open_mod = status.isNull() | (text.isin(status, ("R", "C")) & is_mod) | ~is_mod
+    return (
+        F.when(text.equals(status, "C") & is_mod & F.col("FinishedLately"), FINAL_MOD)
+        .when(no_open_mod, "")
+        .otherwise(F.col("WorkflowStage"))
+    )

@@ -4,7 +4,7 @@ Trailing blanks never count; letter case does not count unless ``case_sensitive`
 raw text: these only build predicates and join keys.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -42,25 +42,42 @@ class Text:
     def contains(self, column: Column, piece: str) -> Column:
         return column.like(f"%{piece}%") if self.case_sensitive else column.ilike(f"%{piece}%")
 
-    def scan_isin(self, column: Column, values: Sequence[str]) -> Column:
-        """``isin`` plus a wider test on the raw column that parquet can apply at the scan.
+    def wide_isin(self, column: Column, values: Sequence[str]) -> Column:
+        """A wider ``isin`` on the raw column that parquet can apply at the scan.
 
         A value equal after trimming and case folding begins with one of the spellings, so no row is lost.
         """
         spellings = sorted({s for v in values for s in self._spellings(v.rstrip(" "))})
-        return reduce(or_, [column.startswith(s) for s in spellings]) & self.isin(column, values)
+        return reduce(or_, [column.startswith(s) for s in spellings])
 
-    def scan_between(self, column: Column, low: str, high: str) -> Column:
-        """``between`` for digit bounds, with a wider raw range that parquet can apply at the scan.
+    def wide_between(self, column: Column, low: str, high: str) -> Column:
+        """A wider ``between`` for digit bounds on the raw column that parquet can apply at the scan.
 
         Blanks sort below digits, so 'high' padded with blanks stays below the next value after it.
         """
         if not (low.isdigit() and high.isdigit()):
-            raise ValueError("scan_between takes bounds made of digits")
+            raise ValueError("wide_between takes bounds made of digits")
         after_high = high[:-1] + chr(ord(high[-1]) + 1)
-        return (column >= low) & (column < after_high) & self.between(column, low, high)
+        return (column >= low) & (column < after_high)
+
+    def at_scan(self, condition: Callable[["Text"], Column]) -> Column:
+        """A condition built from positive ``isin`` and ``between`` tests, preceded by its wider, pushable form.
+
+        The wide form is a conjunct of its own: inside an OR, one part that parquet cannot apply holds back the rest.
+        """
+        return condition(_Wide(self.case_sensitive)) & condition(self)
 
     def _spellings(self, value: str) -> set[str]:
         if self.case_sensitive:
             return {value}
         return {"".join(letters) for letters in product(*[{ch.lower(), ch.upper()} for ch in value])}
+
+
+class _Wide(Text):
+    """Text tests in their wide forms."""
+
+    def isin(self, column: Column, values: Sequence[str]) -> Column:
+        return self.wide_isin(column, values)
+
+    def between(self, column: Column, low: str, high: str) -> Column:
+        return self.wide_between(column, low, high)

@@ -1,5 +1,7 @@
-"""What is joined to a loan. Each function returns one row set keyed by loan id, pruned to the columns used.
+"""What is joined to a loan. Each function returns one row set keyed by loan id.
 
+A row set is cut down before its shuffle: whatever depends on its own columns alone is computed at its scan, and only the
+result is joined, so neither the shuffle nor the joins after it carry a column that no rule or output needs.
 Nothing here is deduplicated unless the report itself does so: two modification rows make two report rows.
 """
 
@@ -8,12 +10,16 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scrubline.functions import derive
 from scrubline.functions.text import Text
 from scrubline.sources.schemas import LOAN
 from scrubline.sources.tables import Tables
 
 # Codes and thresholds.
 DECEASED_COMMENT = "001"
+DECEASED_CONSUMER = "X"
+SHORT_SALE_STEPS = ("G58_Date", "R33_Date")
+DEED_IN_LIEU_STEPS = ("L49_Date", "G59_Date", "L50_Date", "G60_Date")
 NATIVE_HOUSING_SECTION = "184"
 VA_TYPE = "2"
 REFI_PURPOSES = ("5", "6", "7")
@@ -29,11 +35,34 @@ def with_loan_status(loans: DataFrame, tables: Tables, text: Text = Text()) -> D
     return loans.join(lookup, text.key(F.col("LoanStatusId")) == F.col("_status_key"), "left").drop("_status_key")
 
 
+def modifications(rows: DataFrame, run_date: Column, text: Text = Text()) -> DataFrame:
+    return rows.select(
+        LOAN,
+        "StatusCurrent",
+        derive.finished_lately(run_date).alias("FinishedLately"),
+        derive.workflow_stage(text).alias("WorkflowStage"),
+    )
+
+
+def claim_steps(tables: Tables) -> DataFrame:
+    """Whether a loan has any step date of a short-sale or a deed-in-lieu claim."""
+    any_date = lambda names: F.coalesce(*names).isNotNull()
+    return tables.live("lossmitigation_step_transpose").select(
+        LOAN, any_date(SHORT_SALE_STEPS).alias("ShortSaleClaim"), any_date(DEED_IN_LIEU_STEPS).alias("DeedInLieuClaim")
+    )
+
+
+def deceased_borrowers(rows: DataFrame, text: Text = Text()) -> DataFrame:
+    """Whether either borrower is marked as deceased. Rows stay one to one."""
+    one, two = (text.equals(F.col(f"Borrower{n}ConsumerInfoCodeId"), DECEASED_CONSUMER) for n in ("One", "Two"))
+    return rows.select(LOAN, (one | two).alias("BorrowerDeceased"))
+
+
 def deceased_comments(tables: Tables, text: Text = Text()) -> DataFrame:
     """Loans with a deceased comment, once each, however many comments a loan has (counted down before the shuffle)."""
     return (
         tables.live("collection_commentactivity")
-        .filter(text.scan_isin(F.col("ReasonCode"), (DECEASED_COMMENT,)))
+        .filter(text.at_scan(lambda t: t.isin(F.col("ReasonCode"), (DECEASED_COMMENT,))))
         .select(LOAN)
         .distinct()
         .withColumn("ReasonCode", F.lit(DECEASED_COMMENT))
@@ -45,7 +74,7 @@ def native_housing_escrow(tables: Tables, text: Text = Text()) -> DataFrame:
     code = "MortgageInsuranceFHASectionADPCode"
     return (
         tables.live("escrow_master")
-        .filter(text.scan_isin(F.col(code), (NATIVE_HOUSING_SECTION,)))
+        .filter(text.at_scan(lambda t: t.isin(F.col(code), (NATIVE_HOUSING_SECTION,))))
         .select(LOAN)
         .distinct()
         .withColumn(code, F.lit(NATIVE_HOUSING_SECTION))
@@ -54,9 +83,9 @@ def native_housing_escrow(tables: Tables, text: Text = Text()) -> DataFrame:
 
 def _is_va_refi(text: Text) -> Column:
     return (
-        text.scan_isin(F.col("LoTypeId"), (VA_TYPE,))
+        text.isin(F.col("LoTypeId"), (VA_TYPE,))
         & (F.col("OriginalLoanToValueRatio") > F.lit(REFI_LTV))
-        & text.scan_isin(F.col("LoanPurposeCodeId"), REFI_PURPOSES)
+        & text.isin(F.col("LoanPurposeCodeId"), REFI_PURPOSES)
     )
 
 
@@ -64,7 +93,7 @@ def va_refi_rows(tables: Tables, text: Text = Text()) -> DataFrame:
     """Live VA loans refinanced at a high loan-to-value ratio."""
     return (
         tables.live("loan_master")
-        .filter(_is_va_refi(text))
+        .filter(text.at_scan(_is_va_refi))
         .select(
             LOAN,
             F.rtrim("LoTypeId").alias("LoTypeId"),

@@ -19,37 +19,45 @@ NO_BALANCE = Decimal("0.01")
 
 
 def _delinquent(text: Text, codes: Sequence[str]) -> Column:
-    return text.scan_isin(F.col("DelinquentStatusCodeId"), codes)
+    return text.isin(F.col("DelinquentStatusCodeId"), codes)
 
 
 def _pooled(text: Text) -> Column:
-    return text.scan_between(F.col("InvestorId"), *POOLED_INVESTORS)
+    return text.between(F.col("InvestorId"), *POOLED_INVESTORS)
 
 
 def _balance_sheet(text: Text) -> Column:
-    return text.scan_isin(F.col("InvestorId"), BALANCE_SHEET_INVESTORS)
+    return text.isin(F.col("InvestorId"), BALANCE_SHEET_INVESTORS)
 
 
 def _insured_with_balance(text: Text) -> Column:
-    return (F.col("CurrentPrincipalBalanceAmt") > F.lit(NO_BALANCE)) & text.scan_isin(F.col("LoTypeId"), INSURED_TYPES)
+    return (F.col("CurrentPrincipalBalanceAmt") > F.lit(NO_BALANCE)) & text.isin(F.col("LoTypeId"), INSURED_TYPES)
 
 
-def current_population(text: Text = Text()) -> Column:
-    """Delinquent pooled or balance-sheet loans that are insured and carry a balance."""
+def _current(text: Text) -> Column:
     pooled = _delinquent(text, POOLED_DELINQUENCY) & _pooled(text)
     balance_sheet = _delinquent(text, BALANCE_SHEET_DELINQUENCY) & _balance_sheet(text)
     return (pooled | balance_sheet) & _insured_with_balance(text)
 
 
+def _month_end(text: Text) -> Column:
+    status_open = text.isin(F.col("LoanStatusId"), OPEN_STATUSES)
+    pooled = _delinquent(text, POOLED_DELINQUENCY) & _pooled(text) & status_open
+    return pooled | (_balance_sheet(text) & _insured_with_balance(text))
+
+
+def current_population(text: Text = Text()) -> Column:
+    """Delinquent pooled or balance-sheet loans that are insured and carry a balance."""
+    return text.at_scan(_current)
+
+
 def month_end_population(text: Text = Text()) -> Column:
     """The month-end report's filter as AND-before-OR really binds it.
 
     Pooled loans are tested for delinquency and status but not for balance or type; balance-sheet loans the other way
     round. Kept as it is: the result has to match.
     """
-    status_open = text.scan_isin(F.col("LoanStatusId"), OPEN_STATUSES)
-    pooled = _delinquent(text, POOLED_DELINQUENCY) & _pooled(text) & status_open
-    return pooled | (_balance_sheet(text) & _insured_with_balance(text))
+    return text.at_scan(_month_end)
 
 
 def only_loans(loans: DataFrame, loan_ids: DataFrame | Iterable[int] | None) -> DataFrame:

@@ -17,7 +17,7 @@ from scrubline.functions.derive import (
     is_pooled,
 )
 from scrubline.functions.text import Text
-from scrubline.operators.enrich import DECEASED_COMMENT, NATIVE_HOUSING_SECTION, REFI_LTV, REFI_PURPOSES, VA_TYPE
+from scrubline.operators.enrich import VA_TYPE
 from scrubline.sources.schemas import LOAN
 
 # Thresholds, codes and listed loans of the rules.
@@ -76,32 +76,21 @@ def exclusion_rules(
     """The rules of a variant, in order. Tests on a null are unknown, and an unknown test is no match."""
     col = F.col
 
-    def any_date(*names: str) -> Column:
-        return F.coalesce(*[col(n) for n in names]).isNotNull()
-
     def from_list(name: str) -> list[Rule]:
         return [Rule(f"list_{name}", col(list_flag(name)), LIST_REASONS[name])] if name in lists else []
 
     loss_mit_active = text.equals(col("LossMitStatusCodeid"), "A")
     template, stage = col("LossMitTemplateId"), col("ModStage")
-    deceased = (
-        text.equals(col("ReasonCode"), DECEASED_COMMENT)
-        | text.equals(col("BorrowerOneConsumerInfoCodeId"), "X")
-        | text.equals(col("BorrowerTwoConsumerInfoCodeId"), "X")
-    )
-    refi = (
-        text.equals(col("LoTypeId"), VA_TYPE)
-        & (col("OriginalLoanToValueRatio") > F.lit(REFI_LTV))
-        & text.isin(col("Loanpurposecodeid"), REFI_PURPOSES)
-    )
+    # The comment, escrow and refinance rows are filtered where they are read, so a row joined is a match.
+    deceased = col("ReasonCode").isNotNull() | col("BorrowerDeceased")
+    refi = text.equals(col("LoTypeId"), VA_TYPE) & col("Loanpurposecodeid").isNotNull()
 
     rules = [
         Rule("paid_in_full", text.differs(col("PayoffStopCodeId"), "0"), "PIF"),
         Rule("native_loan", text.equals(col("NativeAmericanLoanFlag"), "1"), "NAHousing"),
     ]
     if month_end:
-        section = col("MortgageInsuranceFHASectionADPCode")
-        rules.append(Rule("native_section", text.equals(section, NATIVE_HOUSING_SECTION), "NAHousing"))
+        rules.append(Rule("native_section", col("MortgageInsuranceFHASectionADPCode").isNotNull(), "NAHousing"))
     rules += [
         Rule("va_refi", refi, "VA_Refi"),
         *from_list("collateral"),
@@ -124,14 +113,12 @@ def exclusion_rules(
         Rule("short_sale_done", col("SSDILStatus") == SHORT_SALE_DONE, SHORT_SALE_DONE),
         Rule(
             "short_sale_claim",
-            loss_mit_active & text.isin(template, SHORT_SALE_TEMPLATES) & any_date("G58_Date", "R33_Date"),
+            loss_mit_active & text.isin(template, SHORT_SALE_TEMPLATES) & col("ShortSaleClaim"),
             "Short Sale Claim Completed",
         ),
         Rule(
             "deed_in_lieu_claim",
-            loss_mit_active
-            & text.isin(template, DEED_IN_LIEU_TEMPLATES)
-            & any_date("L49_Date", "G59_Date", "L50_Date", "G60_Date"),
+            loss_mit_active & text.isin(template, DEED_IN_LIEU_TEMPLATES) & col("DeedInLieuClaim"),
             "DIL Claim Completed",
         ),
         Rule("foreclosed", col("SaleDt").isNotNull() | (col("ScheduledSaleDt") >= sale_cutoff), "FCSale"),

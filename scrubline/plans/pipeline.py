@@ -38,12 +38,12 @@ def enrichments(
         LOAN, "OriginalLoanToValueRatio", F.col("LoanPurposeCodeId").alias("Loanpurposecodeid")
     )
     row_sets = {
-        "modification": source(tables, variant, "modification_master", run_date),
+        "modification": enrich.modifications(source(tables, variant, "modification_master", run_date), run_date, text),
         "property": tables.live(variant.property_table),
         "foreclosure": source(tables, variant, "foreclosure_master", run_date),
-        "loss_mitigation": tables.live("lossmitigation_step_transpose"),
+        "loss_mitigation": enrich.claim_steps(tables),
         "comment": enrich.deceased_comments(tables, text),
-        "borrower": source(tables, variant, "borrower_master", run_date),
+        "borrower": enrich.deceased_borrowers(source(tables, variant, "borrower_master", run_date), text),
         "va_refi": refi,
     }
     if variant.month_end:
@@ -75,11 +75,11 @@ def _joined(
     return skew.left_join(loans, row_sets, limits, searched=searched, prepare=prepare)
 
 
-def derived(joined: DataFrame, run_date: Column, text: Text = Text()) -> DataFrame:
+def derived(joined: DataFrame, text: Text = Text()) -> DataFrame:
     """Adds what the rules and several columns build on, each computed once."""
     return joined.withColumns(
         {
-            "ModStage": derive.modification_stage(run_date, text),
+            "ModStage": derive.modification_stage(text),
             "SSDILStatus": derive.short_sale_status(F.col("LossMitDenialReasonCodeid"), text),
             "PT at Buyout": derive.pass_through_rate(F.col("CurrentInterestRate"), F.col("FirstServiceFeeRt")),
         }
@@ -134,7 +134,7 @@ def eligibility(
     loans = screened_loans(tables, run_date, variant, text).drop("OriginalLoanToValueRatio", "LoanPurposeCodeId")
     loans = population.without_trades(loans, excluded_trades, text)
     row_sets = enrichments(tables, run_date, variant, exclusion_lists, text)
-    report = derived(_joined(tables, loans, row_sets, loan_ids, skew_limits, text), run_date, text)
+    report = derived(_joined(tables, loans, row_sets, loan_ids, skew_limits, text), text)
     rules = exclusion_rules(
         month_end=variant.month_end,
         sale_cutoff=variant.sale_cutoff(run_date),

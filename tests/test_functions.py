@@ -68,16 +68,16 @@ def test_investor_text_range(spark, investor, pooled):
     value = F.lit(investor).cast("string")
     assert one(spark, derive.is_pooled(value)) is pooled
     # The wider test for the scan must not change the answer.
-    assert one(spark, Text().scan_between(value, "400", "498")) is pooled
+    assert one(spark, Text().at_scan(lambda text: derive.is_pooled(value, text))) is pooled
 
 
 @pytest.mark.parametrize("case_sensitive", [False, True])
 @pytest.mark.parametrize("value", ["F", "f", "F  ", "f ", " F", "FF", "2", "2 ", "22", "", None])
-def test_scan_isin_equals_isin(spark, value, case_sensitive):
+def test_isin_at_scan_equals_isin(spark, value, case_sensitive):
     text, codes = Text(case_sensitive), ("2", "F")
     column = F.lit(value).cast("string")
     plain = one(spark, text.isin(column, codes))
-    assert one(spark, text.scan_isin(column, codes)) is plain
+    assert one(spark, text.at_scan(lambda t: t.isin(column, codes))) is plain
     spelled = {None: None, "F": True, "F  ": True, "2": True, "2 ": True}
     if value in ("f", "f "):
         assert plain is not case_sensitive
@@ -87,7 +87,7 @@ def test_scan_isin_equals_isin(spark, value, case_sensitive):
 
 def test_text_spellings_cover_mixed_case(spark):
     for value in ("hafs", "HAFS", "HaFs "):
-        assert one(spark, Text().scan_isin(F.lit(value), ("HAFS",))) is True
+        assert one(spark, Text().wide_isin(F.lit(value), ("HAFS",))) is True
 
 
 def test_text_template(spark):
@@ -185,12 +185,15 @@ STAGE_CASES = [
 ]
 
 
+def with_stage(df, as_of):
+    own = {"FinishedLately": derive.finished_lately(F.lit(as_of)), "WorkflowStage": derive.workflow_stage()}
+    return df.withColumns(own).withColumn("stage", derive.modification_stage())
+
+
 def test_modification_stage(spark):
     schema = "i int, " + ", ".join(f"{c} {t}" for c, t in STAGE_COLUMNS.items())
     rows = [(i, *[case.get(c) for c in STAGE_COLUMNS]) for i, (case, _) in enumerate(STAGE_CASES)]
-    staged = spark.createDataFrame(rows, schema).select(
-        "i", derive.modification_stage(F.lit(dt.date(2001, 8, 31))).alias("stage")
-    )
+    staged = with_stage(spark.createDataFrame(rows, schema), dt.date(2001, 8, 31)).select("i", "stage")
     found = {row["i"]: row["stage"] for row in staged.collect()}
     assert found == {i: stage for i, (_, stage) in enumerate(STAGE_CASES)}
 
@@ -202,5 +205,5 @@ def test_final_document_texts(spark):
     ]
     schema = ", ".join(f"{c} {t}" for c, t in STAGE_COLUMNS.items())
     rows = [tuple((OPEN | {"StatusCurrent": t}).get(c) for c in STAGE_COLUMNS) for t in texts]
-    df = spark.createDataFrame(rows, schema).select(derive.modification_stage(F.lit(DAY)).alias("stage"))
+    df = with_stage(spark.createDataFrame(rows, schema), DAY)
     assert [row["stage"] for row in df.collect()] == [FINAL] * len(texts)
