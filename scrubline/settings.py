@@ -1,0 +1,22 @@
+"""Session settings the reports are tuned for; every one is a runtime setting of Spark SQL.
+
+Nothing depends on them for right results.
+"""
+
+from pyspark.sql import SparkSession
+
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # With every partition of a joined row set under this size, a join hashes it and needs no sort; adaptive execution
+    # checks the real sizes and sort-merges otherwise. Must not be below the advisory partition size to take effect.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+}
+
+
+def apply(spark: SparkSession) -> SparkSession:
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
