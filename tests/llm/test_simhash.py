@@ -1,0 +1,108 @@
+"""SimHash near-duplicates against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from scrubline.llm import simhash
+from scrubline.llm.queries import QUERIES
+from scrubline.llm.simhash import SimHash
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_fingerprint(text, n=4):
+    words = [w for w in _blanks((text or "").translate({c: c + 32 for c in range(65, 91)})) if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def _blanks(text):
+    for c in "\t\n\v\f\r":
+        text = text.replace(c, " ")
+    return text.split(" ")
+
+
+def brute_components(rows, distance=4):
+    """(doc_id, fingerprint) -> [(doc_id, hex, component)]; ids may be None."""
+    prints = np.array([p for _, p in rows], dtype=np.uint64)
+    label = list(range(len(rows)))
+
+    def find(i):
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in np.flatnonzero(np.bitwise_count(prints[i:] ^ prints[i]) <= distance) + i:
+            label[find(int(j))] = find(i)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[find(i)] = min(doc, least.get(find(i), doc))
+    return sorted(((d, f"{p:016x}", least.get(find(i))) for i, (d, p) in enumerate(rows)), key=str)
+
+
+def found(df):
+    return sorted(((r.doc_id, r.fingerprint, r.component_id) for r in df.collect()), key=str)
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    expected = brute_components([(r.doc_id, brute_fingerprint(r.text)) for r in docs])
+    assert found(QUERIES["op8_simhash_near_dedup"](spark, SF)) == expected
+
+
+def test_edges(documents):
+    texts = [None, "", " \t\n", "One", "one", "one two three", "a b c d", "A  b\nc d", "ä b c d e", "a b c d " * 3000, "a b c d e"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, "one"), (3, "one"), (None, "one"), (None, "lonely text of its own kind")]
+    docs = documents(rows).withColumn("fingerprint", F.lit("mine")).withColumn("content", F.lit("x"))
+    assert found(simhash.report(docs)) == brute_components([(d, brute_fingerprint(t)) for d, t in rows])
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    ids = sorted((r.doc_id if r.doc_id is not None else -1) for r in kept.collect())
+    assert len(ids) == len({c for *_, c in brute_components([(d, brute_fingerprint(t)) for d, t in rows])})
+    assert ids.count(3) == 1 and -1 in ids
+
+
+def test_empty(documents):
+    assert simhash.report(documents([])).collect() == []
+    assert simhash.deduplicate(documents([])).collect() == []
+
+
+@pytest.mark.parametrize("limit", [50_000, 10, 200])
+@pytest.mark.parametrize("distance", [2, 4, 7])
+def test_dense_and_hot_groups(spark, limit, distance):
+    """Fingerprints in a ball, chains of near ones and random ones; small limits send groups to the second cut."""
+    rnd = random.Random(7)
+    center = rnd.getrandbits(64)
+    prints = {center ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 6))) for _ in range(700)}
+    step = rnd.getrandbits(64)
+    for _ in range(60):
+        step ^= sum(1 << b for b in rnd.sample(range(64), distance))
+        prints.add(step)
+    prints |= {rnd.getrandbits(64) for _ in range(300)} | {0, 1, 3, (1 << 64) - 1}
+    rows = [(i, p) for i, p in enumerate(sorted(prints))]
+    signed = [(p - (1 << 64) if p >> 63 else p,) for _, p in rows]
+    df = spark.createDataFrame(signed, "fp bigint").repartition(3)
+    pairs = simhash.links(df, SimHash(distance=distance, group_rows=limit)).collect()
+    place = {s[0]: i for i, s in enumerate(signed)}
+    label = list(range(len(rows)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a, b in pairs:
+        assert bin((a ^ b) & (1 << 64) - 1).count("1") <= distance
+        label[max(find(place[a]), find(place[b]))] = min(find(place[a]), find(place[b]))
+    expected = brute_components(rows, distance)
+    assert [find(i) for i in range(len(rows))] == [c for _, _, c in sorted(expected)]
