@@ -6,7 +6,9 @@ from collections import Counter
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from scrubline.checks.oracle import oracle_sql
+from scrubline.checks.queries import QUERIES
 
 TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
 SCALES = os.environ.get("CHECK_SCALES", "sf0.001,sf0.01").split(",")
@@ -28,12 +30,12 @@ def duck(sf_dir):
 
 
 def test_every_query_has_check_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_check_sql(spark, duck, sf_dir, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     result = duck.execute(oracle_sql()[name])
     described = {column[0]: str(column[1]) for column in result.description}
     assert len(described) == len(result.description)
