@@ -56,3 +56,9 @@ def shielded(df: DataFrame, used: Sequence[str], made: Callable[[DataFrame], Dat
     hidden = {name: f"__kept_{i}" for i, name in enumerate(df.columns) if name not in used}
     back = [F.col(hidden.get(name, name)).alias(name) for name in df.columns]
     return made(df.withColumnsRenamed(hidden)).select(back)
+
+
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` cut off, and marked for broadcast only if counting shows that it has at most ``rows`` (narrow) rows."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= rows else df

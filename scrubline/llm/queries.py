@@ -4,17 +4,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import simhash
+from scrubline.llm import kneser_ney, simhash
 from scrubline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", "perplexity", "threshold", "kept")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 

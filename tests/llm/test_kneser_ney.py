@@ -1,0 +1,109 @@
+"""The character model against a plain dictionary version, and held-out accuracy."""
+
+import math
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from scrubline.llm import kneser_ney as kn
+from scrubline.llm.kneser_ney import Quality
+from scrubline.llm.queries import QUERIES
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+class Plain:
+    """Interpolated modified Kneser-Ney, straight from the formula."""
+
+    def __init__(self, texts, order):
+        self.order = order
+        top = Counter()
+        for t in texts:
+            t = "\x02" * (order - 1) + t
+            top.update(t[i : i + order] for i in range(len(t) - order + 1))
+        self.counts = {order: top}
+        for k in range(order - 1, 0, -1):
+            self.counts[k] = Counter(g[1:] for g in self.counts[k + 1])
+        self.discount, self.sums = {}, {}
+        for k, c in self.counts.items():
+            n = Counter(min(v, 5) for v in c.values())
+            if all(n[i] for i in (1, 2, 3, 4)):
+                y = n[1] / (n[1] + 2 * n[2])
+                self.discount[k] = [min(i - 0.01, max(0.05, i - (i + 1) * y * n[i + 1] / n[i])) for i in (1, 2, 3)]
+            else:
+                self.discount[k] = [0.75] * 3
+            sums = defaultdict(lambda: [0, 0.0])
+            for g, v in c.items():
+                sums[g[:-1]][0] += v
+                sums[g[:-1]][1] += self.discount[k][min(v, 3) - 1]
+            self.sums[k] = sums
+
+    def p(self, gram, k):
+        if k == 0:
+            return 1 / (len(self.counts[1]) + 1)
+        low, gram = self.p(gram, k - 1), gram[-k:]
+        if gram[:-1] not in self.sums[k]:
+            return low
+        total, mass = self.sums[k][gram[:-1]]
+        c = self.counts[k].get(gram, 0)
+        return (c - self.discount[k][min(c, 3) - 1] if c else 0) / total + mass / total * low
+
+    def surprise(self, text):
+        t = "\x02" * (self.order - 1) + text
+        return -sum(math.log(self.p(t[i : i + self.order], self.order)) for i in range(len(text))) / len(text)
+
+
+TRAIN = ["the cat sat on the mat. the cat ran. " * 3, "a dog sat on the log, and the dog ran", "énorme été \U0001f600 là", "x"]
+PROBES = ["the cat", "the dog sat", "zzz qqq", "é\U0001f600 là", "\x02x", "t", "the   !!! THE", "a" * 50]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_model_equals_plain(documents, order):
+    model = kn.train(documents(TRAIN), Quality(order=order))
+    plain = Plain(TRAIN, order)
+    for text, found in zip(PROBES, kn._surprise(model, PROBES)):
+        assert found == pytest.approx(plain.surprise(text), abs=1e-5)
+
+
+def test_long_texts_in_pieces(documents, monkeypatch):
+    model = kn.train(documents(TRAIN))
+    texts = ["the cat sat on the mat. " * 40, None, "", "x", "the dog " * 9]
+    whole = kn._surprise(model, texts)
+    monkeypatch.setattr(kn, "_CHUNK", 16)
+    assert kn._surprise(model, texts) == pytest.approx(whole, abs=1e-6)
+    assert whole[1:3] == [None, None]
+
+
+def test_edges(spark, documents):
+    docs = documents([(1, "some text", None), (1, "some text", None), (None, None, "en"), (2, "", "de"), (None, "x", "xx")])
+    docs = docs.withColumns({"kept": F.lit("mine"), "content": F.lit(0), "perplexity": F.lit(None).cast("string")})
+    for labels in ([], [(1, 1, 0), (1, 1, None), (None, 1, 0), (2, None, None), (9, 1, 0)]):
+        rows = kn.classify(docs, spark.createDataFrame(labels, LABELS)).collect()
+        assert len(rows) == 5 and all(r.kept for r in rows)
+        kept = kn.accepted(docs, spark.createDataFrame(labels, LABELS))
+        assert kept.columns == docs.columns and kept.count() == 5
+    assert kn.classify(documents([]), spark.createDataFrame([], LABELS)).collect() == []
+    conflicting = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 1, 1), (3, 1, None), (3, 1, 0)], LABELS)
+    assert [r.doc_id for r in kn.trusted_ids(conflicting).collect()] == [3]
+
+
+def test_thresholds_are_exact_quantiles(spark):
+    scored = spark.createDataFrame([(i, 0, "en" if i % 3 else None, i / 100) for i in range(600)], "doc_id bigint, content bigint, lang string, surprise double")
+    trusted = spark.range(600).select(F.col("id").alias("doc_id"))
+    rule = Quality(quantile=0.9, least=5)
+    held = scored.filter(F.pmod(kn._order_hash(rule), F.lit(2)) == 1).collect()
+    for row in kn.thresholds(scored, trusted, rule).collect():
+        values = sorted(r.surprise for r in held if row.all_langs or r.lang == row.lang)
+        expected = values[math.ceil(0.9 * len(values)) - 1]
+        assert expected - 1e-9 <= row.limit <= expected + rule.grid + 1e-9
+
+
+def test_held_out_accuracy(spark):
+    """Labelled documents of the half that no training sample comes from: good ones stay, most bad ones go."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    judged = QUERIES["op7_quality_classifier"](spark, sf).join(labels, "doc_id").filter(F.pmod(kn._order_hash(Quality()), F.lit(2)) == 1)
+    rates = {r.quality: r.kept for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert rates[1] > 0.97
+    assert rates[0] < 0.2
