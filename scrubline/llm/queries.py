@@ -4,12 +4,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import kneser_ney, simhash
+from scrubline.llm import decontaminate, kneser_ney, simhash
 from scrubline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "lang", "perplexity", "threshold", "kept")
@@ -20,6 +24,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
