@@ -4,12 +4,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import decontaminate, kneser_ney, simhash
+from scrubline.llm import decontaminate, kneser_ney, simhash, token_shards
 from scrubline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -24,6 +28,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_token_id_output": op2_token_id_output,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,

@@ -1,0 +1,69 @@
+"""Token files: exact round trips."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from scrubline.llm import token_shards as ts
+from scrubline.llm.queries import QUERIES
+from scrubline.llm.token_shards import TokenFiles
+
+
+def plain_ids(texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    return [e.ids + [2] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def expected(rows):
+    """rows: (doc_id, text) in order."""
+    out, start = [], 0
+    for (doc, _), ids in zip(rows, plain_ids([t for _, t in rows])):
+        out.append((doc, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def found(df):
+    return sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in df.collect())
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_query_equals_tokenizer(spark, scale):
+    sf = f"/root/testdata/{scale}"
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    assert found(QUERIES["op2_token_id_output"](spark, sf)) == expected(rows)
+
+
+def test_many_files_and_short_sequences(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    rule = TokenFiles(length=16, batch=3, file_bytes=30_000)
+    directory = ts.fresh_dir(spark, "test")
+    files = ts.write(docs.repartition(5), directory, rule)
+    assert files.count() > 5
+    assert found(ts.read(files, directory)) == expected(rows)
+    # Random access gives the ids of each place, and the mask is false only behind a file's last id.
+    ids = [i for x in plain_ids([t for _, t in rows]) for i in x]
+    for f in files.collect():
+        sequences = ts.Sequences(directory, f.file)
+        assert len(sequences) == -(-f.n_ids // 16)
+        for k in range(len(sequences)):
+            values, mask = sequences[k]
+            part = ids[f.start + 16 * k : min(f.start + f.n_ids, f.start + 16 * (k + 1))]
+            assert values[: len(part)].tolist() == part and not values.flags.owndata
+            assert mask.to_pylist() == [i < len(part) for i in range(16)]
+
+
+def test_edges(documents):
+    odd = ["", None, "x", "x", "<|endoftext|> a", "tab\there  \n\n end ", "it's they'll no break", "日本語 テスト １２３", "a\x85b\x1cc d", "é" * 3000, " ", "\U0001f600!", "don't 'stop ''s"]
+    rows = [(i, t) for i, t in enumerate(odd)] + [(2, "x"), (2, "x")]
+    docs = documents(rows).withColumns({"file": F.lit("mine"), "tokens": F.lit(1), "content": F.lit(None).cast("int")})
+    assert found(ts.round_trip(docs)) == sorted(expected(sorted(rows, key=lambda r: r[0])))
+    missing = ts.round_trip(documents([(None, "x"), (1, "y")])).collect()
+    assert [(r.doc_id, r.start) for r in sorted(missing, key=lambda r: r.start)] == [(None, 0), (1, len(plain_ids(["x"])[0]))]
+    assert found(ts.round_trip(documents([]))) == []
