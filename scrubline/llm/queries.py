@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import decontaminate, kneser_ney, simhash, token_shards
+from scrubline.llm import decontaminate, kneser_ney, mixing, simhash, token_shards
 from scrubline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "lang", "perplexity", "threshold", "kept")
@@ -30,6 +34,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_token_id_output": op2_token_id_output,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
