@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scrubline.llm.common import shielded
+
 # Fixed value: a word of lower-cased UTF-8.
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _IS_WORD = np.array([bool(_WORD.match(bytes([i]))) for i in range(256)])
@@ -297,7 +299,7 @@ def covered(matches) -> F.Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame, rule: Decontamination = Decontamination()) -> DataFrame:
     """``docs`` without those that hold a window of the benchmark."""
-    return with_matches(docs, benchmark, rule).filter(F.size("matches") == 0).drop("n_words", "matches")
+    return shielded(docs, ("text",), lambda rows: with_matches(rows, benchmark, rule).filter(F.size("matches") == 0))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, rule: Decontamination = Decontamination()) -> DataFrame:
