@@ -4,12 +4,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import decontaminate, kneser_ney, mixing, simhash, token_shards
+from scrubline.llm import decontaminate, kneser_ney, mixing, shard_tree, simhash, token_shards, url_filter
 from scrubline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    judged = url_filter.judge(pages.select("page_id", "url"), url_filter.junk_urls(pages))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op2_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.round_trip(table(spark, sf_dir, "documents"))
 
@@ -31,12 +37,20 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_tree.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
     "op2_token_id_output": op2_token_id_output,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_sharding": op9_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": url_filter.ORACLE,
+}
