@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import decontaminate, kneser_ney, mixing, shard_tree, simhash, token_shards, url_filter
+from scrubline.llm import chat, decontaminate, kneser_ney, mixing, risk_rules, shard_tree, simhash, token_shards, url_filter
 from scrubline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(table(spark, sf_dir, "conversations"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,16 +45,23 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.report(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return risk_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_id_output": op2_token_id_output,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_sharding": op9_sharding,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE,
+    "op3_chat_formatting": chat.ORACLE,
 }
