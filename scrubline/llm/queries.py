@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import chat, decontaminate, kneser_ney, mixing, risk_rules, shard_tree, simhash, token_shards, url_filter
+from scrubline.llm import chat, decontaminate, kneser_ney, line_dedup, mixing, risk_rules, shard_tree, simhash, token_shards, url_filter
 from scrubline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_id_output": op2_token_id_output,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
