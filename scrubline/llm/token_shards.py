@@ -9,10 +9,12 @@ when whole; a rerun writes the same bytes. A document's ids run on from one sequ
 """
 
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -29,7 +31,7 @@ from scrubline.llm.common import cut, fresh_dir
 _LATIN = re.compile(r"[\t\n\r\x20-\x7E\xA1-ſ]*")
 _LETTER, _DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼-¾"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\s{_LETTER}{_DIGIT}]+|\s+(?!\S)|\s+")
-_REMEMBERED = 1 << 19
+_REMEMBERED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -47,7 +49,7 @@ class Encoder:
     """Ids of whole texts, as little-endian bytes.
 
     The pattern cuts plain Latin text into pieces that the tokenizer merges one by one, so ids of a piece are asked for once
-    and remembered, up to a fixed number of pieces. Any other text goes to the tokenizer whole.
+    and remembered, up to a fixed number of pieces, for all tasks of a worker. Any other text goes to the tokenizer whole.
     """
 
     def __init__(self, rule: TokenFiles):
@@ -69,7 +71,8 @@ class Encoder:
         self.memory = Memory()
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
@@ -79,6 +82,11 @@ class Encoder:
         return b"".join(map(self.memory.__getitem__, _PIECES.findall(text))) + self.end
 
 
+@lru_cache(maxsize=1)
+def _worker_encoder(rule: TokenFiles) -> Encoder:
+    return Encoder(rule)
+
+
 def id_type(vocabulary: int, end_id: int) -> str:
     return "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
 
@@ -95,7 +103,7 @@ def _bounds(docs: DataFrame, rule: TokenFiles) -> list[int]:
 
 def _encode(bounds: list[int], rule: TokenFiles):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ends = Encoder(rule), np.array(bounds, dtype=np.int64)
+        encoder, ends = _worker_encoder(rule), np.array(bounds, dtype=np.int64)
         for batch in batches:
             ids = batch.column(0).to_pylist()
             # Missing ids come first, in the first file.
