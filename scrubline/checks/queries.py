@@ -109,7 +109,8 @@ def population_month_end(tables: Tables) -> DataFrame:
 
 def loan_list(tables: Tables) -> DataFrame:
     loans = screened_loans(tables, _run_date(), CURRENT)
-    return population.only_loans(loans, _commented(tables, LOAN_LIST_COMMENT)).select(LOAN, "InvestorId")
+    ids = population.listed_ids(tables.spark, _commented(tables, LOAN_LIST_COMMENT))
+    return population.only_loans(loans, ids).select(LOAN, "InvestorId")
 
 
 def loan_type(tables: Tables) -> DataFrame:
@@ -184,9 +185,8 @@ def buyout_rates(tables: Tables) -> DataFrame:
 
 
 def servicing_fee_check(tables: Tables) -> DataFrame:
-    fee = F.col("Svcg Fee at Buyout")
-    checked = derive.service_fee_check(fee).alias("Servicing Fee Check")
-    return _buyout(tables.live("loan_master")).select(LOAN, fee, checked)
+    checked = derive.service_fee_check(F.col("CurrentInterestRate") - F.col("PT at Buyout"))
+    return _buyout(tables.live("loan_master")).select(LOAN, "Svcg Fee at Buyout", checked.alias("Servicing Fee Check"))
 
 
 def mod_stage(tables: Tables) -> DataFrame:

@@ -91,20 +91,17 @@ def _is_va_refi(text: Text) -> Column:
 
 def va_refi_rows(tables: Tables, text: Text = Text()) -> DataFrame:
     """Live VA loans refinanced at a high loan-to-value ratio."""
-    return (
-        tables.live("loan_master")
-        .filter(text.at_scan(_is_va_refi))
-        .select(
-            LOAN,
-            F.rtrim("LoTypeId").alias("LoTypeId"),
-            F.rtrim("LoanPurposeCodeId").alias("LoanPurposeCodeId"),
-            "OriginalLoanToValueRatio",
-        )
-    )
+    rows = tables.live("loan_master").filter(text.at_scan(_is_va_refi))
+    return rows.select(LOAN, "LoTypeId", "LoanPurposeCodeId", "OriginalLoanToValueRatio")
 
 
 def va_refi(tables: Tables, text: Text = Text()) -> DataFrame:
-    """Those rows with the purpose text, distinct. Texts equal but for case or trailing blanks count as one."""
+    """Those rows with the purpose text, distinct. Texts equal but for case or trailing blanks count as one, and the
+    first of their spellings is kept.
+
+    A loan's distinct rows are gathered by loan id first (map-side, and few per loan), so the rows are shuffled once, by
+    the key that the report joins on.
+    """
     purposes = (
         tables.live("ref_loanpurposecode")
         .groupBy(
@@ -114,11 +111,18 @@ def va_refi(tables: Tables, text: Text = Text()) -> DataFrame:
         .agg(F.min("LoanPurposeCodeDesc").alias("LoanPurposeCodeDesc"))
         .drop("_desc_key")
     )
+    row = F.struct("LoTypeId", "LoanPurposeCodeId", "OriginalLoanToValueRatio")
+    per_loan = va_refi_rows(tables, text).groupBy(LOAN).agg(F.collect_set(row).alias("rows"))
+    per_loan = per_loan.select(LOAN, F.explode("rows").alias("row"))
+    keys = {"_type": text.key(F.col("row.LoTypeId")), "_purpose": text.key(F.col("row.LoanPurposeCodeId"))}
+    distinct = (
+        per_loan.withColumns(keys)
+        .groupBy(LOAN, "_type", "_purpose", F.col("row.OriginalLoanToValueRatio").alias("OriginalLoanToValueRatio"))
+        .agg(F.min("row.LoTypeId").alias("LoTypeId"), F.min("row.LoanPurposeCodeId").alias("LoanPurposeCodeId"))
+    )
     return (
-        va_refi_rows(tables, text)
-        .distinct()
-        .join(purposes, text.key(F.col("LoanPurposeCodeId")) == F.col("_purpose_key"), "left")
-        .drop("_purpose_key")
+        distinct.join(purposes, F.col("_purpose") == F.col("_purpose_key"), "left")
+        .select(LOAN, "LoTypeId", "LoanPurposeCodeId", "OriginalLoanToValueRatio", "LoanPurposeCodeDesc")
     )
 
 

@@ -3,11 +3,13 @@
 from collections.abc import Iterable, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline.functions.derive import BALANCE_SHEET_INVESTORS, POOLED_INVESTORS
 from scrubline.functions.text import Text
+from scrubline.shared import bounded
 from scrubline.sources.schemas import LOAN
 
 # Codes and the smallest balance.
@@ -60,13 +62,32 @@ def month_end_population(text: Text = Text()) -> Column:
     return text.at_scan(_month_end)
 
 
-def only_loans(loans: DataFrame, loan_ids: DataFrame | Iterable[int] | None) -> DataFrame:
-    """Keeps the given loans: a short Python list as a literal filter, a DataFrame of any size as a semi join."""
-    if loan_ids is None:
-        return loans
-    if isinstance(loan_ids, DataFrame):
-        return loans.join(loan_ids.select(LOAN), LOAN, "left_semi")
-    return loans.filter(F.col(LOAN).isin(list(loan_ids)))
+# Ids of a Python list up to this number become a literal that reaches the scans; more become a DataFrame.
+LITERAL_IDS = 1_000
+# Distinct ids up to this number are sent to all tasks; more meet the rows by a shuffle that the joins reuse.
+SENT_IDS = 1_000_000
+
+
+def listed_ids(spark: SparkSession, loan_ids: DataFrame | Iterable[int]) -> DataFrame | list[int]:
+    """The given ids once each: a short list as it is, anything longer as a DataFrame.
+
+    An iterable is read here and nowhere else, so one that can be read only once serves every table.
+    """
+    if not isinstance(loan_ids, DataFrame):
+        ids = sorted({i for i in loan_ids if i is not None})
+        if len(ids) <= LITERAL_IDS:
+            return ids
+        loan_ids = spark.createDataFrame(pa.table({LOAN: pa.array(ids, pa.int64())}))
+    return bounded(loan_ids.select(LOAN).distinct(), SENT_IDS)
+
+
+def only_loans(rows: DataFrame, ids: DataFrame | Sequence[int] | None) -> DataFrame:
+    """Keeps the rows of the given loans, as ``listed_ids`` returns them."""
+    if ids is None:
+        return rows
+    if isinstance(ids, DataFrame):
+        return rows.join(ids, LOAN, "left_semi")
+    return rows.filter(F.col(LOAN).isin(list(ids)))
 
 
 def without_trades(loans: DataFrame, trades: Sequence[str], text: Text = Text()) -> DataFrame:

@@ -5,73 +5,45 @@ partitioning. Adaptive execution cannot split a hot key there, neither inside su
 left join. So hot loan ids are found first, taken out of the chain, and joined apart on (loan id, piece of the left rows,
 piece of the right rows), which spreads one loan over many tasks. The two parts together are the whole join.
 
-Pieces come from a row number assigned at the table scan, not from ``rand()``: a task rerun after a lost executor puts
-each row into the same piece again.
+A row's piece comes from a number that is stored with the hot rows in the shared folder before any join reads it. A task
+rerun after a lost executor reads the same number, whatever order the rows had when they were numbered.
 """
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scrubline.shared import bounded, cut
 from scrubline.sources.schemas import LOAN
 
+# A hot list of up to so many rows is sent to all tasks; a longer one is joined by a shuffle.
+SENT_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Skew:
-    """A loan id is hot when one table has over ``piece_rows`` rows of it and over ``share`` of the table's rows.
-
-    The share bounds the number of hot ids (2000 per table by default), so they may be collected and broadcast.
-    """
+    """A loan id is hot when its loans and its rows in every row set make over ``piece_rows`` joined rows, or when one
+    row set alone has that many rows of it. No task of a hot join makes more than about ``piece_rows`` rows of one id."""
 
     piece_rows: int = 1_000_000
-    share: float = 1 / 2000
-    buckets: int = 32_768
-
-
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-def _tagged_ids(row_sets: Mapping[str, DataFrame]) -> DataFrame:
-    return _union([df.select(F.lit(name).alias("rows_of"), LOAN) for name, df in row_sets.items()])
 
 
-def find_hot_loans(row_sets: Mapping[str, DataFrame], skew: Skew) -> list[int | None]:
-    """Loan ids (None for a missing one) that are hot in any of the row sets.
+def find_hot_loans(loans: DataFrame, row_sets: Mapping[str, DataFrame], skew: Skew) -> DataFrame | None:
+    """(LoanId, loans, <row set>...): hot ids, the missing one too, with their row counts; None if there is none.
 
-    Reads only the id column. The first pass counts hash buckets, which shrinks to a fixed number of rows before its
-    shuffle; ids are counted one by one only inside buckets over the limit, and normally there are none.
+    Reads only the id columns, counts them map-side, and shuffles one narrow row per id and task. Right rows without an id
+    match nothing and are not counted.
     """
-    bucketed = _tagged_ids(row_sets).withColumn("bucket", F.pmod(F.xxhash64(LOAN), F.lit(skew.buckets)).cast("int"))
-    by_bucket = bucketed.groupBy("rows_of", "bucket").count()
-    fullest = by_bucket.groupBy("rows_of").agg(F.max("count").alias("most"), F.sum("count").alias("rows")).collect()
-    limits = {row["rows_of"]: max(skew.piece_rows, skew.share * row["rows"]) for row in fullest}
-    suspects = [(row["rows_of"], float(limits[row["rows_of"]])) for row in fullest if row["most"] > limits[row["rows_of"]]]
-    if not suspects:
-        return []
-    limited = bucketed.sparkSession.createDataFrame(suspects, "rows_of string, limit double")
-    over = F.col("count") > F.col("limit")
-    full_buckets = by_bucket.join(F.broadcast(limited), "rows_of").filter(over).drop("count")
-    hot = (
-        bucketed.join(F.broadcast(full_buckets), ["rows_of", "bucket"])
-        .groupBy("rows_of", LOAN, "limit")
-        .count()
-        .filter(over)
-        .select(LOAN)
-        .distinct()
-        .collect()
-    )
-    return [row[LOAN] for row in hot]
-
-
-def is_hot(hot: Sequence[int | None]) -> Column:
-    """True or false, never null."""
-    listed = F.coalesce(F.col(LOAN).isin([h for h in hot if h is not None]), F.lit(False))
-    return listed | F.col(LOAN).isNull() if None in hot else listed
+    names = ["loans", *row_sets]
+    frames = [loans.select(LOAN)] + [df.select(LOAN).filter(F.col(LOAN).isNotNull()) for df in row_sets.values()]
+    tagged = reduce(DataFrame.unionByName, [df.withColumn("_of", F.lit(i)) for i, df in enumerate(frames)])
+    counts = tagged.groupBy(LOAN).agg(*[F.count(F.when(F.col("_of") == i, 1)).alias(n) for i, n in enumerate(names)])
+    rows = reduce(lambda a, b: a * b, [F.greatest(F.col(n), F.lit(1)).cast("double") for n in names])
+    hot = cut(counts.filter(rows > skew.piece_rows))
+    return None if hot.isEmpty() else hot
 
 
 def left_join(
@@ -84,18 +56,21 @@ def left_join(
 ) -> DataFrame:
     """``loans`` left-joined with every row set on the loan id.
 
-    Hot ids are looked for in ``loans`` and in ``searched`` (the row sets, unless given). ``prepare`` is applied to each
-    part of the loans after the split, before the joins. With ``skew`` None nothing is looked for or split.
+    Hot ids are looked for in ``loans`` and in ``searched``: the row sets that may hold many rows of a loan, under their
+    names (all of them, unless given). ``prepare`` is applied to each part of the loans after the split, before the
+    joins. The search runs at once, the joins when the result is read. With ``skew`` None nothing is looked for or split.
     """
-    hot: list[int | None] = []
-    if skew is not None:
-        hot = find_hot_loans({"": loans} | dict(row_sets if searched is None else searched), skew)
-    if not hot:
+    searched = row_sets if searched is None else searched
+    hot = None if skew is None else find_hot_loans(loans, searched, skew)
+    if hot is None:
         return _chain(prepare(loans), row_sets)
-    ordinary = {name: df.filter(~is_hot(hot)) for name, df in row_sets.items()}
-    seeded = prepare(_with_row_seed(loans.filter(is_hot(hot))))
-    return _chain(prepare(loans.filter(~is_hot(hot))), ordinary).unionByName(
-        _chain_in_pieces(seeded, row_sets, hot, skew)
+    ids = bounded(hot.select(F.col(LOAN).alias("_hot")), SENT_ROWS)
+    is_hot = F.col(LOAN).eqNullSafe(F.col("_hot"))
+    ordinary = {name: df.join(ids, is_hot, "left_anti") for name, df in row_sets.items()}
+    apart = {name: _numbered(df.join(ids, is_hot, "left_semi")) for name, df in row_sets.items()}
+    seeded = prepare(_numbered(loans.join(ids, is_hot, "left_semi")))
+    return _chain(prepare(loans.join(ids, is_hot, "left_anti")), ordinary).unionByName(
+        _chain_in_pieces(seeded, apart, hot, skew)
     )
 
 
@@ -105,36 +80,33 @@ def _chain(loans: DataFrame, row_sets: Mapping[str, DataFrame]) -> DataFrame:
     return loans
 
 
-def _with_row_seed(scan: DataFrame) -> DataFrame:
-    return scan.withColumn("_seed", F.xxhash64(F.monotonically_increasing_id()))
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows with a stored random-looking ``_seed``."""
+    return cut(rows.withColumn("_seed", F.xxhash64(F.monotonically_increasing_id())))
 
 
-def _chain_in_pieces(
-    loans: DataFrame, row_sets: Mapping[str, DataFrame], hot: Sequence[int | None], skew: Skew
-) -> DataFrame:
-    """The chain for hot loans, each join on pieces. ``loans`` carries ``_seed``."""
-    counted = _tagged_ids({"": loans} | dict(row_sets)).filter(is_hot(hot)).groupBy("rows_of", LOAN).count()
-    counts = {(row["rows_of"], row[LOAN]): row["count"] for row in counted.collect()}
-    left_rows = {loan: counts.get(("", loan), 0) for loan in hot}
+def _pieces(left_rows: Column, right_rows: Column, piece_rows: int) -> tuple[Column, Column]:
+    """Numbers of left and right pieces, so that a pair of pieces joins to about ``piece_rows`` rows."""
+    rights = F.greatest(F.ceil(right_rows / piece_rows), F.lit(1))
+    lefts = F.ceil(left_rows * F.least(right_rows, F.lit(float(piece_rows))) / piece_rows)
+    return F.greatest(F.least(lefts.cast("double"), left_rows), F.lit(1.0)).cast("int"), rights.cast("int")
+
+
+def _chain_in_pieces(loans: DataFrame, row_sets: Mapping[str, DataFrame], hot: DataFrame, skew: Skew) -> DataFrame:
+    """The chain for hot loans, each join on pieces. ``loans`` and the row sets carry ``_seed``."""
+    left_rows = F.col("loans").cast("double")
     for name, df in row_sets.items():
-        # A missing id matches nothing, so its right side is never in more than one piece.
-        right_rows = {loan: 0 if loan is None else counts.get((name, loan), 0) for loan in hot}
-        pieces = {
-            loan: (max(1, ceil(left_rows[loan] / skew.piece_rows)), max(1, ceil(right_rows[loan] / skew.piece_rows)))
-            for loan in hot
-        }
-        loans = _join_in_pieces(loans, _with_row_seed(df.filter(is_hot(hot))), pieces)
-        left_rows = {loan: left_rows[loan] * max(1, right_rows[loan]) for loan in hot}
+        # A row set that was not searched has one row of a loan at most.
+        right_rows = F.greatest(F.col(name), F.lit(1)).cast("double") if name in hot.columns else F.lit(1.0)
+        lefts, rights = _pieces(left_rows, right_rows, skew.piece_rows)
+        grid = hot.select(F.col(LOAN).alias("_loan"), lefts.alias("_lefts"), rights.alias("_rights"))
+        loans = _join_in_pieces(loans, df, bounded(grid, SENT_ROWS))
+        left_rows = left_rows * right_rows
     return loans.drop("_seed")
 
 
-def _join_in_pieces(left: DataFrame, right: DataFrame, pieces: Mapping[int | None, tuple[int, int]]) -> DataFrame:
+def _join_in_pieces(left: DataFrame, right: DataFrame, grid: DataFrame) -> DataFrame:
     """Each left row meets every right piece of its loan once, and each right row every left piece once."""
-    grid = F.broadcast(
-        left.sparkSession.createDataFrame(
-            [(loan, *n) for loan, n in pieces.items()], "_loan bigint, _lefts int, _rights int"
-        )
-    )
     same_loan = F.col(LOAN).eqNullSafe(F.col("_loan"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.col("_seed"), F.col(n)).cast("int")

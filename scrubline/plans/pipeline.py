@@ -1,4 +1,4 @@
-"""The eligibility report: one lazy DataFrame for either variant."""
+"""The eligibility report for either variant. Building it searches for hot loan ids; the report itself is lazy."""
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
@@ -63,16 +63,21 @@ def _joined(
     tables: Tables,
     loans: DataFrame,
     row_sets: Mapping[str, DataFrame],
-    loan_ids: DataFrame | Iterable[int] | None,
+    ids: DataFrame | Sequence[int] | None,
     limits: Skew | None,
     text: Text,
 ) -> DataFrame:
-    def prepare(part: DataFrame) -> DataFrame:
-        return enrich.with_loan_status(population.only_loans(part, loan_ids), tables, text)
-
-    searched = {name: row_sets[name] for name in _MANY_PER_LOAN}
-    searched["va_refi"] = enrich.va_refi_rows(tables, text)
-    return skew.left_join(loans, row_sets, limits, searched=searched, prepare=prepare)
+    """The wanted loans with all row sets. Rows of other loans leave every table before it is searched or shuffled."""
+    wanted = {name: population.only_loans(df, ids) for name, df in row_sets.items()}
+    searched = {name: wanted[name] for name in _MANY_PER_LOAN}
+    searched["va_refi"] = population.only_loans(enrich.va_refi_rows(tables, text), ids)
+    return skew.left_join(
+        population.only_loans(loans, ids),
+        wanted,
+        limits,
+        searched=searched,
+        prepare=lambda part: enrich.with_loan_status(part, tables, text),
+    )
 
 
 def derived(joined: DataFrame, text: Text = Text()) -> DataFrame:
@@ -101,7 +106,7 @@ def report_columns(run_date: Column, variant: Variant, scrub: Column, text: Text
         "DateKey": periods.date_key(run_date),
         "Svcg Fee at Buyout": service_fee,
         "Source": derive.source_label(col("InvestorId"), text),
-        "Servicing Fee Check": derive.service_fee_check(service_fee),
+        "Servicing Fee Check": derive.service_fee_check(col("CurrentInterestRate") - col("PT at Buyout")),
     }
     if variant.month_end:
         columns["Next_Due_Date_Cutoff"] = periods.next_due_cutoff_pooled(run_date)
@@ -134,7 +139,8 @@ def eligibility(
     loans = screened_loans(tables, run_date, variant, text).drop("OriginalLoanToValueRatio", "LoanPurposeCodeId")
     loans = population.without_trades(loans, excluded_trades, text)
     row_sets = enrichments(tables, run_date, variant, exclusion_lists, text)
-    report = derived(_joined(tables, loans, row_sets, loan_ids, skew_limits, text), text)
+    ids = None if loan_ids is None else population.listed_ids(tables.spark, loan_ids)
+    report = derived(_joined(tables, loans, row_sets, ids, skew_limits, text), text)
     rules = exclusion_rules(
         month_end=variant.month_end,
         sale_cutoff=variant.sale_cutoff(run_date),

@@ -4,13 +4,45 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, StructField, StructType
 
 from scrubline.sources.schemas import PERIOD, TABLE_NAMES, schema
 
 
+# Digits kept behind a declared decimal's own when a source holds doubles: enough to tell values apart, too few for
+# binary noise to show.
+_MORE_DIGITS = 4
+# Fixed value: the most digits of a Spark decimal.
+_MOST_DIGITS = 38
+
+
+def _kept_type(declared: DataType, found: DataType) -> DataType:
+    """The declared type, or for decimals a wider one, so that no digit of the source is lost."""
+    if not isinstance(declared, DecimalType):
+        return declared
+    if isinstance(found, (DoubleType, FloatType)):
+        return DecimalType(declared.precision + _MORE_DIGITS, declared.scale + _MORE_DIGITS)
+    if not isinstance(found, DecimalType):
+        return declared
+    scale = max(declared.scale, found.scale)
+    whole = max(declared.precision - declared.scale, found.precision - found.scale)
+    if scale + whole > _MOST_DIGITS:
+        raise ValueError(f"a {found.simpleString()} does not fit a {declared.simpleString()} column")
+    return declared if (whole + scale, scale) == (declared.precision, declared.scale) else DecimalType(whole + scale, scale)
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """The declared columns in the declared types. A column already of its type is left alone, so filters push down."""
-    return df.to(schema(name))
+    """The declared columns in the declared types; decimals with more digits keep them.
+
+    A column that is absent is refused: filled with nulls, it would silently turn rules off. A column already of its
+    type is left alone, so filters push down.
+    """
+    found = {field.name.lower(): field.dataType for field in df.schema}
+    missing = [field.name for field in schema(name) if field.name.lower() not in found]
+    if missing:
+        raise ValueError(f"table {name} has no column {', '.join(missing)}")
+    fields = [StructField(f.name, _kept_type(f.dataType, found[f.name.lower()])) for f in schema(name)]
+    return df.to(StructType(fields))
 
 
 Place = str | DataFrame | Callable[[], DataFrame]

@@ -80,6 +80,24 @@ def test_loans_are_shuffled_once(spark, stored, large, variant):
     assert "Python" not in text and "Pandas" not in text
 
 
+@pytest.mark.parametrize("variant", [CURRENT, MONTH_END], ids=lambda v: v.name)
+def test_ids_filter_every_table_before_its_shuffle(spark, stored, large, variant):
+    """A DataFrame of ids, sent to all tasks: each table is semi-joined where it is scanned."""
+    ids = spark.range(1, 4000).withColumnRenamed("id", "LoanId")
+    df = eligibility(stored, AS_OF, variant, loan_ids=ids, skew_limits=None)
+    text = plan(df)
+    # The loans and every joined row set.
+    assert len(re.findall(r"^\(\d+\) BroadcastHashJoin.*?\n(?:.*\n)*?Join type: LeftSemi", text, re.M)) >= 1
+    semis = len(re.findall(r"Join type: LeftSemi", text))
+    assert semis == (9 if variant.month_end else 8)
+    assert df.count() == report(stored, variant).filter("LoanId < 4000").count() > 0
+
+
+def test_refinance_rows_are_shuffled_by_loan_alone(stored, large):
+    text = plan(report(stored, CURRENT))
+    assert not re.findall(r"hashpartitioning\(LoanId#\d+L, [^\d\s]", text)
+
+
 def test_lookups_are_broadcast_only_under_the_limit(spark, stored, large):
     text = plan(report(stored, CURRENT))
     assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", text, re.M)) == 2

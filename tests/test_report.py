@@ -150,6 +150,46 @@ def test_stored_tables_give_the_same_report(spark, stored, variant):
     assert from_files.count() == lazy.count()
 
 
+def test_a_table_without_a_column_is_refused(spark):
+    tables = small_tables(spark, {"loan_master": [loan(1)]})
+    for table, column in (("loan_master", "PayoffStopCodeId"), ("collection_commentactivity", "ReasonCode")):
+        places = {name: tables.live(name) for name in TABLE_NAMES}
+        places[table] = places[table].withColumnRenamed(column, "Other")
+        with pytest.raises(ValueError, match=f"{table} has no column {column}"):
+            eligibility(Tables(spark, places), AS_OF)
+
+
+@pytest.mark.parametrize("kind", ["decimal(12,8)", "double"])
+def test_finer_digits_are_kept(spark, kind):
+    """Just above a ratio limit, just below a rate limit."""
+    base = {"LoTypeId": "2", "LoanPurposeCodeId": "5"}
+    tables = small_tables(spark, {"loan_master": [loan(1, **base), loan(2), loan(3, FirstServiceFeeRt=Decimal("0"))]})
+    places = {name: tables.live(name) for name in TABLE_NAMES}
+    one, two = F.col("LoanId") == 1, F.col("LoanId") == 2
+    finer = {
+        "OriginalLoanToValueRatio": F.when(one, F.lit("0.90004")).otherwise("0.90000"),
+        "CurrentInterestRate": F.when(two, F.lit("0.02749996")).otherwise("0.0375"),
+    }
+    for name in ("loan_master", "loan_master_me"):
+        places[name] = places[name].withColumns({c: v.cast(kind) for c, v in finer.items()})
+    for variant in (CURRENT, MONTH_END):
+        report = eligibility(Tables(spark, places), AS_OF, variant).collect()
+        assert {r["LoanId"]: r["EligibilityScrub"] for r in report} == {1: "VA_Refi", 2: "Low Rate", 3: ""}
+
+
+def test_no_decimal_is_made_that_spark_cannot_hold(spark):
+    tables = small_tables(spark, {"loan_master": [loan(1)]})
+    places = {name: tables.live(name) for name in TABLE_NAMES}
+    places["loan_master"] = places["loan_master"].withColumn("CurrentPrincipalBalanceAmt", F.lit("1").cast("decimal(38,30)"))
+    with pytest.raises(ValueError, match="does not fit"):
+        eligibility(Tables(spark, places), AS_OF)
+
+
+def test_purpose_code_stays_raw(spark):
+    row = loan(1, LoTypeId="2 ", OriginalLoanToValueRatio=Decimal("0.95"), LoanPurposeCodeId="5 ")
+    assert eligibility(small_tables(spark, {"loan_master": [row]}), AS_OF).collect()[0]["Loanpurposecodeid"] == "5 "
+
+
 def test_catalog_tables_and_doubles(spark):
     rows = {"loan_master": [loan(1, CurrentInterestRate=Decimal("0.0375"), FirstServiceFeeRt=Decimal("0.0019"))]}
     tables = small_tables(spark, rows)

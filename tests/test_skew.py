@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from scrubline import CURRENT, MONTH_END, Tables, eligibility
-from scrubline.operators.skew import Skew, find_hot_loans, is_hot
+from scrubline.operators.skew import Skew, find_hot_loans, left_join
 from scrubline.sources.fixtures import AS_OF, fixture_tables
 from scrubline.sources.schemas import TABLE_NAMES
 
 HOT, HOT_RIGHT_ONLY, WARM = 31, 999_999, 32
-EAGER = Skew(piece_rows=8, share=0.0, buckets=64)
+EAGER = Skew(piece_rows=8)
 # Extra rows of one loan per table; None is a missing id.
 COPIES = {
     "loan_master": {HOT: 40, None: 30},
@@ -43,33 +43,54 @@ def test_the_skewed_loan_is_reported(skewed):
     assert rows > 1000
 
 
+def rows_of(spark, sizes):
+    """A row set with so many rows of each loan."""
+    frames = [
+        spark.range(n).select(F.lit(loan).cast("long").alias("LoanId"), F.col("id").alias("v")) for loan, n in sizes.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 def test_hot_loans_are_found(spark):
-    sizes = [{1: 100, 2: 9, 3: 1, None: 50}, {2: 11, 4: 10, 5: 10}]
-    frames = {
-        str(i): reduce(
-            lambda a, b: a.unionByName(b),
-            [spark.range(n).select(F.lit(loan).cast("long").alias("LoanId")) for loan, n in size.items()],
-        )
-        for i, size in enumerate(sizes)
-    }
-    for buckets in (1, 2, 1024):
-        assert set(find_hot_loans(frames, Skew(10, 0.0, buckets))) == {1, None, 2}
-    # The share counts within one table: 11 of 31 rows are more than a third.
-    assert set(find_hot_loans(frames, Skew(10, 0.34, 1024))) == {1, 2}
-    assert find_hot_loans(frames, Skew(100, 0.0, 1024)) == []
-
-
-def test_is_hot_is_never_null(spark):
-    ids = spark.createDataFrame([(1,), (2,), (None,)], "LoanId long")
-    for hot, expected in (([1], [True, False, False]), ([1, None], [True, False, True]), ([None], [False, False, True])):
-        assert [r[0] for r in ids.select(is_hot(hot)).collect()] == expected
-
-
-@pytest.mark.parametrize("piece_rows", [8, 1, 45])
+    loans = rows_of(spark, {1: 100, 2: 4, 3: 1, 5: 1, None: 50})
+    row_sets = {"a": rows_of(spark, {2: 11, 4: 10, 5: 3, None: 99}), "b": rows_of(spark, {2: 1, 4: 5, 5: 3, 6: 60})}
+    hot = lambda limit: {r["LoanId"]: tuple(r)[1:] for r in (find_hot_loans(loans, row_sets, Skew(limit)) or loans.limit(0)).collect()}
+    # 2: 4 * 11 rows; 4 and 6 have no loan but many right rows; a missing id has its loans only.
+    assert hot(43) == {1: (100, 0, 0), 2: (4, 11, 1), 4: (0, 10, 5), 6: (0, 0, 60), None: (50, 0, 0)}
+    assert hot(50) == {1: (100, 0, 0), 6: (0, 0, 60)}
+    assert hot(100) == {}
+
+
+@pytest.mark.parametrize("limit", [2000, 50_000])
+def test_a_loan_that_is_frequent_in_several_tables_is_split(spark, limit):
+    """Ninety rows in each of three tables: no table is over the limit, but together they make 729,000 rows."""
+    loans = rows_of(spark, {7: 90, 8: 2}).withColumnRenamed("v", "l")
+    row_sets = {name: rows_of(spark, {7: 90, 9: 3}).withColumnRenamed("v", name) for name in ("x", "y")}
+    assert [r["LoanId"] for r in find_hot_loans(loans, row_sets, Skew(limit)).collect()] == [7]
+    for conf in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+        spark.conf.set(conf, "false" if "coalesce" in conf else "-1")
+    try:
+        joined = left_join(loans, row_sets, Skew(limit))
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 90**3 + 2
+    assert len(sizes) > 4 and max(sizes) < sum(sizes) / 2
+    assert joined.distinct().count() == 90**3 + 2
+
+
+def test_pieces_are_stored_before_they_are_used(skewed):
+    """No task above a shuffle numbers rows: a rerun could number them differently."""
+    text = eligibility(skewed, AS_OF, skew_limits=EAGER)._jdf.queryExecution().toString()
+    assert "ExistingRDD" in text and "monotonically_increasing_id" not in text and "rand(" not in text
+
+
+@pytest.mark.parametrize("piece_rows", [8, 2, 45])
 @pytest.mark.parametrize("variant", [CURRENT, MONTH_END], ids=lambda v: v.name)
 def test_same_rows_as_plain_joins(skewed, variant, piece_rows):
     plain = eligibility(skewed, AS_OF, variant, skew_limits=None).cache()
-    pieces = eligibility(skewed, AS_OF, variant, skew_limits=Skew(piece_rows, 0.0, 64)).cache()
+    pieces = eligibility(skewed, AS_OF, variant, skew_limits=Skew(piece_rows)).cache()
     assert plain.count() == pieces.count()
     assert plain.exceptAll(pieces).count() == 0
     plain.unpersist()
@@ -85,6 +106,16 @@ def test_same_rows_with_lists(spark, skewed):
     assert plain.exceptAll(pieces).count() == 0
 
 
+@pytest.mark.parametrize("kind", [list, iter, lambda ids: (i for i in ids)], ids=["list", "iterator", "generator"])
+def test_ids_that_can_be_read_once_give_the_same_rows(skewed, kind):
+    ids = [HOT, WARM, 33, 34, 35, None, 33]
+    plain = eligibility(skewed, AS_OF, loan_ids=ids, skew_limits=None)
+    pieces = eligibility(skewed, AS_OF, loan_ids=kind(ids), skew_limits=EAGER)
+    assert plain.count() == pieces.count() > 1000
+    assert plain.exceptAll(pieces).count() == 0
+    assert plain.select("LoanId").distinct().count() > 2
+
+
 def test_a_hot_loan_is_spread_over_tasks(spark, skewed):
     """No join task of the hot part may see all rows of the hot loan."""
     report = eligibility(skewed, AS_OF, skew_limits=EAGER).filter(F.col("LoanId") == HOT)
