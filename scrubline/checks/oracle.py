@@ -1,7 +1,7 @@
 """Check SQL for DuckDB, one statement per registered query.
 
-Written apart from the Spark code, and set up differently where that makes the check stronger: an ordered rule list
-becomes the smallest number among the rules that match, the population a table of allowed codes.
+Conditions are stated plainly. Two things are set up differently from the Spark code on purpose, so that they check it: an
+ordered rule list becomes the smallest number among the rules that match, the population a table of allowed codes.
 """
 
 from scrubline.checks.queries import (
@@ -19,30 +19,64 @@ DATE_KEY = 20010731
 SALE_CUTOFF = {"current": "DATE '2001-06-01'", "month_end": "DATE '2001-05-01'"}
 DUE_CUTOFF_POOLED, DUE_CUTOFF_BALANCE_SHEET = "DATE '2001-05-01'", "DATE '2001-07-01'"
 
+# Codes, thresholds and texts, in lower case where text compares without regard to it.
+POOLED_INVESTORS = "'400' AND '498'"
+BALANCE_SHEET_INVESTORS = "'025', '027'"
+POOLED_DELINQUENCY = "'2', '3', '4', 'f'"
+BALANCE_SHEET_DELINQUENCY = "'1', '2', '3', '4', 'f'"
+OPEN_STATUSES = "'2', '3', '4', 'f'"
+CURRENT_DELINQUENCY = "'p', 'a', 'b', 'c', 'd'"
+SHORT_SALE_DENIALS = "'dl', 'lp', 'sp', 'mi'"
+REFI_PURPOSES = "'5', '6', '7'"
+SHORT_SALE_TEMPLATES = "'hafs', 'ss'"
+DEED_IN_LIEU_TEMPLATES = "'hafd', 'dil2'"
+FINAL_DOCUMENT_STATUSES = (
+    "'approved - send final documents', 'final documents to be received', 'final documents received - in review', "
+    "'approved send final docs / file prep', 'final docs received - bk approval pending', "
+    "'final docs received - pending corrections'"
+)
+NO_BALANCE, LOW_BALANCE, LOW_RATE, REFI_LTV = "0.01", "30000", "0.0275", "0.90"
+SERVICE_STRIP, HIGH_SERVICE_FEE, FINAL_MOD_DAYS = "0.0025", "0.00625", "30"
+FINAL_MOD, THIRD_TRIAL = "Final Mod Processing", "3rd Trial Payment Received"
+SECOND_TRIAL, FIRST_TRIAL, TRIAL_OFFERED = "2nd Trial Payment Received", "1st Trial Payment Received", "Trial Offered"
+SHORT_SALE_DONE = "Completed SS/DIL"
+FRANKLIN_AMERICAN, UNSALEABLE = "1002013712, 1001898972", "8019110169"
+
+
+def _k(column: str) -> str:
+    """Text as it compares: without trailing blanks and letter case."""
+    return f"lower(rtrim({column}))"
+
+
 _SOURCE = (
-    "CASE WHEN InvestorId >= '400' AND InvestorId <= '498' THEN 'GNMA' "
-    "WHEN InvestorId = '025' OR InvestorId = '027' THEN 'Balance Sheet' ELSE 'UNKNOWN' END"
+    f"CASE WHEN {_k('InvestorId')} BETWEEN {POOLED_INVESTORS} THEN 'GNMA' "
+    f"WHEN {_k('InvestorId')} IN ({BALANCE_SHEET_INVESTORS}) THEN 'Balance Sheet' ELSE 'UNKNOWN' END"
+)
+_SSDIL = (
+    f"CASE WHEN {_k('LossMitDenialReasonCodeid')} IN ({SHORT_SALE_DENIALS}) THEN '{SHORT_SALE_DONE}' ELSE '' END"
 )
-_SSDIL = "CASE WHEN LossMitDenialReasonCodeid IN ('DL', 'LP', 'SP', 'MI') THEN 'Completed SS/DIL' ELSE '' END"
-_LOAN_TYPE = "CASE LoTypeId WHEN '1' THEN 'FHA' WHEN '2' THEN 'VA' WHEN '9' THEN 'USDA' END"
-_AGE = "CAST(datediff('month', NoteDt, DATE '2001-08-31') AS INTEGER)"
+_LOAN_TYPE = f"CASE {_k('LoTypeId')} WHEN '1' THEN 'FHA' WHEN '2' THEN 'VA' WHEN '9' THEN 'USDA' END"
+_AGE = f"CAST(datediff('month', NoteDt, {RUN}) AS INTEGER)"
 # Decimals throughout: DuckDB's division would turn them into doubles.
 _PASS_THROUGH = (
-    "CAST(floor((CurrentInterestRate - CASE WHEN FirstServiceFeeRt >= 0.0025 THEN FirstServiceFeeRt * 0.5 "
-    "ELSE 0.0025 END) * 200) * 0.005 AS DECIMAL(9,6))"
+    f"CAST(floor((CurrentInterestRate - CASE WHEN FirstServiceFeeRt >= {SERVICE_STRIP} THEN FirstServiceFeeRt * 0.5 "
+    f"ELSE {SERVICE_STRIP} END) * 200) * 0.005 AS DECIMAL(9,6))"
+)
+_IS_REFI = (
+    f"{_k('LoTypeId')} = '2' AND OriginalLoanToValueRatio > {REFI_LTV} AND {_k('l.LoanPurposeCodeId')} IN ({REFI_PURPOSES})"
 )
 
 _ALLOWED = {
-    "current": """
+    "current": f"""
         SELECT l.* FROM labelled l JOIN allowed a
-            ON a.src = l.Source AND a.code = l.DelinquentStatusCodeId
-        WHERE l.CurrentPrincipalBalanceAmt > 0.01 AND l.LoanType IS NOT NULL""",
-    "month_end": """
+            ON a.src = l.Source AND a.code = {_k("l.DelinquentStatusCodeId")}
+        WHERE l.CurrentPrincipalBalanceAmt > {NO_BALANCE} AND l.LoanType IS NOT NULL""",
+    "month_end": f"""
         SELECT l.* FROM labelled l LEFT JOIN allowed a
-            ON a.src = l.Source AND a.code = l.DelinquentStatusCodeId
+            ON a.src = l.Source AND a.code = {_k("l.DelinquentStatusCodeId")}
         WHERE CASE l.Source
-            WHEN 'Balance Sheet' THEN l.CurrentPrincipalBalanceAmt > 0.01 AND l.LoanType IS NOT NULL
-            WHEN 'GNMA' THEN a.code IS NOT NULL AND l.LoanStatusId IN ('2', '3', '4', 'F')
+            WHEN 'Balance Sheet' THEN l.CurrentPrincipalBalanceAmt > {NO_BALANCE} AND l.LoanType IS NOT NULL
+            WHEN 'GNMA' THEN a.code IS NOT NULL AND {_k("l.LoanStatusId")} IN ({OPEN_STATUSES})
             ELSE false END""",
 }
 
@@ -62,39 +96,27 @@ def _loans_cte(variant: str) -> str:
     rows = "loan_master" if variant == "current" else f"loan_master_me WHERE MEPeriod = {FIXTURE_PERIOD}"
     return f"""
     allowed AS (
-        SELECT 'GNMA' AS src, unnest(['2', '3', '4', 'F']) AS code
-        UNION ALL SELECT 'Balance Sheet', unnest(['1', '2', '3', '4', 'F'])
+        SELECT 'GNMA' AS src, unnest([{POOLED_DELINQUENCY}]) AS code
+        UNION ALL SELECT 'Balance Sheet', unnest([{BALANCE_SHEET_DELINQUENCY}])
     ),
     labelled AS (SELECT *, {_SOURCE} AS Source, {_LOAN_TYPE} AS LoanType FROM {rows}),
     loans AS ({_ALLOWED[variant]})"""
 
 
+_STATUS = _k("LossMitStatusCodeid")
 _MOD = "lower(LossMitTemplateId) LIKE '%mod%'"
 _STAGES = [
-    (
-        f"LossMitStatusCodeid = 'C' AND {_MOD} AND datediff('day', StatusCompleted, {RUN}) < 30",
-        "Final Mod Processing",
-    ),
-    (f"LossMitStatusCodeid IS NULL OR (LossMitStatusCodeid IN ('R', 'C') AND {_MOD})", ""),
+    (f"{_STATUS} = 'c' AND {_MOD} AND datediff('day', StatusCompleted, {RUN}) < {FINAL_MOD_DAYS}", FINAL_MOD),
+    ("LossMitStatusCodeid IS NULL", ""),
+    (f"{_STATUS} IN ('r', 'c') AND {_MOD}", ""),
     (f"LossMitStatusCodeid IS NOT NULL AND NOT ({_MOD})", ""),
-    (
-        "coalesce(StatusFinalDocumentsToBeReceived, StatusFinalDocumentsReceivedInReview) IS NOT NULL",
-        "Final Mod Processing",
-    ),
-    (
-        "lower(StatusCurrent) IN ('approved - send final documents', 'final documents to be received', "
-        "'final documents received - in review', 'approved send final docs / file prep', "
-        "'final docs received - bk approval pending', 'final docs received - pending corrections')",
-        "Final Mod Processing",
-    ),
-    (
-        "coalesce(Verify4thTrialPaymentReceivedDt, Verify3rdTrialPaymentReceivedDt) IS NOT NULL",
-        "3rd Trial Payment Received",
-    ),
-    ("Verify2ndTrialPaymentReceivedDt IS NOT NULL", "2nd Trial Payment Received"),
-    ("VerifyFirstTrialPaymentReceivedDt IS NOT NULL", "1st Trial Payment Received"),
-    ("statusApprovedSendTrialPackage IS NOT NULL", "Trial Offered"),
-    ("StatusTrialToBeAccepted IS NOT NULL", "Trial Offered"),
+    ("StatusFinalDocumentsToBeReceived IS NOT NULL OR StatusFinalDocumentsReceivedInReview IS NOT NULL", FINAL_MOD),
+    (f"{_k('StatusCurrent')} IN ({FINAL_DOCUMENT_STATUSES})", FINAL_MOD),
+    ("Verify4thTrialPaymentReceivedDt IS NOT NULL OR Verify3rdTrialPaymentReceivedDt IS NOT NULL", THIRD_TRIAL),
+    ("Verify2ndTrialPaymentReceivedDt IS NOT NULL", SECOND_TRIAL),
+    ("VerifyFirstTrialPaymentReceivedDt IS NOT NULL", FIRST_TRIAL),
+    ("statusApprovedSendTrialPackage IS NOT NULL", TRIAL_OFFERED),
+    ("StatusTrialToBeAccepted IS NOT NULL", TRIAL_OFFERED),
 ]
 
 
@@ -117,42 +139,46 @@ def _rules(variant: str, with_lists: bool) -> list[tuple[str, str | None]]:
         found = f"LoanId IN (SELECT c.LoanId FROM collection_commentactivity c WHERE c.ReasonCode = '{code}')"
         return [(found, reason)] if with_lists else []
 
-    rules = [("PayoffStopCodeId <> '0'", "PIF"), ("NativeAmericanLoanFlag = '1'", "NAHousing")]
+    active = f"{_STATUS} = 'a'"
+    template = _k("LossMitTemplateId")
+    rules = [(f"{_k('PayoffStopCodeId')} <> '0'", "PIF"), (f"{_k('NativeAmericanLoanFlag')} = '1'", "NAHousing")]
     if month_end:
         rules.append(("has_184", "NAHousing"))
     rules += [
-        ("LoTypeId = '2' AND refi_purpose IS NOT NULL", "VA_Refi"),
+        (f"{_k('LoTypeId')} = '2' AND refi_purpose IS NOT NULL", "VA_Refi"),
         *in_list("collateral", "Collateral"),
         *in_list("unsaleable", "Unsaleable Loan"),
-        ("LoanId = 1002013712 OR LoanId = 1001898972", "Franklin American"),
-        ("ARMFlag = 'Y'", "ARM"),
-        ("LoanId = 8019110169", "Unsaleable Loan"),
+        (f"LoanId IN ({FRANKLIN_AMERICAN})", "Franklin American"),
+        (f"{_k('ARMFlag')} = 'y'", "ARM"),
+        (f"LoanId IN ({UNSALEABLE})", "Unsaleable Loan"),
         *in_list("active_repurchase", "Active Repurchase"),
     ]
     if not month_end:
-        rules.append(("DelinquentStatusCodeId IN ('P', 'A', 'B', 'C', 'D')", "< 30 DAYS DQ"))
+        rules.append((f"{_k('DelinquentStatusCodeId')} IN ({CURRENT_DELINQUENCY})", "< 30 DAYS DQ"))
     rules += [
-        ("CurrentPrincipalBalanceAmt < 30000", "Low Balance"),
-        ("CurrentInterestRate < 0.0275", "Low Rate"),
-        ("LossMitStatusCodeid = 'A' AND LossMitTemplateId = 'HHF'", "HHF"),
+        (f"CurrentPrincipalBalanceAmt < {LOW_BALANCE}", "Low Balance"),
+        (f"CurrentInterestRate < {LOW_RATE}", "Low Rate"),
+        (f"{active} AND {template} = 'hhf'", "HHF"),
         ("has_001", "Deceased Borrower"),
-        ("'X' IN (BorrowerOneConsumerInfoCodeId, BorrowerTwoConsumerInfoCodeId)", "Deceased Borrower"),
+        (
+            f"{_k('BorrowerOneConsumerInfoCodeId')} = 'x' OR {_k('BorrowerTwoConsumerInfoCodeId')} = 'x'",
+            "Deceased Borrower",
+        ),
         *in_list("deceased", "Deceased Borrower"),
-        ("ModStage = 'Final Mod Processing'", None),
-        ("ModStage LIKE '2nd%' OR ModStage LIKE '3rd%'", None),
-        ("SSDILStatus <> ''", "Completed SS/DIL"),
+        (f"ModStage = '{FINAL_MOD}'", None),
+        (f"ModStage IN ('{SECOND_TRIAL}', '{THIRD_TRIAL}')", None),
+        (f"SSDILStatus = '{SHORT_SALE_DONE}'", SHORT_SALE_DONE),
         (
-            "LossMitStatusCodeid = 'A' AND LossMitTemplateId IN ('HAFS', 'SS') "
-            "AND least(G58_Date, R33_Date) IS NOT NULL",
+            f"{active} AND {template} IN ({SHORT_SALE_TEMPLATES}) AND (G58_Date IS NOT NULL OR R33_Date IS NOT NULL)",
             "Short Sale Claim Completed",
         ),
         (
-            "LossMitStatusCodeid = 'A' AND LossMitTemplateId IN ('HAFD', 'DIL2') "
-            "AND least(L49_Date, L50_Date, G59_Date, G60_Date) IS NOT NULL",
+            f"{active} AND {template} IN ({DEED_IN_LIEU_TEMPLATES}) AND (L49_Date IS NOT NULL OR L50_Date IS NOT NULL "
+            "OR G59_Date IS NOT NULL OR G60_Date IS NOT NULL)",
             "DIL Claim Completed",
         ),
         ("SaleDt IS NOT NULL", "FCSale"),
-        (f"NOT ScheduledSaleDt < {SALE_CUTOFF[variant]}", "FCSale"),
+        (f"ScheduledSaleDt >= {SALE_CUTOFF[variant]}", "FCSale"),
     ]
     if month_end:
         late = f"NextPaymentDueDt > {DUE_CUTOFF_POOLED}"
@@ -177,8 +203,9 @@ def _report_ctes(variant: str, with_lists: bool = False) -> str:
     if month_end:
         tables += ["loan_master_me", "modification_master_me", "foreclosure_master_me", "borrower_master_me"]
         tables.append("escrow_master")
-    has_184 = "SELECT e.LoanId FROM escrow_master e WHERE e.MortgageInsuranceFHASectionADPCode = '184'"
-    flags = "l.LoanId IN (SELECT c.LoanId FROM collection_commentactivity c WHERE c.ReasonCode = '001') AS has_001"
+    has_184 = "SELECT e.LoanId FROM escrow_master e WHERE rtrim(e.MortgageInsuranceFHASectionADPCode) = '184'"
+    commented = "SELECT c.LoanId FROM collection_commentactivity c WHERE rtrim(c.ReasonCode) = '001'"
+    flags = f"l.LoanId IN ({commented}) AS has_001"
     if month_end:
         flags += f", l.LoanId IN ({has_184}) AS has_184"
     rules = _rules(variant, with_lists)
@@ -186,17 +213,17 @@ def _report_ctes(variant: str, with_lists: bool = False) -> str:
         fixture_ctes(*tables)
         + f""",{_loans_cte(variant)},
     refi AS (
-        SELECT DISTINCT v.LoanId, v.OriginalLoanToValueRatio AS refi_ltv, v.LoanPurposeCodeId AS refi_purpose,
-            n.LoanPurposeCodeDesc
-        FROM loan_master v LEFT JOIN ref_loanpurposecode n ON n.LoanPurposeCodeId = v.LoanPurposeCodeId
-        WHERE v.LoTypeId = '2' AND v.OriginalLoanToValueRatio > 0.90 AND v.LoanPurposeCodeId IN ('5', '6', '7')
+        SELECT LoanId, OriginalLoanToValueRatio AS refi_ltv, min(l.LoanPurposeCodeId) AS refi_purpose
+        FROM loan_master l LEFT JOIN ref_loanpurposecode n ON {_k("n.LoanPurposeCodeId")} = {_k("l.LoanPurposeCodeId")}
+        WHERE {_IS_REFI}
+        GROUP BY LoanId, OriginalLoanToValueRatio, {_k("l.LoanPurposeCodeId")}, LoanPurposeCodeDesc
     ),
     joined AS (
         SELECT l.*, s.LoanStatusDesc, p.PropertyState, m.* EXCLUDE (LoanId{", MEPeriod" if month_end else ""}),
             f.ScheduledSaleDt, f.SaleDt, t.* EXCLUDE (LoanId), b.BorrowerOneConsumerInfoCodeId,
             b.BorrowerTwoConsumerInfoCodeId, v.refi_ltv, v.refi_purpose, {flags}
         FROM loans l
-        LEFT JOIN ref_loanstatus s ON s.LoanStatusId = l.LoanStatusId
+        LEFT JOIN ref_loanstatus s ON {_k("s.LoanStatusId")} = {_k("l.LoanStatusId")}
         LEFT JOIN modification_master{suffix} m ON m.LoanId = l.LoanId{of_period.format("m")}
         LEFT JOIN foreclosure_master{suffix} f ON f.LoanId = l.LoanId{of_period.format("f")}
         LEFT JOIN borrower_master{suffix} b ON b.LoanId = l.LoanId{of_period.format("b")}
@@ -231,7 +258,7 @@ def _eligibility(variant: str) -> str:
         CAST({FIXTURE_PERIOD} AS INTEGER) AS MEPeriod, CAST({DATE_KEY} AS INTEGER) AS DateKey, {only},
         refi_ltv AS OriginalLoanToValueRatio, refi_purpose AS Loanpurposecodeid, pass_through AS "PT at Buyout",
         CAST(CurrentInterestRate - pass_through AS DECIMAL(9,6)) AS "Svcg Fee at Buyout", Source,
-        CASE WHEN CurrentInterestRate - pass_through > 0.00625 THEN 'Warning - High SFee' ELSE '' END
+        CASE WHEN CurrentInterestRate - pass_through > {HIGH_SERVICE_FEE} THEN 'Warning - High SFee' ELSE '' END
             AS "Servicing Fee Check"
     FROM scrubbed"""
     )
@@ -297,8 +324,8 @@ def oracle_sql() -> dict[str, str]:
         "source_label": _from_loans(f"InvestorId, {_SOURCE} AS Source"),
         "ssdil_status": _from_loans(f"LossMitDenialReasonCodeid, {_SSDIL} AS SSDILStatus"),
         "loan_status": fixture_ctes("loan_master", "ref_loanstatus")
-        + """SELECT LoanId, l.LoanStatusId, LoanStatusDesc AS LoanStatus
-        FROM loan_master l LEFT JOIN ref_loanstatus s ON s.LoanStatusId = l.LoanStatusId""",
+        + f"""SELECT LoanId, l.LoanStatusId, LoanStatusDesc AS LoanStatus
+        FROM loan_master l LEFT JOIN ref_loanstatus s ON {_k("s.LoanStatusId")} = {_k("l.LoanStatusId")}""",
         "property_state": fixture_ctes("loan_master_me", "portfolio_summary", "property_master")
         + f"""SELECT 'current' AS Variant, l.LoanId, PropertyState
         FROM loan_master l LEFT JOIN portfolio_summary p ON p.LoanId = l.LoanId
@@ -314,23 +341,25 @@ def oracle_sql() -> dict[str, str]:
         FROM loan_master l LEFT JOIN lossmitigation_step_transpose s ON s.LoanId = l.LoanId""",
         "deceased_comment": fixture_ctes("loan_master", "collection_commentactivity")
         + """SELECT LoanId, CASE WHEN LoanId IN
-            (SELECT LoanId FROM collection_commentactivity WHERE ReasonCode = '001') THEN '001' END AS ReasonCode
+            (SELECT LoanId FROM collection_commentactivity WHERE rtrim(ReasonCode) = '001') THEN '001' END AS ReasonCode
         FROM loan_master""",
         "na_housing_184": fixture_ctes("loan_master_me", "escrow_master")
         + f"""SELECT LoanId, CASE WHEN LoanId IN
-            (SELECT LoanId FROM escrow_master WHERE MortgageInsuranceFHASectionADPCode = '184') THEN '184' END
+            (SELECT LoanId FROM escrow_master WHERE rtrim(MortgageInsuranceFHASectionADPCode) = '184') THEN '184' END
             AS MortgageInsuranceFHASectionADPCode
         FROM loan_master_me WHERE MEPeriod = {FIXTURE_PERIOD}""",
         "va_refi": fixture_ctes("loan_master", "ref_loanpurposecode")
-        + """SELECT DISTINCT LoanId, LoTypeId, l.LoanPurposeCodeId, LoanPurposeCodeDesc, OriginalLoanToValueRatio
-        FROM loan_master l LEFT JOIN ref_loanpurposecode p ON p.LoanPurposeCodeId = l.LoanPurposeCodeId
-        WHERE LoTypeId = '2' AND OriginalLoanToValueRatio > 0.90 AND l.LoanPurposeCodeId IN ('5', '6', '7')""",
+        + f"""SELECT LoanId, min(LoTypeId) AS LoTypeId, min(l.LoanPurposeCodeId) AS LoanPurposeCodeId,
+            LoanPurposeCodeDesc, OriginalLoanToValueRatio
+        FROM loan_master l LEFT JOIN ref_loanpurposecode p ON {_k("p.LoanPurposeCodeId")} = {_k("l.LoanPurposeCodeId")}
+        WHERE {_IS_REFI}
+        GROUP BY LoanId, {_k("l.LoanPurposeCodeId")}, LoanPurposeCodeDesc, OriginalLoanToValueRatio""",
         "buyout_rates": fixture_ctes("loan_master")
         + f"""SELECT *, CAST(CurrentInterestRate - "PT at Buyout" AS DECIMAL(9,6)) AS "Svcg Fee at Buyout" FROM
         (SELECT LoanId, CurrentInterestRate, FirstServiceFeeRt, {_PASS_THROUGH} AS "PT at Buyout" FROM loan_master)""",
         "servicing_fee_check": fixture_ctes("loan_master")
         + f"""SELECT LoanId, fee AS "Svcg Fee at Buyout",
-            CASE WHEN fee > 0.00625 THEN 'Warning - High SFee' ELSE '' END AS "Servicing Fee Check"
+            CASE WHEN fee > {HIGH_SERVICE_FEE} THEN 'Warning - High SFee' ELSE '' END AS "Servicing Fee Check"
         FROM (SELECT LoanId, CAST(CurrentInterestRate - {_PASS_THROUGH} AS DECIMAL(9,6)) AS fee FROM loan_master)""",
         "mod_stage": fixture_ctes("loan_master", "modification_master")
         + f""",

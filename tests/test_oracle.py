@@ -52,5 +52,5 @@ def test_query_equals_check_sql(spark, duck, sf_dir, name):
 
 def test_entry(spark):
     df = entry(spark)
-    assert df.count() == 920
+    assert df.count() == 951
     assert len(df.columns) == 37

@@ -6,26 +6,69 @@ from decimal import Decimal
 import pytest
 
 from scrubline import CURRENT, MONTH_END, eligibility
+from scrubline.operators.rules import LIST_REASONS, FixedLists
 from small import AS_OF, loan, small_tables
 
 DAY = dt.date(2001, 5, 1)
 VA = {"LoTypeId": "2", "OriginalLoanToValueRatio": Decimal("0.91"), "LoanPurposeCodeId": "6"}
 
-# Each step makes a loan match one more rule; steps are in rule order. (table, changes, reason current, month-end)
-STEPS = [
+# Each step makes a loan match one more rule; steps are in rule order. (table or list, changes, reason current, month-end)
+LISTED, FIXED = "list", "fixed list"
+FIRST_STEPS = [
     ("loan_master", {"PayoffStopCodeId": "1"}, "PIF", "PIF"),
     ("loan_master", {"NativeAmericanLoanFlag": "1"}, "NAHousing", "NAHousing"),
     ("escrow_master", {"MortgageInsuranceFHASectionADPCode": "184"}, None, "NAHousing"),
     ("loan_master", VA, "VA_Refi", "VA_Refi"),
+    (LISTED, "collateral", "Collateral", "Collateral"),
+    (LISTED, "unsaleable", "Unsaleable Loan", "Unsaleable Loan"),
+    (FIXED, "franklin_american", "Franklin American", "Franklin American"),
     ("loan_master", {"ARMFlag": "y"}, "ARM", "ARM"),
+    (FIXED, "unsaleable", "Unsaleable Loan", "Unsaleable Loan"),
+    (LISTED, "active_repurchase", "Active Repurchase", "Active Repurchase"),
     ("loan_master", {"CurrentPrincipalBalanceAmt": Decimal("29999.99")}, "Low Balance", "Low Balance"),
     ("loan_master", {"CurrentInterestRate": Decimal("0.027499")}, "Low Rate", "Low Rate"),
-    ("borrower_master", {"BorrowerTwoConsumerInfoCodeId": "X"}, "Deceased Borrower", "Deceased Borrower"),
-    ("modification_master", {"Verify2ndTrialPaymentReceivedDt": DAY}, *["2nd Trial Payment Received"] * 2),
-    ("loan_master", {"LossMitDenialReasonCodeid": "LP"}, "Completed SS/DIL", "Completed SS/DIL"),
+]
+LAST_STEPS = [
     ("foreclosure_master", {"SaleDt": DAY}, "FCSale", "FCSale"),
     ("loan_master", {"NextPaymentDueDt": dt.date(2001, 5, 2)}, "", "<90 Days DQ - GNMA"),
 ]
+SALE_DONE = ("loan_master", {"LossMitDenialReasonCodeid": "LP"}, "Completed SS/DIL", "Completed SS/DIL")
+STEPS_TABLE = "lossmitigation_step_transpose"
+# Rules that exclude each other are in different chains: (what every loan of the chain has, steps).
+CHAINS = {
+    "modification": (
+        {"LossMitStatusCodeid": "P", "LossMitTemplateId": "FHAMOD"},
+        [
+            *FIRST_STEPS,
+            ("borrower_master", {"BorrowerTwoConsumerInfoCodeId": "X"}, "Deceased Borrower", "Deceased Borrower"),
+            ("modification_master", {"Verify2ndTrialPaymentReceivedDt": DAY}, *["2nd Trial Payment Received"] * 2),
+            SALE_DONE,
+            *LAST_STEPS,
+        ],
+    ),
+    "hardest hit fund": (
+        {"LossMitStatusCodeid": "A", "LossMitTemplateId": "OTHER"},
+        [
+            *FIRST_STEPS,
+            ("loan_master", {"LossMitTemplateId": "HHF"}, "HHF", "HHF"),
+            ("collection_commentactivity", {"ReasonCode": "001"}, "Deceased Borrower", "Deceased Borrower"),
+            SALE_DONE,
+            *LAST_STEPS,
+        ],
+    ),
+    "listed as deceased": (
+        {},
+        [*FIRST_STEPS, (LISTED, "deceased", "Deceased Borrower", "Deceased Borrower"), SALE_DONE, *LAST_STEPS],
+    ),
+    "short sale": (
+        {"LossMitStatusCodeid": "A", "LossMitTemplateId": "SS"},
+        [SALE_DONE, (STEPS_TABLE, {"G58_Date": DAY}, *["Short Sale Claim Completed"] * 2), *LAST_STEPS],
+    ),
+    "deed in lieu": (
+        {"LossMitStatusCodeid": "A", "LossMitTemplateId": "DIL2"},
+        [SALE_DONE, (STEPS_TABLE, {"G60_Date": DAY}, *["DIL Claim Completed"] * 2), *LAST_STEPS],
+    ),
+}
 
 
 def scrubs(spark, rows, variant, **options):
@@ -33,20 +76,28 @@ def scrubs(spark, rows, variant, **options):
     return {row["LoanId"]: row["EligibilityScrub"] for row in report.collect()}
 
 
+@pytest.mark.parametrize("chain", CHAINS)
 @pytest.mark.parametrize("variant", [CURRENT, MONTH_END], ids=lambda v: v.name)
-def test_earlier_rule_wins(spark, variant):
-    """Loan i matches rule i and every later one, so it must get the reason of rule i."""
-    rows, expected = {}, {}
-    for i in range(len(STEPS)):
-        # An open modification, so that the trial payment counts.
-        by_table = {"loan_master": loan(i, LossMitStatusCodeid="P", LossMitTemplateId="FHAMOD")}
-        for table, changes, *_ in STEPS[i:]:
-            by_table[table] = by_table.get(table, {"LoanId": i}) | changes
+def test_earlier_rule_wins(spark, variant, chain):
+    """Loan i matches rule i of the chain and every later one, so it must get the reason of rule i: swapping any two
+    neighbours gives a loan another reason."""
+    base, steps = CHAINS[chain]
+    rows, expected, lists, fixed = {}, {}, {name: [] for name in LIST_REASONS}, {"franklin_american": (), "unsaleable": ()}
+    for i in range(len(steps)):
+        by_table = {"loan_master": loan(i, **base)}
+        for table, changes, *_ in steps[i:]:
+            if table == LISTED:
+                lists[changes].append(i)
+            elif table == FIXED:
+                fixed[changes] += (i,)
+            else:
+                by_table[table] = by_table.get(table, {"LoanId": i}) | changes
         for table, row in by_table.items():
             rows.setdefault(table, []).append(row)
-        reasons = [step[3] if variant.month_end else step[2] for step in STEPS[i:]]
+        reasons = [step[3] if variant.month_end else step[2] for step in steps[i:]]
         expected[i] = next(reason for reason in reasons if reason is not None)
-    assert scrubs(spark, rows, variant) == expected
+    frames = {name: spark.createDataFrame([(i,) for i in ids], "LoanId long") for name, ids in lists.items()}
+    assert scrubs(spark, rows, variant, exclusion_lists=frames, fixed_lists=FixedLists(**fixed)) == expected
 
 
 EDGES = [
