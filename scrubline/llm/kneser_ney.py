@@ -63,11 +63,17 @@ def _order_hash(rule: Quality) -> Column:
 def training_sample(docs: DataFrame, trusted: DataFrame, rule: Quality) -> DataFrame:
     """Texts of the bounded sample: in seeded order, whole documents while they fit."""
     sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.length("text").alias("chars"))
-    candidates = sized.join(trusted, "doc_id", "left_semi").withColumn("h", _order_hash(rule)).filter("pmod(h, 2) = 0 and chars > 0")
-    by_language = Window.partitionBy("lang").orderBy("h", "chars")
-    few = cut(candidates.withColumn("n", F.row_number().over(by_language)).filter(F.col("n") <= rule.train_rows))
+    draw = F.shiftrightunsigned(_order_hash(rule), 11) / float(1 << 53)
+    candidates = sized.join(trusted, "doc_id", "left_semi").filter(F.pmod(_order_hash(rule), F.lit(2)) == 0)
+    candidates = cut(candidates.filter("chars > 0").withColumn("h", draw))
+    # Twice the wanted share of each language by its count, so that only about so many rows are ordered at all.
+    share = (2.0 * rule.train_rows / F.count("*")).alias("share")
+    shares = bounded(candidates.groupBy(F.col("lang").alias("of")).agg(share), 10_000)
+    drawn = candidates.join(shares, F.col("lang").eqNullSafe(F.col("of"))).filter("h < share")
+    by_language = Window.partitionBy("lang").orderBy("h", "doc_id", "chars")
+    few = cut(drawn.withColumn("n", F.row_number().over(by_language)).filter(F.col("n") <= rule.train_rows))
     # In rank order over all languages; a language adds train_rows at most, and the sum stops at train_chars.
-    taken = Window.orderBy("n", "h", "chars").rowsBetween(Window.unboundedPreceding, 0)
+    taken = Window.orderBy("n", "h", "doc_id", "chars").rowsBetween(Window.unboundedPreceding, 0)
     ids = few.withColumn("sum", F.sum("chars").over(taken)).filter(F.col("sum") <= rule.train_chars).select("doc_id").distinct()
     typed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("text is not null")
     return typed.join(bounded(ids, rule.train_chars), "doc_id", "left_semi")
