@@ -28,6 +28,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, directory: str) -> None:
+    """Deletes a folder that was made with ``fresh_dir``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, computed once and kept in the shared folder, without the lineage before them.
 
