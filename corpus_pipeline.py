@@ -2,7 +2,8 @@
 
 Documents whose text is unlike trusted text go; of near duplicates one stays; documents that hold benchmark text go; sources
 are mixed to their target weights, so a document may then occur up to three times; what is left is written as token ids and
-read back. Every stage is written as Parquet into the shared folder and read again, which also cuts its lineage.
+read back. Every stage is written as Parquet into the shared folder and read again, which also cuts its lineage; a stage's
+table is removed when the next one is written. The token files stay.
 
 Empty and null texts pass the quality stage, are one group of near duplicates, hold no benchmark text and have size 0, so the
 mix takes them by whole rounds only. Columns that are not of ``documents`` pass through all stages but the last. An
@@ -14,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scrubline.llm import decontaminate, kneser_ney, mixing, simhash, token_shards
-from scrubline.llm.common import fresh_dir, table
+from scrubline.llm.common import fresh_dir, remove, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -60,4 +61,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{directory}/{i}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if i:
+            remove(spark, f"{directory}/{i - 1}")
+    tokens = STAGES[-1][1](spark, docs, sf_dir)  # the files are written here; reading them needs no stage's table
+    remove(spark, directory)
+    return tokens

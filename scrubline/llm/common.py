@@ -1,12 +1,14 @@
-"""Helpers shared by the operators: tables, names and checkpoints in the shared folder."""
+"""Helpers shared by the operators: tables, names, and checkpoints in the shared folder."""
 
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scrubline.shared import bounded, cut, fresh_dir, remove, shared_dir
+
+__all__ = ["BLANKS", "WORD", "bounded", "cut", "fresh_dir", "remove", "shared_dir", "shielded", "table", "unsigned"]
+
 # What separates words, and a word, as the contracts spell them. Both work in Java's and Python's regex.
 BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
@@ -16,36 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, which the cluster names.
-
-    Where it is unset a local session gets a temporary folder, since there all tasks share this machine's disk; any other
-    session is refused, because executors would not see a local folder of the driver.
-    """
-    context = spark.sparkContext
-    directory = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if directory is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        directory = "file://" + tempfile.mkdtemp(prefix="scrubline-")
-        context.setCheckpointDir(directory)
-    return directory
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and kept in the shared folder, without the lineage before them.
-
-    Spark removes the files when the DataFrame is gone and ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
-    """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new place in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def unsigned(value: Column) -> Column:
     """A 64-bit value as 16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(value)), 16, "0")
@@ -56,9 +28,3 @@ def shielded(df: DataFrame, used: Sequence[str], made: Callable[[DataFrame], Dat
     hidden = {name: f"__kept_{i}" for i, name in enumerate(df.columns) if name not in used}
     back = [F.col(hidden.get(name, name)).alias(name) for name in df.columns]
     return made(df.withColumnsRenamed(hidden)).select(back)
-
-
-def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` cut off, and marked for broadcast only if counting shows that it has at most ``rows`` (narrow) rows."""
-    df = cut(df)
-    return F.broadcast(df) if df.count() <= rows else df

@@ -6,8 +6,9 @@ places, and from each place that does not continue a match to the left the longe
 become numbers of the benchmark's vocabulary by a 64-bit hash; a place counts only after its bytes were compared.
 
 Only suffixes that start with as many benchmark words as the shortest window has are sorted, since no other can match.
-The benchmark is a stated query set: it is read in blocks of at most ``block_bytes``, one broadcast and one pass of the
-narrow chain each, so its size is bounded for every task. Documents are neither shuffled nor grouped.
+The benchmark is a stated query set: it is read in blocks of at most ``block_bytes``, one broadcast and one pass each, so its
+size is bounded for every task; after every few passes the documents are written and read again, so a task never holds
+more blocks than that. Documents are neither shuffled nor grouped.
 """
 
 import re
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scrubline.llm.common import shielded
+from scrubline.llm.common import fresh_dir, shielded
 
 # Fixed value: a word of lower-cased UTF-8.
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -28,6 +29,7 @@ _IS_WORD = np.array([bool(_WORD.match(bytes([i]))) for i in range(256)])
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 1 << 64)
 _PIECE = 1 << 21
+_PASSES_AT_ONCE = 4
 
 _MATCHES = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("item_id", pa.int64()), ("item_start", pa.int64())]))
 MATCHES_TYPE = T.ArrayType(T.StructType([T.StructField(f.name, T.LongType()) for f in _MATCHES.value_type]))
@@ -283,6 +285,10 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, rule: Decontamination =
         names = [c for c in narrow.columns if i == 0 or c not in ("n_words", "matches")]
         schema = narrow.select(names).schema.add("n_words", T.LongType()).add("matches", MATCHES_TYPE)
         narrow = narrow.mapInArrow(_pass(block, names, names.index("text"), rule, i == 0), schema)
+        if i % _PASSES_AT_ONCE == _PASSES_AT_ONCE - 1 and i + 1 < n_blocks:
+            path = fresh_dir(spark, "matches")
+            narrow.write.parquet(path)
+            narrow = spark.read.parquet(path)
     return narrow
 
 

@@ -273,7 +273,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
 def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, line) of the wanted ids. Few ids are sent to the scan; many meet the lines after these were made one per id."""
     wanted = cut(ids.select("id").distinct())
-    if wanted.count() <= 2_000_000:
+    if wanted.count() <= 500_000:
         return lines.join(F.broadcast(wanted), "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
     return lines.groupBy("id").agg(F.min("line").alias("line")).join(wanted, "id", "left_semi")
 

@@ -36,13 +36,15 @@ _REMEMBERED = 1 << 20
 
 @dataclass(frozen=True)
 class TokenFiles:
-    """The tokenizer's file, the end id, ids per sequence, sequences per batch, bytes of text per file."""
+    """The tokenizer's file, the end id, ids per sequence, sequences per batch, bytes of text per file, and the most files,
+    beyond which files grow."""
 
     tokenizer: str = public_tokenizers.path("byte_bpe_50k.json")
     end_id: int = 2
     length: int = 1024
     batch: int = 512
     file_bytes: int = 32 << 20
+    most_files: int = 20_000
 
 
 class Encoder:
@@ -94,7 +96,7 @@ def id_type(vocabulary: int, end_id: int) -> str:
 def _bounds(docs: DataFrame, rule: TokenFiles) -> list[int]:
     """Upper ends of the files' ranges of doc_id, all but the last one's."""
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)).first()[0] or 0
-    n = -(-size // rule.file_bytes)
+    n = min(-(-size // rule.file_bytes), rule.most_files)
     if n <= 1:
         return []
     parts = F.array(*[F.lit(i / n) for i in range(1, n)]) if n < 1000 else F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: i / n)
@@ -178,7 +180,12 @@ class _Writer:
         for stream in (self.tokens, self.documents, *self.outs.values()):
             stream.close()
         for x, path in self.attempt.items():
-            self.fs.move(path, self.names[x])
+            try:
+                self.fs.move(path, self.names[x])
+            except OSError:  # some stores refuse to replace the same file of an earlier attempt
+                if self.fs.get_file_info(self.names[x]).type != pafs.FileType.File:
+                    raise
+                self.fs.delete_file(path)
         return self.file, self.docs, self.written
 
 
