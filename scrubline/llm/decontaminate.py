@@ -322,3 +322,32 @@ def report(docs: DataFrame, benchmark: DataFrame, rule: Decontamination = Decont
         F.sha2(F.concat_ws(",", listed), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+_SQL_WORDS = (
+    "coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+)
+
+ORACLE = f"""
+WITH docs AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[j:j + n - 1], ' ') AS words
+    FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS j FROM items WHERE len(w) > 0)
+),
+places AS (
+    SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS j,
+        unnest(list_transform(range(1, len(w) - n + 2), lambda j: array_to_string(w[j:j + n - 1], ' '))) AS words
+    FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+),
+found AS (SELECT p.doc_id, p.j, p.n, i.item_id FROM places p JOIN windows i ON i.n = p.n AND i.words = p.words),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(j, j + n)) AS place FROM found) GROUP BY doc_id),
+listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN listed l ON l.doc_id = d.doc_id
+"""

@@ -69,4 +69,5 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE,
     "op3_chat_formatting": chat.ORACLE,
+    "op4_benchmark_decontamination": decontaminate.ORACLE,
 }

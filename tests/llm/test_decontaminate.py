@@ -4,12 +4,13 @@ import hashlib
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from scrubline.llm import decontaminate as dc
 from scrubline.llm.decontaminate import Decontamination
-from scrubline.llm.queries import QUERIES
+from scrubline.llm.queries import ORACLE_SQL, QUERIES
 
 ITEMS = "item_id bigint, text string"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -54,6 +55,18 @@ def test_query_equals_brute_force(spark, scale):
     assert any(r[-1] for r in result)
 
 
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_query_equals_sql(spark, scale):
+    sf = f"/root/testdata/{scale}"
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
+    result = con.execute(ORACLE_SQL["op4_benchmark_decontamination"])
+    names = [c[0] for c in result.description]
+    rows = QUERIES["op4_benchmark_decontamination"](spark, sf).select(names).collect()
+    assert sorted(map(tuple, rows)) == sorted(result.fetchall())
+
+
 def test_edges(spark, documents):
     long = " ".join(f"w{i}" for i in range(40))
     items = [(1, long), (1, long), (2, "Short Item!"), (3, None), (4, "..."), (None, "no id here"), (5, "É été"), (10, "w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 other")]
