@@ -70,4 +70,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE,
     "op3_chat_formatting": chat.ORACLE,
     "op4_benchmark_decontamination": decontaminate.ORACLE,
+    "op10_quality_rules": risk_rules.ORACLE,
 }

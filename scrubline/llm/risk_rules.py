@@ -207,3 +207,67 @@ def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
 def report(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """The digest: doc_id, the five base features, base_failed, kept."""
     return judge(docs, labels, risk).select("doc_id", *FEATURES[:5], "base_failed", "kept")
+
+
+def _oracle(risk: Risk = Risk()) -> str:
+    """The digest as DuckDB SQL; the binomial test is summed term by term."""
+    ladders = ", ".join(f"({i}, {j}, {c!r}::DOUBLE)" for i, r in enumerate(risk.rules) for j, c in enumerate(r.ladder))
+    ratios = ", ".join(f"({i}, CASE WHEN {r.ratio.split(' / ')[1]} <> 0 THEN {r.ratio} ELSE 0 END)" for i, r in enumerate(risk.rules))
+    part = risk.risk / len(risk.rules)
+    return f"""
+WITH split AS (
+    SELECT doc_id, lang, coalesce(text, '') AS t, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+),
+lines AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM split)
+    WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+),
+windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 1)) AS j,
+        unnest(list_transform(range(1, len(w) - 1), lambda j: array_to_string(w[j:j + 2], ' '))) AS words
+    FROM split WHERE len(w) > 2
+),
+twice AS (SELECT doc_id, j FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, words) AS n FROM windows) WHERE n > 1),
+repeated AS (
+    SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(j, j + 3)) AS place FROM twice) GROUP BY doc_id
+),
+features AS (
+    SELECT s.doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(r.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+        length(regexp_replace(t, '[^A-ZÀ-ÖØ-Þ]', '', 'g')) AS n_upper
+    FROM split s LEFT JOIN lines l ON l.doc_id = s.doc_id LEFT JOIN repeated r ON r.doc_id = s.doc_id
+),
+based AS (
+    SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed FROM features
+),
+rated AS (
+    SELECT b.doc_id, b.lang, b.base_failed, r.rule, r.ratio
+    FROM based b, LATERAL (SELECT * FROM (VALUES {ratios}) AS v(rule, ratio)) r
+),
+good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(coalesce(quality, 0)) = 1),
+held AS (SELECT * FROM rated WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
+ladder(rule, step, cutoff) AS (VALUES {ladders}),
+counted AS (
+    SELECT lang, l.rule, step, cutoff, count(*) AS n, count(*) FILTER (WHERE ratio > cutoff) AS x
+    FROM held h JOIN ladder l ON l.rule = h.rule GROUP BY ALL
+),
+tested AS (
+    SELECT *, {risk.error!r} / ({len(risk.rules)} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM held))) < list_sum(list_transform(
+        range(0, x + 1), lambda i: exp(lgamma(n + 1) - CASE WHEN i > 0 THEN lgamma(i + 1) ELSE 0 END
+            - CASE WHEN i < n THEN lgamma(n - i + 1) ELSE 0 END + i * ln({part!r}) + (n - i) * ln(1 - {part!r})))) AS unsafe
+    FROM counted
+),
+reached AS (SELECT *, max(unsafe::INT) OVER (PARTITION BY lang, rule ORDER BY step) = 0 AS safe FROM tested),
+chosen AS (SELECT lang, rule, min(cutoff) AS cutoff FROM reached WHERE safe GROUP BY lang, rule),
+fallen AS (
+    SELECT DISTINCT doc_id FROM rated r JOIN chosen c ON c.rule = r.rule AND c.lang IS NOT DISTINCT FROM r.lang WHERE ratio > cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM fallen) AS kept
+FROM based
+"""
+
+
+ORACLE = _oracle()

@@ -5,11 +5,12 @@ import re
 from collections import Counter
 from fractions import Fraction
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from scrubline.llm import risk_rules as rr
-from scrubline.llm.queries import QUERIES
+from scrubline.llm.queries import ORACLE_SQL, QUERIES
 from scrubline.llm.risk_rules import Risk, Rule
 
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -41,6 +42,22 @@ def test_query(spark, scale):
         assert not (r.base_failed and r.kept)
 
 
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_query_equals_sql(spark, scale):
+    """At sf0.1 the labels suffice for cutoffs, so the binomial tests and the ladders are compared too."""
+    sf = f"/root/testdata/{scale}"
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
+    result = con.execute(ORACLE_SQL["op10_quality_rules"])
+    names = [c[0] for c in result.description]
+    expected = sorted(result.fetchall())
+    rows = sorted(map(tuple, QUERIES["op10_quality_rules"](spark, sf).select(names).collect()))
+    assert rows == expected
+    rejected = sum(not r[-1] and not r[-2] for r in expected)
+    assert (rejected > 0) == (scale == "sf0.1")
+
+
 def exact_below(x, n, p):
     p = Fraction(p).limit_denominator(10**6)
     return float(sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(x + 1)))
