@@ -31,7 +31,7 @@ from scrubline.llm.common import cut, fresh_dir
 _LATIN = re.compile(r"[\t\n\r\x20-\x7E\xA1-ſ]*")
 _LETTER, _DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼-¾"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\s{_LETTER}{_DIGIT}]+|\s+(?!\S)|\s+")
-_REMEMBERED = 1 << 20
+_REMEMBERED = 1 << 18
 
 
 @dataclass(frozen=True)
