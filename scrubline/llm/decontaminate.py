@@ -28,7 +28,7 @@ _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _IS_WORD = np.array([bool(_WORD.match(bytes([i]))) for i in range(256)])
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 1 << 64)
-_PIECE = 1 << 21
+_PIECE = 1 << 20
 _PASSES_AT_ONCE = 4
 
 _MATCHES = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("item_id", pa.int64()), ("item_start", pa.int64())]))
@@ -40,8 +40,8 @@ class Decontamination:
     """Words of a window, bytes of text per suffix array, bytes of benchmark text per pass."""
 
     window: int = 10
-    shard_bytes: int = 4 << 20
-    block_bytes: int = 16 << 20
+    shard_bytes: int = 1 << 20
+    block_bytes: int = 4 << 20
 
 
 def words(text: bytes) -> list[bytes]:
@@ -84,6 +84,12 @@ class _Hasher:
         return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the counted things its owner and its place among the owner's."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 class Block:
     """One block of the benchmark, ready for searching."""
 
@@ -95,32 +101,29 @@ class Block:
             if found:
                 self.ids.append(item)
                 texts.append(found)
-        vocabulary = sorted({w for t in texts for w in t})
-        self.number = {w: i + 1 for i, w in enumerate(vocabulary)}
-        hashes = hasher.piece(b" ".join(vocabulary))[1] if vocabulary else np.zeros(0, dtype=np.uint64)
+        self.vocabulary = sorted({w for t in texts for w in t})
+        number = {w: i + 1 for i, w in enumerate(self.vocabulary)}
+        hashes = hasher.piece(b" ".join(self.vocabulary))[1] if number else np.zeros(0, dtype=np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.numbers = hashes[order], (order + 1).astype(np.int32)
         self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
-        self.words = np.array([self.number[w] for t in texts for w in t], dtype=np.int32)
+        self.words = np.array([number[w] for t in texts for w in t], dtype=np.int32)
         self.depth = int(self.lengths.max(initial=0))
-        # Distinct windows, and the (item, place) of each suffix that begins with one.
-        places: dict[tuple, list[tuple[int, int]]] = {}
-        self.spelled: list[list[bytes]] = []
-        for i, t in enumerate(texts):
-            size = min(window, len(t))
-            for j in range(len(t) - size + 1):
-                key = tuple(t[j : j + size])
-                if key not in places:
-                    places[key] = []
-                    self.spelled.append(list(key))
-                places[key].append((i, j))
-        self.sizes = np.array([len(w) for w in self.spelled], dtype=np.int64)
-        self.windows = np.zeros((len(self.spelled), window), dtype=np.int32)
-        for i, w in enumerate(self.spelled):
-            self.windows[i, : len(w)] = [self.number[x] for x in w]
-        self.place_at = np.concatenate([[0], np.cumsum([len(v) for v in places.values()])]).astype(np.int64)
-        self.places = np.array([p for v in places.values() for p in v], dtype=np.int64).reshape(-1, 2)
+        # Every suffix that begins with a whole window, as (item, place); equal windows are looked up once.
+        whole = np.minimum(self.lengths, window)
+        item, start = _spread(self.lengths - whole + 1)
+        size = whole[item]
+        at = self.offsets[item][:, None] + start[:, None] + np.arange(window)
+        spelled = np.where(np.arange(window) < size[:, None], self.words[np.minimum(at, max(0, len(self.words) - 1))], 0) if len(item) else np.zeros((0, window), dtype=np.int32)
+        self.windows, which = np.unique(spelled, axis=0, return_inverse=True)
+        self.sizes = (self.windows > 0).sum(axis=1).astype(np.int64)
+        by_window = np.argsort(which.reshape(-1), kind="stable")
+        self.place_at = np.concatenate([[0], np.cumsum(np.bincount(which.reshape(-1), minlength=len(self.windows)))]).astype(np.int64)
+        self.places = np.stack([item, start], axis=1)[by_window]
+
+    def spelled(self, window: int) -> list[bytes]:
+        return [self.vocabulary[n - 1] for n in self.windows[window, : self.sizes[window]]]
 
     def numbered(self, hashes: np.ndarray) -> np.ndarray:
         """Vocabulary numbers of hashed words; 0 for words that no item has."""
@@ -183,12 +186,6 @@ class SuffixArray:
         return low
 
 
-def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each of the counted things its owner and its place among the owner's."""
-    owner = np.repeat(np.arange(len(counts)), counts)
-    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-
-
 def search(texts: list[bytes], block: Block, hasher: _Hasher, window: int) -> tuple[list[int], dict[int, list[dict]]]:
     """Number of words of each text; the longest matches of each text that has some."""
     hashed = _hash_all(texts, hasher) if len(texts) > 1 else [hasher.hashes(texts[0].lower())]
@@ -206,12 +203,15 @@ def search(texts: list[bytes], block: Block, hasher: _Hasher, window: int) -> tu
     doc = np.searchsorted(begins, place, side="right") - 1
     # The hash was exact only if the bytes agree.
     spelled: dict[int, list[bytes]] = {}
+    windows: dict[int, list[bytes]] = {}
     true = np.ones(len(which), dtype=bool)
     for i, (d, p, w) in enumerate(zip(doc.tolist(), place.tolist(), which.tolist())):
         if d not in spelled:
             spelled[d] = words(texts[d])
+        if w not in windows:
+            windows[w] = block.spelled(w)
         p -= int(begins[d])
-        true[i] = spelled[d][p : p + len(block.spelled[w])] == block.spelled[w]
+        true[i] = spelled[d][p : p + len(windows[w])] == windows[w]
     which, place, doc = which[true], place[true], doc[true]
     # Each occurrence for each item that has the window; those that go on to the left are part of a longer match.
     owner, nth = _spread(block.place_at[which + 1] - block.place_at[which])
