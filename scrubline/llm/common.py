@@ -4,10 +4,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from scrubline.shared import bounded, cut, fresh_dir, remove, shared_dir
 
-__all__ = ["BLANKS", "WORD", "bounded", "cut", "fresh_dir", "remove", "shared_dir", "shielded", "table", "unsigned"]
+__all__ = ["BLANKS", "WORD", "arrow_map", "bounded", "cut", "fresh_dir", "remove", "shared_dir", "shielded", "table", "unsigned"]
 
 # What separates words, and a word, as the contracts spell them. Both work in Java's and Python's regex.
 BLANKS = r"\x20\x09-\x0D"
@@ -18,6 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The bytes of an Arrow batch. Counted in rows alone, a batch of long texts can pass Arrow's 2 GB and an executor's memory.
+_BATCH_BYTES = 8 << 20
+
+
+def arrow_map(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes, unless the session sets a bound of its own."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) is None:
+        conf.set(key, str(_BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def unsigned(value: Column) -> Column:
     """A 64-bit value as 16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(value)), 16, "0")

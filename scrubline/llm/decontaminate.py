@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scrubline.llm.common import fresh_dir, shielded
+from scrubline.llm.common import arrow_map, fresh_dir, shielded
 
 # Fixed value: a word of lower-cased UTF-8.
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -284,7 +284,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, rule: Decontamination =
         block = spark.sparkContext.broadcast(Block([(r.item_id, r.text) for r in own.collect()], rule.window))
         names = [c for c in narrow.columns if i == 0 or c not in ("n_words", "matches")]
         schema = narrow.select(names).schema.add("n_words", T.LongType()).add("matches", MATCHES_TYPE)
-        narrow = narrow.mapInArrow(_pass(block, names, names.index("text"), rule, i == 0), schema)
+        narrow = narrow.transform(arrow_map, _pass(block, names, names.index("text"), rule, i == 0), schema)
         if i % _PASSES_AT_ONCE == _PASSES_AT_ONCE - 1 and i + 1 < n_blocks:
             path = fresh_dir(spark, "matches")
             narrow.write.parquet(path)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scrubline.llm.common import bounded, cut
+from scrubline.llm.common import arrow_map, bounded, cut
 
 _PAD = "\x02"
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -90,7 +90,7 @@ def _highest_counts(sample: DataFrame, order: int) -> DataFrame:
                 counts.update(padded[i : i + order] for i in range(len(text)))
             yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["gram", "c"])
 
-    return sample.select("text").mapInArrow(run, "gram string, c bigint").groupBy("gram").agg(F.sum("c").alias("c"))
+    return sample.select("text").transform(arrow_map, run, "gram string, c bigint").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
 def _discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -278,7 +278,7 @@ def with_surprise(docs: DataFrame, model: Model | None) -> DataFrame:
             scores = pa.array(_surprise(sent.value, batch.column(3).to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], scores], ["doc_id", "content", "lang", "surprise"])
 
-    return narrow.mapInArrow(run, "doc_id bigint, content bigint, lang string, surprise double")
+    return narrow.transform(arrow_map, run, "doc_id bigint, content bigint, lang string, surprise double")
 
 
 def thresholds(scored: DataFrame, trusted: DataFrame, rule: Quality) -> DataFrame:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.common import WORD, cut
+from scrubline.llm.common import WORD, arrow_map, cut
 from scrubline.llm.components import components
 
 
@@ -286,15 +286,15 @@ def links(lines: DataFrame, rule: LineDedup = LineDedup()) -> DataFrame:
     """(a, b): ids of different lines within ``edits`` edits, each verified, whose closure is that of all such pairs."""
     long = lines.select("id", "line").filter(F.length("line") >= rule.least_chars)
     dealt = lambda rows: rows.repartition("key").sortWithinPartitions("key")
-    keyed = dealt(long.mapInArrow(_key_rows(rule), _ROWS))
-    shared = cut(keyed.mapInArrow(_shared_rows(rule.group_rows), _SHARED))
+    keyed = dealt(long.transform(arrow_map, _key_rows(rule), _ROWS))
+    shared = cut(keyed.transform(arrow_map, _shared_rows(rule.group_rows), _SHARED))
     groups, hot = shared.filter("not hot").select("key", "id"), shared.filter("hot").select("key", "id").distinct()
     if not hot.isEmpty():
-        finer = hot.join(_texts(long, hot), "id").select("key", "id", "line").mapInArrow(_finer_rows(rule), _ROWS)
-        again = dealt(finer).mapInArrow(_shared_rows(None), _SHARED).select("key", "id")
+        finer = hot.join(_texts(long, hot), "id").select("key", "id", "line").transform(arrow_map, _finer_rows(rule), _ROWS)
+        again = dealt(finer).transform(arrow_map, _shared_rows(None), _SHARED).select("key", "id")
         groups = cut(groups.unionByName(again))
     with_text = groups.join(_texts(long, groups), "id").select("key", "id", "line")
-    return cut(dealt(with_text).mapInArrow(_verify(rule.edits), "a bigint, b bigint"))
+    return cut(dealt(with_text).transform(arrow_map, _verify(rule.edits), "a bigint, b bigint"))
 
 
 def near_duplicates(docs: DataFrame, rule: LineDedup = LineDedup()) -> DataFrame:

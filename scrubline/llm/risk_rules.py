@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.common import bounded, cut
+from scrubline.llm.common import arrow_map, bounded, cut
 
 # The symbols that are counted, and the base rules' limits.
 _SYMBOLS = "#*$%&|<>"
@@ -113,7 +113,7 @@ def with_features(docs: DataFrame) -> DataFrame:
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.xxhash64("text").alias("content"), "text")
     kinds = ", ".join(f"{f} bigint" for f in FEATURES)
-    return narrow.mapInArrow(run, f"doc_id bigint, lang string, content bigint, {kinds}")
+    return narrow.transform(arrow_map, run, f"doc_id bigint, lang string, content bigint, {kinds}")
 
 
 def base_failed() -> Column:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.common import cut, unsigned
+from scrubline.llm.common import arrow_map, cut, unsigned
 from scrubline.llm.components import components
 
 # Fixed value: the seed of the shingles' XXH64.
@@ -67,7 +67,7 @@ def with_fingerprint(docs: DataFrame, rule: SimHash = SimHash()) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column], ["doc_id", "content", "fingerprint"])
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("content"), "text")
-    return narrow.mapInArrow(run, "doc_id bigint, content bigint, fingerprint bigint")
+    return narrow.transform(arrow_map, run, "doc_id bigint, content bigint, fingerprint bigint")
 
 
 def _segments(bits: list[int], distance: int) -> list[list[int]]:
@@ -252,14 +252,14 @@ def links(prints: DataFrame, rule: SimHash = SimHash()) -> DataFrame:
 
     ``prints`` has one column of distinct signed fingerprints.
     """
-    grouped = prints.mapInArrow(_variants(rule.distance), _KEYED).repartition("key").sortWithinPartitions("key", "fp")
-    found = cut(grouped.mapInArrow(_links(rule.distance, rule.group_rows), _LINKED))
+    grouped = prints.transform(arrow_map, _variants(rule.distance), _KEYED).repartition("key").sortWithinPartitions("key", "fp")
+    found = cut(grouped.transform(arrow_map, _links(rule.distance, rule.group_rows), _LINKED))
     result = found.filter(~F.col("open")).select("a", "b")
     unresolved = found.filter("open").select("a", "b")
     if not unresolved.isEmpty():
-        again = unresolved.mapInArrow(_refine(rule.distance), _KEYED).repartition("key").sortWithinPartitions("key", "fp")
+        again = unresolved.transform(arrow_map, _refine(rule.distance), _KEYED).repartition("key").sortWithinPartitions("key", "fp")
         # Members of a group now agree on some 36 bits but for two, and are all distinct.
-        result = result.unionByName(again.mapInArrow(_links(rule.distance, None), _LINKED).select("a", "b"))
+        result = result.unionByName(again.transform(arrow_map, _links(rule.distance, None), _LINKED).select("a", "b"))
     return result
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scrubline.llm.common import cut, fresh_dir
+from scrubline.llm.common import arrow_map, cut, fresh_dir
 
 # The letters and digits of plain Latin text, and the pattern that splits text before merging, with
 # these in place of \p{L} and \p{N}.
@@ -222,9 +222,9 @@ def write(docs: DataFrame, directory: str, rule: TokenFiles = TokenFiles()) -> D
     kind = Encoder(rule).kind
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("content"), "text")
     bounds = _bounds(narrow, rule)
-    encoded = narrow.mapInArrow(_encode(bounds, rule), "file int, doc_id bigint, content bigint, tokens binary")
+    encoded = narrow.transform(arrow_map, _encode(bounds, rule), "file int, doc_id bigint, content bigint, tokens binary")
     dealt = encoded.repartitionById(len(bounds) + 1, "file").sortWithinPartitions("file", "doc_id", "content")
-    files = cut(dealt.mapInArrow(_write(directory, kind, rule), _FILES))
+    files = cut(dealt.transform(arrow_map, _write(directory, kind, rule), _FILES))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     return cut(files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0).cast("bigint"))))
 
@@ -296,7 +296,7 @@ def read(files: DataFrame, directory: str) -> DataFrame:
 
     n = max(1, files.count())
     each = files.select("file", "start").repartitionById(n, "file")
-    return each.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return each.transform(arrow_map, run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def round_trip(docs: DataFrame, rule: TokenFiles = TokenFiles()) -> DataFrame:
