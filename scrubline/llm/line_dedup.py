@@ -28,11 +28,12 @@ from scrubline.llm.components import components
 @dataclass(frozen=True)
 class LineDedup:
     """Most edits between linked lines, the fewest characters of a line that may differ at all (shorter ones must be
-    equal), and the most lines of a key that are verified as one group."""
+    equal), the most lines of a key that are verified as one group, and the most ids that are sent to the scan."""
 
     edits: int = 2
     least_chars: int = 30
     group_rows: int = 20_000
+    sent_ids: int = 500_000
 
     def __post_init__(self) -> None:
         if not 1 <= self.edits <= 5 or self.least_chars < 4 * (self.edits + 1):
@@ -270,10 +271,10 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return split.filter(F.col("line").rlike(WORD)).select("doc_id", "content", F.col("line_no").cast("bigint").alias("line_no"), line_id(F.col("line")).alias("id"), "line")
 
 
-def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
+def _texts(lines: DataFrame, ids: DataFrame, sent: int) -> DataFrame:
     """(id, line) of the wanted ids. Few ids are sent to the scan; many meet the lines after these were made one per id."""
     wanted = cut(ids.select("id").distinct())
-    if wanted.count() <= 500_000:
+    if wanted.count() <= sent:
         return lines.join(F.broadcast(wanted), "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
     return lines.groupBy("id").agg(F.min("line").alias("line")).join(wanted, "id", "left_semi")
 
@@ -290,10 +291,10 @@ def links(lines: DataFrame, rule: LineDedup = LineDedup()) -> DataFrame:
     shared = cut(keyed.transform(arrow_map, _shared_rows(rule.group_rows), _SHARED))
     groups, hot = shared.filter("not hot").select("key", "id"), shared.filter("hot").select("key", "id").distinct()
     if not hot.isEmpty():
-        finer = hot.join(_texts(long, hot), "id").select("key", "id", "line").transform(arrow_map, _finer_rows(rule), _ROWS)
+        finer = hot.join(_texts(long, hot, rule.sent_ids), "id").select("key", "id", "line").transform(arrow_map, _finer_rows(rule), _ROWS)
         again = dealt(finer).transform(arrow_map, _shared_rows(None), _SHARED).select("key", "id")
         groups = cut(groups.unionByName(again))
-    with_text = groups.join(_texts(long, groups), "id").select("key", "id", "line")
+    with_text = groups.join(_texts(long, groups, rule.sent_ids), "id").select("key", "id", "line")
     return cut(dealt(with_text).transform(arrow_map, _verify(rule.edits), "a bigint, b bigint"))
 
 

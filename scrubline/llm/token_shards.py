@@ -99,7 +99,7 @@ def _bounds(docs: DataFrame, rule: TokenFiles) -> list[int]:
     n = min(-(-size // rule.file_bytes), rule.most_files)
     if n <= 1:
         return []
-    parts = F.array(*[F.lit(i / n) for i in range(1, n)]) if n < 1000 else F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: i / n)
+    parts = F.lit(np.arange(1, n) / n)
     return sorted(set(docs.agg(F.percentile_approx("doc_id", parts, 100_000)).first()[0] or []))
 
 

@@ -97,8 +97,8 @@ def test_within():
             assert ld.within(a, b, edits) == (distance(a, b) <= edits)
 
 
-@pytest.mark.parametrize("limit", [20_000, 6])
-def test_hot_keys(documents, limit):
+@pytest.mark.parametrize(("limit", "sent"), [(20_000, 500_000), (6, 500_000), (6, 0)])
+def test_hot_keys(documents, limit, sent):
     """Lines that share long parts, chains of edits and far lines; with the small limit keys are dealt anew."""
     rnd = random.Random(3)
     base = "the quick brown fox jumps over the lazy dog near the old river bank today"
@@ -109,7 +109,7 @@ def test_hot_keys(documents, limit):
         chain = mutate(rnd, chain, 2)
         lines.append(chain)
     rows = [(i, "\n".join(rnd.sample(lines, 3))) for i in range(150)]
-    rule = LineDedup(group_rows=limit)
+    rule = LineDedup(group_rows=limit, sent_ids=sent)
     assert found(ld.report(documents(rows), rule)) == brute(rows, rule)
 
 

@@ -59,6 +59,15 @@ def test_many_files_and_short_sequences(spark):
             assert mask.to_pylist() == [i < len(part) for i in range(16)]
 
 
+def test_as_many_files_as_ids(spark):
+    """Far more files are asked for than there are documents: the bounds of thousands of ranges are found at once."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    rule = TokenFiles(file_bytes=1, most_files=5000)
+    assert len(ts._bounds(docs, rule)) == len(rows)
+    assert found(ts.round_trip(docs, rule)) == expected(rows)
+
+
 def test_edges(documents):
     odd = ["", None, "x", "x", "<|endoftext|> a", "tab\there  \n\n end ", "it's they'll no break", "日本語 テスト １２３", "a\x85b\x1cc d", "é" * 3000, " ", "\U0001f600!", "don't 'stop ''s"]
     rows = [(i, t) for i, t in enumerate(odd)] + [(2, "x"), (2, "x")]
