@@ -1,10 +1,9 @@
 """Quality classifier: per-document perplexity under an interpolated modified Kneser-Ney model of characters.
 
-Training runs on trusted text: documents labelled of quality and not toxic, half of them by a hash of the id, of these a
-bounded sample (``train_rows`` per language, ``train_chars`` in all). Counts are Spark tables sharded by n-gram: the
-counts of order k - 1 are grouped from the distinct n-grams of order k, and probabilities come from joins of an
-order's counts with its context sums and with the order below. The sample's bound is the model's bound, so the finished
-model is sent to the tasks, which score whole texts in one pass without a shuffle.
+Training runs on all trusted text: documents labelled of quality and not toxic, half of them by a hash of the id. Counts
+are Spark tables sharded by n-gram: the counts of order k - 1 are grouped from the distinct n-grams of order k, and
+probabilities come from joins of an order's counts with its context sums and with the order below. The finished model is
+sent to the tasks, which score whole texts in one pass without a shuffle.
 
 Thresholds are quantiles of the perplexity of all trusted documents of the other half, per language; a language with
 few of them takes the quantile over all languages. Chen & Goodman (1998) for the smoothing.
@@ -31,14 +30,12 @@ _CHUNK = 1 << 19
 
 @dataclass(frozen=True)
 class Quality:
-    """Order in characters, the sample's bounds, and the quantile of trusted perplexities that is still accepted.
+    """Order in characters, and the quantile of trusted perplexities that is still accepted.
 
     ``grid`` is the resolution of the quantile in nats per character; ``least`` the trusted documents a language needs.
     """
 
     order: int = 5
-    train_rows: int = 1000
-    train_chars: int = 4_000_000
     quantile: float = 0.99
     grid: float = 0.001
     least: int = 50
@@ -61,22 +58,10 @@ def _order_hash(rule: Quality) -> Column:
 
 
 def training_sample(docs: DataFrame, trusted: DataFrame, rule: Quality) -> DataFrame:
-    """Texts of the bounded sample: in seeded order, whole documents while they fit."""
-    sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.length("text").alias("chars"))
-    draw = F.shiftrightunsigned(_order_hash(rule), 11) / float(1 << 53)
-    candidates = sized.join(trusted, "doc_id", "left_semi").filter(F.pmod(_order_hash(rule), F.lit(2)) == 0)
-    candidates = cut(candidates.filter("chars > 0").withColumn("h", draw))
-    # Twice the wanted share of each language by its count, so that only about so many rows are ordered at all.
-    share = (2.0 * rule.train_rows / F.count("*")).alias("share")
-    shares = bounded(candidates.groupBy(F.col("lang").alias("of")).agg(share), 10_000)
-    drawn = candidates.join(shares, F.col("lang").eqNullSafe(F.col("of"))).filter("h < share")
-    by_language = Window.partitionBy("lang").orderBy("h", "doc_id", "chars")
-    few = cut(drawn.withColumn("n", F.row_number().over(by_language)).filter(F.col("n") <= rule.train_rows))
-    # In rank order over all languages; a language adds train_rows at most, and the sum stops at train_chars.
-    taken = Window.orderBy("n", "h", "doc_id", "chars").rowsBetween(Window.unboundedPreceding, 0)
-    ids = few.withColumn("sum", F.sum("chars").over(taken)).filter(F.col("sum") <= rule.train_chars).select("doc_id").distinct()
+    """All rows with a text of the training half of the trusted documents, whatever their number and length."""
+    ids = trusted.filter(F.pmod(_order_hash(rule), F.lit(2)) == 0)
     typed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("text is not null")
-    return typed.join(bounded(ids, rule.train_chars), "doc_id", "left_semi")
+    return typed.join(bounded(ids, 1_000_000), "doc_id", "left_semi")
 
 
 def _highest_counts(sample: DataFrame, order: int) -> DataFrame:

@@ -88,6 +88,19 @@ def test_edges(spark, documents):
     assert [r.doc_id for r in kn.trusted_ids(conflicting).collect()] == [3]
 
 
+def test_all_trusted_text_is_trained_on(spark, documents):
+    """An overlong text that comes first in the seeded order displaces nothing, nor do many rows of one doc_id."""
+    rule = Quality()
+    half = spark.range(4000).withColumnRenamed("id", "doc_id").withColumn("h", kn._order_hash(rule)).filter("pmod(h, 2) = 0")
+    ids = [r.doc_id for r in half.orderBy(F.shiftrightunsigned("h", 11)).collect()]
+    docs = documents([(i, f"text {i}") for i in ids] + [(ids[1], f"again {i}") for i in range(1500)])
+    long = F.expr("repeat('overlong ', 500000)")
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == ids[0], long).otherwise(F.col("text")))
+    sample = kn.training_sample(docs, spark.createDataFrame([(i,) for i in ids], "doc_id bigint"), rule)
+    assert len(ids) > 1500 and sample.count() == len(ids) + 1500
+    assert sample.agg(F.max(F.length("text"))).first()[0] == 4_500_000
+
+
 def test_thresholds_are_exact_quantiles(spark):
     scored = spark.createDataFrame([(i, 0, "en" if i % 3 else None, i / 100) for i in range(600)], "doc_id bigint, content bigint, lang string, surprise double")
     trusted = spark.range(600).select(F.col("id").alias("doc_id"))
