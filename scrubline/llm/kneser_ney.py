@@ -2,8 +2,9 @@
 
 Training runs on all trusted text: documents labelled of quality and not toxic, half of them by a hash of the id. Counts
 are Spark tables sharded by n-gram: the counts of order k - 1 are grouped from the distinct n-grams of order k, and
-probabilities come from joins of an order's counts with its context sums and with the order below. The finished model is
-sent to the tasks, which score whole texts in one pass without a shuffle.
+probabilities come from joins of an order's counts with its context sums and with the order below. A model of at most
+``head_rows`` rows is sent to the tasks whole. Of a larger one only its most frequent n-grams are sent; a text's other
+n-grams leave the scan counted, their probabilities are looked up once per n-gram in the tables, and joined to the texts.
 
 Thresholds are quantiles of the perplexity of all trusted documents of the other half, per language; a language with
 few of them takes the quantile over all languages. Chen & Goodman (1998) for the smoothing.
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scrubline.llm.common import arrow_map, bounded, cut
+from scrubline.llm.common import arrow_map, bounded, cut, fresh_dir, remove
 
 _PAD = "\x02"
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -32,10 +33,12 @@ _CHUNK = 1 << 19
 class Quality:
     """Order in characters, and the quantile of trusted perplexities that is still accepted.
 
-    ``grid`` is the resolution of the quantile in nats per character; ``least`` the trusted documents a language needs.
+    ``grid`` is the resolution of the quantile in nats per character; ``least`` the trusted documents a language needs;
+    ``head_rows`` the most rows of the model that are sent to the tasks, whatever the training text's size.
     """
 
     order: int = 5
+    head_rows: int = 262_144
     quantile: float = 0.99
     grid: float = 0.001
     least: int = 50
@@ -98,8 +101,19 @@ class Model:
     unseen: float  # log probability of a character never seen
 
 
-def train(sample: DataFrame, rule: Quality = Quality()) -> Model | None:
-    """The model of the texts in ``sample``; None without any character. The driver gets the finished, bounded table."""
+@dataclass(frozen=True)
+class Levels:
+    """The model as tables: of each order k, from 1, (gram, p) and (context, g), contexts being of order k - 1. Those of the
+    highest order have the count c, too. ``unseen`` is the log probability of a character never seen."""
+
+    grams: list[DataFrame]
+    weights: list[DataFrame]
+    rows: int
+    unseen: float
+
+
+def levels(sample: DataFrame, rule: Quality = Quality()) -> Levels | None:
+    """The model of the texts in ``sample``; None without any character. Only numbers reach the driver."""
     counts = {rule.order: cut(_highest_counts(sample, rule.order))}
     if counts[rule.order].isEmpty():
         return None
@@ -107,8 +121,7 @@ def train(sample: DataFrame, rule: Quality = Quality()) -> Model | None:
     for k in range(rule.order - 1, 0, -1):  # in how many different n-grams of the next order it is the end
         counts[k] = cut(counts[k + 1].groupBy(suffix.alias("gram")).agg(F.count("*").alias("c")))
     letters = counts[1].count() + 1
-    below, keys, logps, backoffs = None, [], [], []
-    unseen = 0.0
+    below, tables, contexts, rows = None, [], [], 0
     for k in range(1, rule.order + 1):
         d1, d2, d3 = _discounts(counts[k])
         discount = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
@@ -118,23 +131,52 @@ def train(sample: DataFrame, rule: Quality = Quality()) -> Model | None:
         sums = cut(grams.groupBy("context").agg(F.sum("c").alias("total"), F.sum(F.col("d").cast("decimal(18,9)")).cast("double").alias("mass")))
         seen = grams.join(sums, "context").withColumn("own", (F.col("c") - F.col("d")) / F.col("total")).withColumn("gamma", F.col("mass") / F.col("total"))
         if below is None:
-            level = seen.select("gram", (F.col("own") + F.col("gamma") / letters).alias("p"))
+            level = seen.select("gram", (F.col("own") + F.col("gamma") / letters).alias("p"), "c")
         else:
             lower = below.select(F.col("gram").alias("lower"), F.col("p").alias("q"))
-            level = seen.join(lower, suffix == F.col("lower")).select("gram", (F.col("own") + F.col("gamma") * F.col("q")).alias("p"))
+            level = seen.join(lower, suffix == F.col("lower")).select("gram", (F.col("own") + F.col("gamma") * F.col("q")).alias("p"), "c")
         below = cut(level)
-        weights = sums.select("context", (F.col("mass") / F.col("total")).alias("g"))
-        grams_table, weight_table = below.toArrow(), weights.toArrow()
+        tables.append(below if k == rule.order else below.drop("c"))
+        contexts.append(sums.select("context", (F.col("mass") / F.col("total")).alias("g")))
+        rows += below.count() + sums.count()
+    unseen = log(contexts[0].first()["g"]) - log(letters)
+    return Levels(tables, contexts, rows, unseen)
+
+
+def _whole(found: Levels) -> Model:
+    keys, logps, backoffs = [], [], []
+    for k, (grams, weights) in enumerate(zip(found.grams, found.weights), 1):
+        grams_table = grams.select("gram", "p").toArrow()
         keys.append(_keys(grams_table.column("gram").to_pylist(), k))
         logps.append(np.log(grams_table.column("p").to_numpy()))
         backoffs.append(np.zeros(len(keys[-1])))
-        if k == 1:
-            unseen = float(np.log(weight_table.column("g").to_numpy()[0])) - log(letters)
-        else:
+        if k > 1:
+            weight_table = weights.toArrow()
             keys.append(_keys(weight_table.column("context").to_pylist(), k - 1))
             logps.append(np.full(len(keys[-1]), np.nan))
             backoffs.append(np.log(weight_table.column("g").to_numpy()))
-    return _table(rule.order, np.concatenate(keys), np.concatenate(logps), np.concatenate(backoffs), unseen)
+    return _table(len(found.grams), np.concatenate(keys), np.concatenate(logps), np.concatenate(backoffs), found.unseen)
+
+
+def _head(found: Levels, rows: int) -> Model:
+    """The most frequent n-grams of the highest order, at most ``rows``: those whose count reaches the lowest fitting bound."""
+    order, top = len(found.grams), found.grams[-1]
+    cell = F.floor(F.log2(F.col("c").cast("double")) * 8)
+    left, bound = rows, None
+    for r in sorted(top.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["cell"]):
+        left -= r["n"]
+        if left < 0:
+            break
+        bound = r["cell"]
+    chosen = top.filter(cell >= bound if bound is not None else F.lit(False)).select("gram", "p").toArrow()
+    keys = _keys(chosen.column("gram").to_pylist(), order)
+    return _table(order, keys, np.log(chosen.column("p").to_numpy()), np.zeros(len(keys)), found.unseen)
+
+
+def train(sample: DataFrame, rule: Quality = Quality()) -> Model | None:
+    """The model of the texts in ``sample`` on the driver; None without any character. For samples known to be small."""
+    found = levels(sample, rule)
+    return None if found is None else _whole(found)
 
 
 def _salt(k: int) -> np.uint64:
@@ -251,12 +293,109 @@ def _surprise(model: Model, texts: list[str | None]) -> list[float | None]:
     return out
 
 
-def with_surprise(docs: DataFrame, model: Model | None) -> DataFrame:
+def _known(head: Model, text: str) -> tuple[float, Counter]:
+    """The sum of log probabilities of the text's n-grams in the head, and its other n-grams, counted."""
+    lead, total, others = head.order - 1, 0.0, Counter()
+    for s in range(0, len(text), _CHUNK):
+        piece = (_PAD * lead + text[:_CHUNK]) if s == 0 else (_PAD * lead + text[max(0, s - lead) : s + _CHUNK])[-(lead + len(text[s : s + _CHUNK])) :]
+        codes = np.frombuffer(piece.encode("utf-32-le"), dtype="<u4").astype(np.uint64) + np.uint64(1)
+        size = len(codes) - lead
+        key = np.zeros(size, dtype=np.uint64)
+        for k in range(head.order):
+            key = key * _PRIME + codes[k : k + size]
+        at = _find(head, key ^ _salt(head.order))
+        hit = at >= 0
+        total += float(head.logp[at[hit]].astype(np.float64).sum())
+        others.update(piece[i : i + head.order] for i in np.flatnonzero(~hit).tolist())
+    return total, others
+
+
+_SCORED = "doc_id bigint, content bigint, lang string, chars bigint, known double, gram string, n bigint"
+_PIECE_ROWS = 100_000
+
+
+def _partial_rows(sent):
+    """(doc_id, content, lang, text) -> one row per document with what the head knows of it, and before it a row per other n-gram."""
+
+    def rows(doc_id: list, content: list, lang: list, chars: list, known: list, gram: list, n: list) -> pa.RecordBatch:
+        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.string(), pa.int64()]
+        names = ["doc_id", "content", "lang", "chars", "known", "gram", "n"]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((doc_id, content, lang, chars, known, gram, n), types)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            contents, texts = batch.column(1).to_pylist(), batch.column(3).to_pylist()
+            chars: list[int] = []
+            known: list[float] = []
+            of: list[int] = []
+            grams: list[str] = []
+            counts: list[int] = []
+            for content, text in zip(contents, texts):
+                total, others = _known(sent.value, text) if text else (0.0, Counter())
+                chars.append(len(text or ""))
+                known.append(total)
+                of += [content] * len(others)
+                grams += others.keys()
+                counts += others.values()
+                while len(grams) >= _PIECE_ROWS:
+                    some, none = slice(0, _PIECE_ROWS), [None] * _PIECE_ROWS
+                    yield rows(none, of[some], none, none, none, grams[some], counts[some])
+                    of, grams, counts = of[_PIECE_ROWS:], grams[_PIECE_ROWS:], counts[_PIECE_ROWS:]
+            none = [None] * len(grams)
+            yield rows(none, of, none, none, none, grams, counts)
+            none = [None] * len(texts)
+            yield rows(batch.column(0).to_pylist(), contents, batch.column(2).to_pylist(), chars, known, none, none)
+
+    return run
+
+
+def _looked_up(grams: DataFrame, found: Levels) -> DataFrame:
+    """``grams`` (gram, docs), distinct, with their log probability: backed off from order to order until one is known."""
+    order, out = len(found.grams), grams
+    value = F.lit(found.unseen)
+    for k in range(1, order + 1):
+        level = bounded(found.grams[k - 1].select(F.col("gram").alias(f"g{k}"), F.log("p").alias(f"p{k}")), 65_536)
+        out = out.join(level, F.expr(f"substring(gram, {order - k + 1})") == F.col(f"g{k}"), "left")
+        if k > 1:
+            weights = bounded(found.weights[k - 1].select(F.col("context").alias(f"c{k}"), F.log("g").alias(f"w{k}")), 65_536)
+            out = out.join(weights, F.expr(f"substring(gram, {order - k + 1}, {k - 1})") == F.col(f"c{k}"), "left")
+            value = F.coalesce(F.col(f"w{k}"), F.lit(0.0)) + value
+        value = F.coalesce(F.col(f"p{k}"), value)
+    return out.select("gram", "docs", value.alias("logp"))
+
+
+def _surprise_by_joins(narrow: DataFrame, found: Levels, rule: Quality) -> DataFrame:
+    spark = narrow.sparkSession
+    sent = spark.sparkContext.broadcast(_head(found, rule.head_rows))
+    place = fresh_dir(spark, "surprise")
+    narrow.transform(arrow_map, _partial_rows(sent), _SCORED).write.parquet(place)
+    parts = spark.read.schema(_SCORED).parquet(place)
+    docs = parts.filter("gram is null").select("doc_id", "content", "lang", "chars", "known")
+    tail = parts.filter("gram is not null").select("content", "gram", "n")
+    values = cut(_looked_up(cut(tail.groupBy("gram").agg(F.count("*").alias("docs"))), found))
+    # N-grams of very many documents, at most a million, are sent; so no key of the shuffled join is hot.
+    often = max(1000, (values.agg(F.sum("docs")).first()[0] or 0) // 1_000_000)
+    joined = [tail.join(bounded(values.filter(of).select("gram", "logp"), 1_000_000), "gram") for of in (F.col("docs") > often, F.col("docs") <= often)]
+    # Decimal sums: the same in any order of rows. Copies of a text have the same n-grams, so their sum is that of each times their number.
+    term = (F.col("n") * F.col("logp")).cast("decimal(28,9)")
+    sums = joined[0].unionByName(joined[1]).groupBy("content").agg(F.sum(term).alias("rest"))
+    copies = docs.groupBy("content").agg(F.count("*").alias("copies"))
+    rests = sums.join(copies, "content").select("content", (F.col("rest").cast("double") / F.col("copies")).alias("rest"))
+    total = F.col("known") + F.coalesce("rest", F.lit(0.0))
+    surprise = F.when(F.col("chars") > 0, -total / F.col("chars"))
+    out = cut(docs.join(bounded(rests, 1_000_000), "content", "left").select("doc_id", "content", "lang", surprise.alias("surprise")))
+    remove(spark, place)
+    return out
+
+
+def with_surprise(docs: DataFrame, found: Levels | None, rule: Quality = Quality()) -> DataFrame:
     """(doc_id, content, lang, surprise) of whole texts: nats per character, null without text or model."""
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("content"), "lang", "text")
-    if model is None:
+    if found is None:
         return narrow.drop("text").withColumn("surprise", F.lit(None).cast("double"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    if found.rows > rule.head_rows:
+        return _surprise_by_joins(narrow, found, rule)
+    sent = docs.sparkSession.sparkContext.broadcast(_whole(found))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,8 +426,8 @@ def classify(docs: DataFrame, labels: DataFrame, rule: Quality = Quality()) -> D
     Label rows without a doc_id or quality trust nothing. Extra columns are ignored.
     """
     trusted = cut(trusted_ids(labels))
-    model = train(training_sample(docs, trusted, rule), rule)
-    scored = cut(with_surprise(docs, model))
+    found = levels(training_sample(docs, trusted, rule), rule)
+    scored = cut(with_surprise(docs, found, rule))
     limits = cut(thresholds(scored, trusted, rule))
     pooled = limits.filter("all_langs").first()
     own = bounded(limits.filter("not all_langs").select(F.col("lang").alias("of_lang"), "limit"), 10_000)

@@ -88,6 +88,31 @@ def test_edges(spark, documents):
     assert [r.doc_id for r in kn.trusted_ids(conflicting).collect()] == [3]
 
 
+@pytest.mark.parametrize("head", [0, 20, 1_000_000])
+def test_large_models_are_joined(spark, documents, monkeypatch, head):
+    """Each text's surprise, whatever part of the model is sent; copies, null texts and texts in pieces included."""
+    texts = [*PROBES, "the cat", None, "", "the cat sat on the mat. " * 9, "the cat"]
+    found = kn.levels(documents(TRAIN), Quality())
+    assert 20 < found.rows < 1_000_000
+    monkeypatch.setattr(kn, "_CHUNK", 3)
+    monkeypatch.setattr(kn, "_PIECE_ROWS", 4)
+    whole = kn._whole
+    monkeypatch.setattr(kn, "_whole", lambda levels: pytest.fail("sent whole") if head < levels.rows else whole(levels))
+    rows = kn.with_surprise(documents(texts), found, Quality(head_rows=head)).orderBy("doc_id").collect()
+    plain = Plain(TRAIN, 5)
+    assert [r.doc_id for r in rows] == list(range(len(texts)))
+    for text, row in zip(texts, rows):
+        assert row.surprise is None if not text else row.surprise == pytest.approx(plain.surprise(text), abs=1e-5)
+
+
+def test_query_is_the_same_with_a_small_head(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{x}.parquet") for x in ("documents", "labels"))
+    by_place = lambda df: sorted(map(tuple, df.collect()), key=str)
+    for one, other in zip(by_place(kn.classify(docs, labels)), by_place(kn.classify(docs, labels, Quality(head_rows=5_000)))):
+        assert one[:3] == other[:3] and (one[3] == other[3] or one[3] == pytest.approx(other[3], rel=1e-5))
+
+
 def test_all_trusted_text_is_trained_on(spark, documents):
     """An overlong text that comes first in the seeded order displaces nothing, nor do many rows of one doc_id."""
     rule = Quality()
