@@ -7,6 +7,9 @@ a hash of (length, segment number, substring), whose low bits are the number, an
 or probed. Keys that no two lines share end there. Only for the others texts are joined to the keys, dealt by key, and lines
 verified by a banded bit-parallel edit distance.
 
+Lines under ``least_chars`` are linked within one edit. Their segments would be too common, so their keys are the line and
+all that one dropped character makes of it: two lines within one edit share one, and few other lines do.
+
 Hot lines and hot keys: equal lines are one line from their batch on. Inside a key no pairs are emitted: a walk from line to
 line over those not reached yet gives a spanning forest of the verified links, so no link between different lines is lost.
 A key with over ``group_rows`` lines is dealt anew by segments half as long, outside the segment that its lines share.
@@ -27,20 +30,28 @@ from scrubline.llm.components import components
 
 @dataclass(frozen=True)
 class LineDedup:
-    """Most edits between linked lines, the fewest characters of a line that may differ at all (shorter ones must be
-    equal), the most lines of a key that are verified as one group, and the most ids that are sent to the scan."""
+    """Most edits between linked lines, the fewest characters of a line for so many, the fewest for one edit (shorter ones
+    must be equal; of two lines the shorter one counts), the most lines of a key that are verified as one group, and the
+    most ids that are sent to the scan."""
 
     edits: int = 2
     least_chars: int = 30
+    short_chars: int = 8
     group_rows: int = 20_000
     sent_ids: int = 500_000
 
     def __post_init__(self) -> None:
         if not 1 <= self.edits <= 5 or self.least_chars < 4 * (self.edits + 1):
             raise ValueError("1 to 5 edits, and lines of four characters per segment at least")
+        if not 4 <= self.short_chars <= self.least_chars:
+            raise ValueError("one edit from four characters at least")
+
+    def allowed(self, length: int) -> int:
+        """Most edits between a line of so many characters and one that is not shorter."""
+        return self.edits if length >= self.least_chars else int(length >= self.short_chars)
 
 
-_SEGMENT_BITS = 4  # a key's low bits: the segment's number, from 1
+_SEGMENT_BITS = 4  # a key's low bits: the segment's number, from 1; 0 for the key of a short line
 
 
 def _even(length: int, parts: int) -> list[tuple[int, int]]:
@@ -54,9 +65,18 @@ def _even(length: int, parts: int) -> list[tuple[int, int]]:
     return out
 
 
+def short_keys(line: str, rule: LineDedup) -> list[tuple[int, bool]]:
+    """(key, indexed) of a line that can be linked within one edit to a short one: itself, and without each character."""
+    if not rule.short_chars <= len(line) <= rule.least_chars:
+        return []
+    made = {line} | {line[:i] + line[i + 1 :] for i in range(len(line))}
+    return [(xxhash.xxh64_intdigest(x.encode()) >> _SEGMENT_BITS << _SEGMENT_BITS, True) for x in made]
+
+
 def segment_keys(line: str, rule: LineDedup) -> list[tuple[int, bool]]:
-    """(key, indexed): the line's own segments, and the substrings to probe for lines of its length or up to ``edits`` less."""
-    t, n, out = rule.edits, len(line), []
+    """(key, indexed): the line's own segments, and the substrings to probe for lines of its length or up to ``edits`` less;
+    and those of short lines."""
+    t, n, out = rule.edits, len(line), short_keys(line, rule)
     for length in range(n, max(rule.least_chars, n - t) - 1, -1):
         delta = n - length
         for i, (at, size) in enumerate(_even(length, t + 1)):
@@ -72,9 +92,11 @@ def segment_keys(line: str, rule: LineDedup) -> list[tuple[int, bool]]:
 def finer_keys(line: str, key: int, rule: LineDedup) -> list[tuple[int, bool]]:
     """Keys inside a hot key: segments half as long, but for the two that its segment covers. Of the 2 * edits others at most
     ``edits`` are changed in a linked line; a segment is shifted by at most ``edits``."""
-    t, n, shared, out = rule.edits, len(line), (key & (1 << _SEGMENT_BITS) - 1) - 1, []
-    for length in range(n, max(rule.least_chars, n - t) - 1, -1):
-        delta = n - length
+    n, shared, out = len(line), (key & (1 << _SEGMENT_BITS) - 1) - 1, []
+    for length in range(n, n - rule.edits - 1, -1):
+        delta, t = n - length, rule.allowed(length)
+        if delta > t or not t:
+            continue
         for i, (at, size) in enumerate(_even(length, 2 * (t + 1))):
             if i // 2 == shared:
                 continue
@@ -123,8 +145,9 @@ def within(a: str, b: str, edits: int) -> bool:
     return bool(reach[edits] >> (len(b) - len(a) + edits) & 1)
 
 
-def forest(lines: list[str], edits: int) -> list[tuple[int, int]]:
-    """Spanning-forest edges (places in ``lines``) of all pairs within ``edits``."""
+def forest(lines: list[str], rule: LineDedup) -> list[tuple[int, int]]:
+    """Spanning-forest edges (places in ``lines``) of all pairs within the edits that the shorter one allows."""
+    edits = rule.edits
     sizes = np.array([len(x) for x in lines], dtype=np.int32)
     # An edit changes at most two of these counts, by one.
     kinds = np.zeros((len(lines), 32), dtype=np.int16)
@@ -139,7 +162,7 @@ def forest(lines: list[str], edits: int) -> list[tuple[int, int]]:
             node = queue.pop()
             near = np.abs(sizes[left] - sizes[node]) <= edits
             near[near] = np.abs(kinds[left[near]] - kinds[node]).sum(axis=1) <= 2 * edits
-            reached = [int(k) for k in np.flatnonzero(near) if within(lines[node], lines[int(left[k])], edits)]
+            reached = [int(k) for k in np.flatnonzero(near) if within(lines[node], lines[int(left[k])], rule.allowed(min(sizes[node], sizes[left[k]])))]
             if reached:
                 found = left[reached].tolist()
                 edges += [(node, other) for other in found]
@@ -230,14 +253,14 @@ def _shared_rows(limit: int | None):
     return run
 
 
-def _verify(edits: int):
+def _verify(rule: LineDedup):
     """(key, id, line) sorted by key -> edges (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, lines = None, [], []
 
         def links() -> list[tuple[int, int]]:
-            return [(ids[i], ids[j]) for i, j in forest(lines, edits)]
+            return [(ids[i], ids[j]) for i, j in forest(lines, rule)]
 
         for batch in batches:
             found: list[tuple[int, int]] = []
@@ -284,24 +307,24 @@ _SHARED = "key bigint, id bigint, hot boolean"
 
 
 def links(lines: DataFrame, rule: LineDedup = LineDedup()) -> DataFrame:
-    """(a, b): ids of different lines within ``edits`` edits, each verified, whose closure is that of all such pairs."""
-    long = lines.select("id", "line").filter(F.length("line") >= rule.least_chars)
+    """(a, b): ids of different lines within the allowed edits, each verified, whose closure is that of all such pairs."""
+    joined = lines.select("id", "line").filter(F.length("line") >= rule.short_chars)
     dealt = lambda rows: rows.repartition("key").sortWithinPartitions("key")
-    keyed = dealt(long.transform(arrow_map, _key_rows(rule), _ROWS))
+    keyed = dealt(joined.transform(arrow_map, _key_rows(rule), _ROWS))
     shared = cut(keyed.transform(arrow_map, _shared_rows(rule.group_rows), _SHARED))
     groups, hot = shared.filter("not hot").select("key", "id"), shared.filter("hot").select("key", "id").distinct()
     if not hot.isEmpty():
-        finer = hot.join(_texts(long, hot, rule.sent_ids), "id").select("key", "id", "line").transform(arrow_map, _finer_rows(rule), _ROWS)
+        finer = hot.join(_texts(joined, hot, rule.sent_ids), "id").select("key", "id", "line").transform(arrow_map, _finer_rows(rule), _ROWS)
         again = dealt(finer).transform(arrow_map, _shared_rows(None), _SHARED).select("key", "id")
         groups = cut(groups.unionByName(again))
-    with_text = groups.join(_texts(long, groups, rule.sent_ids), "id").select("key", "id", "line")
-    return cut(dealt(with_text).transform(arrow_map, _verify(rule.edits), "a bigint, b bigint"))
+    with_text = groups.join(_texts(joined, groups, rule.sent_ids), "id").select("key", "id", "line")
+    return cut(dealt(with_text).transform(arrow_map, _verify(rule), "a bigint, b bigint"))
 
 
 def near_duplicates(docs: DataFrame, rule: LineDedup = LineDedup()) -> DataFrame:
     """(doc_id, content, line_no, n_chars, class_doc_id, class_line_no, kept): one row per line that holds a word.
 
-    Lines are one class if equal, or linked by chains of lines within ``edits`` edits of each other. A class is named by its
+    Lines are one class if equal, or linked by chains of lines within the allowed edits of each other. A class is named by its
     first line in the order of doc_id (null last), the text's hash and the line's number; that line is kept, the others are
     not. Lines without a word are no rows and stay in their texts, as do all lines of null texts. Rows equal in doc_id and
     text are one document. Extra columns are ignored; an empty table gives an empty one. Lines count as equal if 62 bits

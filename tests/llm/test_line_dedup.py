@@ -88,6 +88,36 @@ def test_no_link_is_missed(edits):
             assert any(finer[0][k] or finer[1][k] for k in finer[0].keys() & finer[1].keys())
 
 
+SHORT = ["Are is anwh reenen.", "Are, is anwh reenen.", "Der eingeä erer.", "Der, eingeä erer.", "Heti eror anesti.", "Heti, eror anesti.", "The anhely eran.", "The, anhely eran."]
+
+
+@pytest.mark.parametrize("limit", [20_000, 3])
+def test_short_lines(documents, limit):
+    """Lines of 8 to 29 characters are linked within one edit, those of 30 with those of 29, too; with the small limit keys are dealt anew."""
+    rnd, rule = random.Random(8), LineDedup(group_rows=limit)
+    lines = [*SHORT, "sevench", "sevenck", "eightcha", "eightchx", "ightcha"]
+    for _ in range(60):
+        base = "".join(rnd.choice("abc ") for _ in range(rnd.randint(8, 31))).replace(" ", "d")
+        lines += [base, mutate(rnd, base, 1), mutate(rnd, base, 2)]
+    lines = list(dict.fromkeys(lines))
+    label = {x: x for x in lines}
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, a in enumerate(lines):
+        for b in lines[i + 1 :]:
+            size = min(len(a), len(b))
+            if abs(len(a) - len(b)) <= 2 and 0 < distance(a, b) <= (2 if size >= 30 else 1 if size >= 8 else 0):
+                label[find(b)] = find(a)
+    result = {r.doc_id: r.class_doc_id for r in ld.report(documents(list(enumerate(lines))), rule).collect()}
+    classes = lambda of: {frozenset(x for x in lines if of(x) == root) for root in map(of, lines)}
+    assert classes(find) == classes(lambda x: result[lines.index(x)])
+    assert all(find(a) == find(b) for a, b in zip(SHORT[::2], SHORT[1::2]))
+
+
 def test_within():
     rnd = random.Random(1)
     for _ in range(3000):
