@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import chat, decontaminate, kneser_ney, line_dedup, mixing, risk_rules, shard_tree, simhash, token_shards, url_filter
+from scrubline.llm import chat, decontaminate, kneser_ney, line_dedup, mixing, risk_rules, shard_tree, simhash, token_shards, url_filter, whitening
 from scrubline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_id_output": op2_token_id_output,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
