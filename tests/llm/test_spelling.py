@@ -1,0 +1,124 @@
+"""Spelling variants against brute force over every pair of words."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from scrubline.llm import spelling
+from scrubline.llm.queries import QUERIES
+from scrubline.llm.spelling import Spelling
+
+COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def counted(docs):
+    out = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            out[run] += 1
+    return {w: n for w, n in out.items() if len(w) >= 5 and n >= 3}
+
+
+def near_words(words):
+    """By every string that one edit can make of a word."""
+    letters = sorted({c for w in words for c in w})
+    near = defaultdict(set)
+    for w in words:
+        made = {w[:i] + w[i + 1 :] for i in range(len(w))} | {w[:i] + c + w[i + 1 :] for i in range(len(w)) for c in letters} | {w[:i] + c + w[i:] for i in range(len(w) + 1) for c in letters}
+        near[w] = {v for v in made if v != w and v in words}
+    return near
+
+
+def plain(docs):
+    n = counted(docs)
+    near, form = near_words(n), {}
+    for w in n:
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 2 * n[w] else None
+    rows = set()
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        rows.add((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None))
+    return rows
+
+
+def result(df, rule=Spelling()):
+    rows = spelling.group(df, rule)
+    assert rows.columns == COLUMNS
+    rows = [tuple(r) for r in rows.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def test_query_equals_brute_force(spark):
+    path = "/root/testdata/sf0.001"
+    table = pq.read_table(f"{path}/documents.parquet")
+    rows = QUERIES["op12_spelling_variants"](spark, path)
+    assert rows.columns == COLUMNS
+    expected = plain(zip(table["doc_id"].to_pylist(), table["text"].to_pylist()))
+    assert {tuple(r) for r in rows.collect()} == expected and any(r[1] for r in expected)
+
+
+@pytest.mark.parametrize("most_pairs", [1_000_000, 40, 0])
+def test_all_links_are_found(spark, documents, most_pairs):
+    """Few letters, so most words have neighbours; with a small limit hot keys are joined by their rests."""
+    rng = random.Random(1)
+    made = ["".join(rng.choice("aBé") for _ in range(rng.randint(4, 9))) for _ in range(600)]
+    docs = [(i, " ".join(rng.choices(made, weights=[1 + j % 40 for j in range(600)], k=400))) for i in range(12)]
+    assert result(documents(docs), Spelling(most_pairs=most_pairs)) == plain(docs)
+
+
+def test_one_shared_half_is_not_one_group(spark, documents):
+    """Ten thousand words with one first half: the hot key's pairs are never made."""
+    texts = [(0, " ".join(w for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyzabcd" for d in "efghijklmn" for w in [f"prefi{a}{b}{c}{d}"] * 3))]
+    rows = result(documents(texts), Spelling(most_pairs=1000))
+    assert len(rows) > 9_000 and rows == plain(texts)
+
+
+def test_chains_lead_to_the_last_form(spark, documents):
+    words = ["abcdef" + "g" * i for i in range(8)]
+    text = " ".join(w for i, w in enumerate(words) for _ in range(3 * 4**i))
+    docs = [(None, text)]
+    rows = result(documents(docs))
+    assert rows == plain(docs)
+    assert {r[2] for r in rows if r[0] in words} == {words[-1]}
+
+
+def test_ties_take_the_first_word(spark, documents):
+    docs = [(-1, "stone " * 4 + "stony " * 12 + "stonz " * 12 + "stoné " * 12)]
+    rows = {r[0]: r for r in result(documents(docs))}
+    assert rows == {r[0]: r for r in plain(docs)} and rows["stone"][1] == "stony" and rows["stone"][4] == 3
+
+
+def test_only_letters_a_to_z_are_lowered(spark, documents):
+    docs = [(5, "ÉCOLES ÉCOLES École école " * 5 + "××××× " * 4 + "ŸŸŸŸŸŸ " * 4)]
+    rows = result(documents(docs))
+    assert rows == plain(docs) and {"Écoles", "École", "école", "×" * 5} <= {r[0] for r in rows}
+
+
+def test_edges(spark, documents):
+    long_run = "ab" * 50_000
+    docs = [(1, None), (2, ""), (3, "1234 ... \n"), (None, "words words words"), (4, " ".join([long_run, long_run + "c", long_run] * 3)), (4, "words words")]
+    rows = {r[0]: r[1:] for r in result(documents(docs))}
+    n = counted(docs)
+    assert {w: r[2] for w, r in rows.items()} == n and set(map(len, n)) == {5, 100_000, 100_001}
+    assert rows[long_run + "c"][:2] == (long_run, long_run)
+    assert result(documents([])) == set()
+    extra = documents(docs).withColumns({"word": F.lit("x"), "n": F.lit(1), "root": F.lit(2), "key": F.lit(3)})
+    assert {r[0]: r[1:] for r in result(extra)} == rows
+
+
+def test_repeated_rows_count(spark, documents):
+    docs = [(7, "banana bananas")] * 6 + [(8, "bananas")] * 12
+    assert result(documents(docs)) == plain(docs)
