@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import chat, decontaminate, kneser_ney, line_dedup, mixing, risk_rules, shard_tree, simhash, spelling, token_shards, url_filter, whitening
+from scrubline.llm import chat, decontaminate, disclosure, kneser_ney, line_dedup, mixing, risk_rules, shard_tree, simhash, spelling, token_shards, url_filter, whitening
 from scrubline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.report(table(spark, sf_dir, "documents"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
+    "op11_pii": op11_pii,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
