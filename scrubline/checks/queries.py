@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scrubline.functions import derive, periods
 from scrubline.operators import enrich, population
-from scrubline.operators.skew import Skew, left_join
+from scrubline.operators.skew import Join, Skew, left_join, left_joins
 from scrubline.plans.pipeline import derived, eligibility, screened_loans, source
 from scrubline.plans.variants import CURRENT, MONTH_END, Variant
 from scrubline.sources.fixtures import AS_OF, fixture_tables
@@ -49,15 +49,21 @@ def _commented(tables: Tables, code: str) -> DataFrame:
     return comments.filter(F.col("ReasonCode") == code).select(LOAN).distinct()
 
 
+def _loan_ids(tables: Tables, variant: Variant) -> DataFrame:
+    return source(tables, variant, "loan_master", _run_date()).select(LOAN)
+
+
 def _with_rows(tables: Tables, variant: Variant, rows: DataFrame) -> DataFrame:
     """The variant's loan ids left-joined with one row set."""
-    return left_join(source(tables, variant, "loan_master", _run_date()).select(LOAN), {"rows": rows}, Skew())
+    return left_join(_loan_ids(tables, variant), {"rows": rows}, Skew())
 
 
-def _both(query: Callable[[Variant], DataFrame]) -> DataFrame:
-    """A join of both variants, told apart by a column."""
-    parts = [query(v).withColumn("Variant", F.lit(v.name)) for v in (CURRENT, MONTH_END)]
-    return parts[0].unionByName(parts[1])
+def _both(tables: Tables, rows: Callable[[Variant], DataFrame]) -> DataFrame:
+    """The same for both variants, told apart by a column, after one search for hot ids."""
+    variants = (CURRENT, MONTH_END)
+    current, month_end = left_joins([Join(_loan_ids(tables, v), {"rows": rows(v)}) for v in variants], Skew())
+    named = lambda df, v: df.withColumn("Variant", F.lit(v.name))
+    return named(current, CURRENT).unionByName(named(month_end, MONTH_END))
 
 
 def period_params(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +139,7 @@ def loan_status(tables: Tables) -> DataFrame:
 
 
 def property_state(tables: Tables) -> DataFrame:
-    return _both(lambda variant: _with_rows(tables, variant, tables.live(variant.property_table)))
+    return _both(tables, lambda variant: tables.live(variant.property_table))
 
 
 def _joined_source(name: str, *columns: str) -> TableQuery:
@@ -141,7 +147,7 @@ def _joined_source(name: str, *columns: str) -> TableQuery:
         def rows(variant: Variant) -> DataFrame:
             return source(tables, variant, name, _run_date()).select(LOAN, *columns)
 
-        return _both(lambda variant: _with_rows(tables, variant, rows(variant)))
+        return _both(tables, rows)
 
     return query
 
@@ -176,7 +182,7 @@ def _buyout(loans: DataFrame) -> DataFrame:
     return (
         loans.select(LOAN, rate, fee)
         .withColumn("PT at Buyout", derive.pass_through_rate(rate, fee))
-        .withColumn("Svcg Fee at Buyout", derive.service_fee_at_buyout(rate, F.col("PT at Buyout")))
+        .withColumn("Svcg Fee at Buyout", derive.service_fee_at_buyout(rate, F.col("PT at Buyout"), loans.schema["CurrentInterestRate"].dataType))
     )
 
 

@@ -4,6 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from scrubline.functions.periods import months_crossed
 from scrubline.functions.text import Text
@@ -76,8 +77,9 @@ def pass_through_rate(rate: Column, fee: Column) -> Column:
     return (F.floor((rate - strip) * 200) / 200).cast(RATE_TYPE)
 
 
-def service_fee_at_buyout(rate: Column, pass_through: Column) -> Column:
-    return (rate - pass_through).cast(RATE_TYPE)
+def service_fee_at_buyout(rate: Column, pass_through: Column, rate_type: DataType | str = RATE_TYPE) -> Column:
+    """What the pass-through rate leaves of the rate, with as many digits as the rate has."""
+    return (rate - pass_through).cast(rate_type)
 
 
 def service_fee_check(service_fee: Column) -> Column:

@@ -95,8 +95,8 @@ def va_refi_rows(tables: Tables, text: Text = Text()) -> DataFrame:
     return rows.select(LOAN, "LoTypeId", "LoanPurposeCodeId", "OriginalLoanToValueRatio")
 
 
-def va_refi(tables: Tables, text: Text = Text()) -> DataFrame:
-    """Those rows with the purpose text, distinct. Texts equal but for case or trailing blanks count as one, and the
+def va_refi(tables: Tables, text: Text = Text(), rows: DataFrame | None = None) -> DataFrame:
+    """Those rows (or fewer, if given) with the purpose text, distinct. Texts equal but for case or trailing blanks count as one, and the
     first of their spellings is kept.
 
     A loan's distinct rows are gathered by loan id first (map-side, and few per loan), so the rows are shuffled once, by
@@ -112,7 +112,8 @@ def va_refi(tables: Tables, text: Text = Text()) -> DataFrame:
         .drop("_desc_key")
     )
     row = F.struct("LoTypeId", "LoanPurposeCodeId", "OriginalLoanToValueRatio")
-    per_loan = va_refi_rows(tables, text).groupBy(LOAN).agg(F.collect_set(row).alias("rows"))
+    rows = va_refi_rows(tables, text) if rows is None else rows
+    per_loan = rows.groupBy(LOAN).agg(F.collect_set(row).alias("rows"))
     per_loan = per_loan.select(LOAN, F.explode("rows").alias("row"))
     keys = {"_type": text.key(F.col("row.LoTypeId")), "_purpose": text.key(F.col("row.LoanPurposeCodeId"))}
     distinct = (

@@ -1,6 +1,7 @@
 """Which loans a report screens."""
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from decimal import Decimal
 
 import pyarrow as pa
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from scrubline.functions.derive import BALANCE_SHEET_INVESTORS, POOLED_INVESTORS
 from scrubline.functions.text import Text
-from scrubline.shared import bounded
+from scrubline.operators.reduction import IdFilter, Reduction, id_filter, reduced, words_for
+from scrubline.shared import cut
 from scrubline.sources.schemas import LOAN
 
 # Codes and the smallest balance.
@@ -62,34 +64,67 @@ def month_end_population(text: Text = Text()) -> Column:
     return text.at_scan(_month_end)
 
 
-# Ids of a Python list up to this number become a literal that reaches the scans; more become a DataFrame.
+# Ids up to this number become a literal that reaches the scans; more become a DataFrame.
 LITERAL_IDS = 1_000
-# Distinct ids up to this number are sent to all tasks; more meet the rows by a shuffle that the joins reuse.
+# Distinct ids up to this number (8 MB) are sent to all tasks; more meet the loans by a shuffle that the joins reuse, and
+# every other table through a filter of bounded size.
 SENT_IDS = 1_000_000
 
 
-def listed_ids(spark: SparkSession, loan_ids: DataFrame | Iterable[int]) -> DataFrame | list[int]:
-    """The given ids once each: a short list as it is, anything longer as a DataFrame.
+@dataclass(frozen=True)
+class LongList:
+    """Distinct ids, stored, and the filter that stands for them at the scans of other tables than the loans."""
 
-    An iterable is read here and nowhere else, so one that can be read only once serves every table.
+    ids: DataFrame
+    keep: IdFilter | None
+
+
+Ids = DataFrame | Sequence[int] | LongList | None
+
+
+def listed_ids(spark: SparkSession, loan_ids: DataFrame | Iterable[int], reduction: Reduction = Reduction()) -> Ids:
+    """The given ids once each: a short list as it is, a longer one as a DataFrame sent to all tasks, else a ``LongList``.
+
+    A list is read here and nowhere else, so one that can be read only once serves every table. The rows of a DataFrame's own
+    distinct aggregate say how long it is: no more than ``SENT_IDS`` and one of them leave the tasks.
     """
-    if not isinstance(loan_ids, DataFrame):
+    if isinstance(loan_ids, DataFrame):
+        distinct = loan_ids.select(F.col(LOAN).cast("bigint").alias(LOAN)).filter(F.col(LOAN).isNotNull()).distinct()
+        some = distinct.limit(SENT_IDS + 1).toArrow()
+        if some.num_rows > SENT_IDS:
+            return _long_list(distinct, reduction)
+        ids = some.column(LOAN).to_pylist() if some.num_rows <= LITERAL_IDS else some
+    else:
         ids = sorted({i for i in loan_ids if i is not None})
-        if len(ids) <= LITERAL_IDS:
-            return ids
-        loan_ids = spark.createDataFrame(pa.table({LOAN: pa.array(ids, pa.int64())}))
-    return bounded(loan_ids.select(LOAN).distinct(), SENT_IDS)
+    if len(ids) <= LITERAL_IDS:
+        return ids
+    given = ids if isinstance(ids, pa.Table) else pa.table({LOAN: pa.array(ids, pa.int64())})
+    df = spark.createDataFrame(given)
+    return F.broadcast(df) if len(ids) <= SENT_IDS else _long_list(df, reduction)
 
 
-def only_loans(rows: DataFrame, ids: DataFrame | Sequence[int] | None) -> DataFrame:
+def _long_list(ids: DataFrame, reduction: Reduction) -> LongList:
+    stored = cut(ids)
+    words = words_for(stored.count(), reduction)
+    return LongList(stored, None if words is None else id_filter(stored, words))
+
+
+def only_loans(rows: DataFrame, ids: Ids) -> DataFrame:
     """Keeps the rows of the given loans, as ``listed_ids`` returns them."""
     if ids is None:
         return rows
+    if isinstance(ids, LongList):
+        return rows.join(ids.ids, LOAN, "left_semi")
     if isinstance(ids, DataFrame):
         return rows.join(ids, LOAN, "left_semi")
     return rows.filter(F.col(LOAN).isin(list(ids)))
 
 
+def near_loans(rows: DataFrame, ids: Ids) -> DataFrame:
+    """``only_loans`` for rows that an exact join with the loans follows: of a long list the filter is enough."""
+    return reduced(rows, ids.keep) if isinstance(ids, LongList) else only_loans(rows, ids)
+
+
 def without_trades(loans: DataFrame, trades: Sequence[str], text: Text = Text()) -> DataFrame:
     """Drops loans of the given trades; a loan without a trade stays."""
     if not trades:

@@ -2,13 +2,16 @@
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from scrubline.functions import derive, periods
 from scrubline.functions.text import Text
-from scrubline.operators import enrich, population, skew
+from scrubline.operators import enrich, population, reduction, skew
+from scrubline.operators.reduction import IdFilter, Reduction
 from scrubline.operators.rules import LIST_REASONS, FixedLists, exclusion_rules, first_match, list_flag
 from scrubline.operators.skew import Skew
 from scrubline.plans.variants import CURRENT, Variant
@@ -32,9 +35,10 @@ def enrichments(
     variant: Variant = CURRENT,
     exclusion_lists: Mapping[str, DataFrame] | None = None,
     text: Text = Text(),
+    refinanced: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Everything left-joined to the loans on the loan id."""
-    refi = enrich.va_refi(tables, text).select(
+    """Everything left-joined to the loans on the loan id; ``refinanced`` are the refinance rows to use, all unless given."""
+    refi = enrich.va_refi(tables, text, refinanced).select(
         LOAN, "OriginalLoanToValueRatio", F.col("LoanPurposeCodeId").alias("Loanpurposecodeid")
     )
     row_sets = {
@@ -57,20 +61,31 @@ def enrichments(
 
 # Row sets that may hold many rows of one loan. The others are distinct, at most one row per loan.
 _MANY_PER_LOAN = ("modification", "property", "foreclosure", "loss_mitigation", "borrower")
+_SNAPSHOTS_COUNTED = ("loan_master", "modification_master", "foreclosure_master", "borrower_master")
+
+
+def _limits(tables: Tables, variant: Variant, limits: Skew | None) -> Skew | None:
+    """Tables that are all bucketed by loan id are searched inside their buckets."""
+    names = [f"{name}_me" if variant.month_end else name for name in _SNAPSHOTS_COUNTED]
+    counted = {*names, "loan_master", "lossmitigation_step_transpose", variant.property_table}
+    return replace(limits, co_partitioned=True) if limits is not None and tables.bucketed_by(LOAN, sorted(counted)) else limits
 
 
 def _joined(
     tables: Tables,
     loans: DataFrame,
     row_sets: Mapping[str, DataFrame],
-    ids: DataFrame | Sequence[int] | None,
+    refinanced: DataFrame,
+    ids: population.Ids,
     limits: Skew | None,
+    keep: IdFilter | None,
     text: Text,
 ) -> DataFrame:
     """The wanted loans with all row sets. Rows of other loans leave every table before it is searched or shuffled."""
-    wanted = {name: population.only_loans(df, ids) for name, df in row_sets.items()}
-    searched = {name: wanted[name] for name in _MANY_PER_LOAN}
-    searched["va_refi"] = population.only_loans(enrich.va_refi_rows(tables, text), ids)
+    only = lambda df: reduction.reduced(population.near_loans(df, ids), keep)
+    # The refinance rows were restricted before they were gathered per loan.
+    wanted = {name: df if name == "va_refi" else only(df) for name, df in row_sets.items()}
+    searched = {name: wanted[name] for name in _MANY_PER_LOAN} | {"va_refi": refinanced}
     return skew.left_join(
         population.only_loans(loans, ids),
         wanted,
@@ -91,10 +106,10 @@ def derived(joined: DataFrame, text: Text = Text()) -> DataFrame:
     )
 
 
-def report_columns(run_date: Column, variant: Variant, scrub: Column, text: Text) -> dict[str, Column]:
+def report_columns(run_date: Column, variant: Variant, scrub: Column, text: Text, rate_type: DataType) -> dict[str, Column]:
     """The report's columns that are not input columns of the same name."""
     col = F.col
-    service_fee = derive.service_fee_at_buyout(col("CurrentInterestRate"), col("PT at Buyout"))
+    service_fee = derive.service_fee_at_buyout(col("CurrentInterestRate"), col("PT at Buyout"), rate_type)
     columns = {
         "TradeCollateral": col("TradeId"),
         "SFee": col("FirstServiceFeeRt"),
@@ -127,20 +142,26 @@ def eligibility(
     fixed_lists: FixedLists = FixedLists(),
     case_sensitive: bool = False,
     skew_limits: Skew | None = Skew(),
+    filter_limits: Reduction | None = Reduction(),
 ) -> DataFrame:
     """One row per screened loan (times its joined rows) with its reason in ``EligibilityScrub``; '' is eligible.
 
     ``loan_ids`` restricts the report; ``exclusion_lists`` maps a name in ``LIST_REASONS`` to loan ids that get that
-    reason. ``skew_limits=None`` skips the search for hot loan ids, for tables known to have none.
+    reason. ``skew_limits=None`` skips the search for hot loan ids, for tables known to have none; ``filter_limits``
+    says when other tables are reduced to screened loans before their shuffle, never if None.
     """
     text = Text(case_sensitive)
     run_date = F.lit(as_of)
     # The loan's own ratio and purpose are not reported: those columns come from the refinance rows.
     loans = screened_loans(tables, run_date, variant, text).drop("OriginalLoanToValueRatio", "LoanPurposeCodeId")
     loans = population.without_trades(loans, excluded_trades, text)
-    row_sets = enrichments(tables, run_date, variant, exclusion_lists, text)
     ids = None if loan_ids is None else population.listed_ids(tables.spark, loan_ids)
-    report = derived(_joined(tables, loans, row_sets, ids, skew_limits, text), text)
+    # With a list of ids every table is restricted by that already.
+    everything = source(tables, variant, "loan_master", run_date)
+    keep = reduction.screening_filter(everything, variant.population(text), loans, filter_limits) if ids is None else None
+    refinanced = reduction.reduced(population.near_loans(enrich.va_refi_rows(tables, text), ids), keep)
+    row_sets = enrichments(tables, run_date, variant, exclusion_lists, text, refinanced)
+    report = derived(_joined(tables, loans, row_sets, refinanced, ids, _limits(tables, variant, skew_limits), keep, text), text)
     rules = exclusion_rules(
         month_end=variant.month_end,
         sale_cutoff=variant.sale_cutoff(run_date),
@@ -150,5 +171,5 @@ def eligibility(
         fixed_lists=fixed_lists,
         text=text,
     )
-    made = report_columns(run_date, variant, first_match(rules), text)
+    made = report_columns(run_date, variant, first_match(rules), text, report.schema["CurrentInterestRate"].dataType)
     return report.select([made[name].alias(name) if name in made else F.col(name) for name in variant.columns])

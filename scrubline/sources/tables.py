@@ -1,6 +1,6 @@
 """The input tables by name, wherever they live."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +81,17 @@ class Tables:
             return place if isinstance(place, DataFrame) else place()
         return self.spark.read.parquet(place) if "/" in place else self.spark.table(place)
 
+    def bucketed_by(self, column: str, names: Sequence[str]) -> bool:
+        """Whether all of these are catalog tables that are bucketed by that column."""
+
+        def bucketed(name: str) -> bool:
+            place = self._places.get(name)
+            if not isinstance(place, str) or "/" in place:
+                return False
+            return [c.name for c in self.spark.catalog.listColumns(place) if c.isBucket] == [column]
+
+        return all(bucketed(name) for name in names)
+
     def snapshot(self, name: str, period: Column) -> DataFrame:
         """One period of a month-end table. The period is a literal, so partitions are pruned without a join on it."""
         return self.live(f"{name}_me").filter(F.col(PERIOD) == period).drop(PERIOD)

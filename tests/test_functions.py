@@ -207,3 +207,13 @@ def test_final_document_texts(spark):
     rows = [tuple((OPEN | {"StatusCurrent": t}).get(c) for c in STAGE_COLUMNS) for t in texts]
     df = with_stage(spark.createDataFrame(rows, schema), DAY)
     assert [row["stage"] for row in df.collect()] == [FINAL] * len(texts)
+
+
+def test_service_fee_keeps_the_rates_digits(spark):
+    """A fee just under the limit is not rounded up to it, and agrees with the check beside it."""
+    rows = spark.sql("SELECT CAST('0.03124996' AS DECIMAL(11,8)) AS rate, CAST(0.005 AS DECIMAL(9,6)) AS fee UNION ALL SELECT CAST('0.03125001' AS DECIMAL(11,8)), CAST(0.005 AS DECIMAL(9,6))")
+    through = derive.pass_through_rate(F.col("rate"), F.col("fee"))
+    fee = derive.service_fee_at_buyout(F.col("rate"), through, rows.schema["rate"].dataType)
+    checked = rows.select(fee.alias("fee"), derive.service_fee_check(F.col("rate") - through).alias("warning")).orderBy("fee")
+    assert dict(checked.dtypes)["fee"] == "decimal(11,8)"
+    assert [tuple(r) for r in checked.collect()] == [(Decimal("0.00624996"), ""), (Decimal("0.00625001"), derive.HIGH_FEE_WARNING)]

@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from scrubline import CURRENT, MONTH_END, Tables, eligibility
+from scrubline.operators import skew
 from scrubline.sources.fixtures import AS_OF, fixture_tables
 from scrubline.sources.schemas import TABLE_NAMES
 
@@ -146,3 +148,63 @@ def test_generated_methods_stay_small(spark, stored, large, variant):
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
     assert len(sizes) > 10
     assert max(sizes) < 8000
+
+
+def test_only_candidates_are_counted_one_by_one(spark, stored, large):
+    """The first exchange of the search carries cells; ids are shuffled only behind a semi-join with the cells that stay."""
+    loans, rows = stored.live("loan_master"), stored.live("modification_master")
+    joins, limits = [skew.Join(loans, {"rows": rows})], skew.Skew(piece_rows=1)
+    tagged = skew._tagged(joins)
+    heavy = skew.heavy_cells(joins, tagged, 0, limits)
+    text = plan(heavy)
+    assert re.findall(r"hashpartitioning\(_groupingexpression#|hashpartitioning\(_cell#", text) and not re.findall(r"hashpartitioning\(LoanId", text)
+    counted = skew._counts(joins, skew.candidates(tagged, heavy, 0, limits), F.col("LoanId"))
+    tree = counted._jdf.queryExecution().executedPlan().toString()
+    shuffled, below = re.split(r"Exchange hashpartitioning\(LoanId#\d+L, ", tree, maxsplit=1)
+    assert "LeftSemi" in below and "LeftSemi" not in shuffled
+    # What is counted is a small part of all ids, and holds every hot one.
+    found = {r["LoanId"]: (r["_0_loans"], r["_0_rows"]) for r in counted.collect()}
+    assert 0 < len(found) < loans.select("LoanId").distinct().count() / 2
+    hot = skew.find_hot_loans(loans, {"rows": rows}, limits)
+    assert hot is not None and {r["LoanId"]: (r["loans"], r["rows"]) for r in hot.collect()}.items() <= found.items()
+
+
+def in_buckets(spark, stored, name):
+    """The stored tables in the catalog, those with a loan id bucketed by it."""
+    names = []
+    for table in TABLE_NAMES:
+        names.append(f"{name}_{table}")
+        writer = stored.live(table).write.mode("overwrite")
+        if table.endswith("_me"):
+            writer = writer.partitionBy("MEPeriod")
+        if not table.startswith("ref_"):
+            writer = writer.bucketBy(BUCKETS, "LoanId").sortBy("LoanId")
+        writer.saveAsTable(names[-1])
+    return Tables(spark, dict(zip(TABLE_NAMES, names, strict=True))), names
+
+
+@pytest.mark.parametrize("variant", [CURRENT, MONTH_END], ids=lambda v: v.name)
+def test_bucketed_tables_are_searched_without_a_shuffle(spark, stored, large, variant, monkeypatch):
+    plans = []
+    counted = skew.counts_in_buckets
+    monkeypatch.setattr(skew, "counts_in_buckets", lambda joins: plans.append(plan(df := counted(joins))) or df)
+    tables, names = in_buckets(spark, stored, f"searched_{variant.name}")
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        df = eligibility(tables, AS_OF, variant)
+        assert len(plans) == 1 and "Exchange" not in plans[0] and plans[0].count("Join type: LeftOuter") == 6
+        text = plan(df)
+        assert not re.findall(r"hashpartitioning\(LoanId", text)
+        expected = report(stored, variant)
+        assert df.count() == expected.count() and df.exceptAll(expected).count() == 0
+        # Hot ids are found there, too.
+        hot = eligibility(tables, AS_OF, variant, skew_limits=skew.Skew(piece_rows=2))
+        assert hot.count() == expected.count() and hot.exceptAll(expected).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+        for table in names:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_other_tables_are_not_searched_in_buckets(stored):
+    assert not stored.bucketed_by("LoanId", ["loan_master"])

@@ -4,10 +4,12 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from scrubline import CURRENT, MONTH_END, eligibility
-from scrubline.operators.rules import LIST_REASONS, FixedLists
-from small import AS_OF, loan, small_tables
+from scrubline.operators.rules import LIST_REASONS, FixedLists, exclusion_rules, first_match
+from scrubline.sources.schemas import schema
+from small import AS_OF, GOOD_LOAN, loan, small_tables
 
 DAY = dt.date(2001, 5, 1)
 VA = {"LoTypeId": "2", "OriginalLoanToValueRatio": Decimal("0.91"), "LoanPurposeCodeId": "6"}
@@ -244,3 +246,17 @@ def test_case_sensitive_switch(spark):
     rows = {"loan_master": [loan(1, LossMitStatusCodeid="A", LossMitTemplateId="hhf"), loan(2, ARMFlag="y")]}
     assert scrubs(spark, rows, CURRENT) == {1: "HHF", 2: "ARM"}
     assert scrubs(spark, rows, CURRENT, case_sensitive=True) == {1: "", 2: ""}
+
+
+def test_loans_that_are_not_delinquent_have_a_rule(spark):
+    """The population never lets such a loan through, so the rule is reached directly; the month-end list has none."""
+    columns = {f.name: F.lit(GOOD_LOAN.get(f.name)).cast(f.dataType) for f in schema("loan_master") if f.name != "LoanPurposeCodeId"}
+    flags = ("ReasonCode", "Loanpurposecodeid", "ModStage", "SSDILStatus", "MortgageInsuranceFHASectionADPCode")
+    columns |= {"BorrowerDeceased": F.lit(False), "ShortSaleClaim": F.lit(False), "DeedInLieuClaim": F.lit(False), "SaleDt": F.lit(None).cast("date"), "ScheduledSaleDt": F.lit(None).cast("date")}
+    columns |= {name: F.lit(None).cast("string") for name in flags}
+    cutoff = F.lit(AS_OF)
+    for code, current, month_end in (("P", "< 30 DAYS DQ", ""), ("D", "< 30 DAYS DQ", ""), ("3", "", "")):
+        one = spark.range(1).select(*[c.alias(n) for n, c in (columns | {"DelinquentStatusCodeId": F.lit(code)}).items()])
+        reason = lambda **given: one.select(first_match(exclusion_rules(sale_cutoff=cutoff, **given)).alias("reason")).first()["reason"]
+        assert reason(month_end=False) == current
+        assert reason(month_end=True, next_due_cutoff_pooled=cutoff, next_due_cutoff_balance_sheet=cutoff) == month_end
