@@ -7,6 +7,9 @@ the risk. Cutoffs are tested from lax to strict, and the last safe one before th
 testing, so the ladder's length costs nothing). With probability 1 - ``error`` at most ``risk`` of the good documents fall in
 every stratum at once. A stratum with too few labels gets no cutoff and loses nothing.
 
+The test holds for independent documents, so a holdout has every doc_id once (of several texts the one of smallest hash) and
+every text of a stratum once, however often rows are repeated or copied.
+
 Features come from one pass over whole texts without a shuffle. Only counts per stratum, rule and step of the ladder
 meet; the driver gets the number of strata.
 """
@@ -169,8 +172,11 @@ def cutoffs(featured: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> Data
         labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"))
     ).filter("q = 1")
     held = featured.filter(~base_failed()).join(good.select("doc_id"), "doc_id", "left_semi")
-    over = F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), _steps(r).alias("over")) for i, r in enumerate(risk.rules)]))
-    counts = cut(held.select("lang", over.alias("o")).groupBy("lang", "o.rule", "o.over").agg(F.count("*").alias("n")))
+    steps = F.array(*[_steps(r) for r in risk.rules]).alias("steps")
+    once = held.groupBy("doc_id").agg(F.min(F.struct("content", "lang", steps)).alias("d")).select("d.*")
+    texts = once.groupBy("lang", "content").agg(F.min("steps").alias("steps"))
+    over = F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.get("steps", F.lit(i)).alias("over")) for i in range(len(risk.rules))]))
+    counts = cut(texts.select("lang", over.alias("o")).groupBy("lang", "o.rule", "o.over").agg(F.count("*").alias("n")))
     strata = max(1, counts.select("lang").distinct().count())
     part, level = risk.risk / len(risk.rules), risk.error / (strata * len(risk.rules))
     rules = risk.rules
@@ -193,7 +199,9 @@ def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """(doc_id, lang, content, features, base_failed, kept): one row per row of ``docs``.
 
     A null text has no words and fails the base rules, as do all texts under fifty words. A null language is a stratum of
-    its own. Without labels nothing but the base rules rejects. Extra columns are ignored; repeated rows are judged alike.
+    its own. Without labels nothing but the base rules rejects. Extra columns are ignored; repeated rows are judged alike and
+    count once in the holdout. An empty table gives no rows. A text is read whole in one task, however long. Capitals are
+    those of Latin letters up to U+00DE.
     """
     featured = cut(with_features(docs))
     chosen = bounded(cutoffs(featured, labels, risk).withColumnsRenamed({"lang": "of"}), 100_000)
@@ -233,7 +241,7 @@ repeated AS (
     SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(j, j + 3)) AS place FROM twice) GROUP BY doc_id
 ),
 features AS (
-    SELECT s.doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    SELECT s.doc_id, lang, t, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
         coalesce(r.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
         length(regexp_replace(t, '[^A-ZÀ-ÖØ-Þ]', '', 'g')) AS n_upper
@@ -243,11 +251,16 @@ based AS (
     SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed FROM features
 ),
 rated AS (
-    SELECT b.doc_id, b.lang, b.base_failed, r.rule, r.ratio
+    SELECT b.doc_id, b.lang, b.t, b.base_failed, r.rule, r.ratio
     FROM based b, LATERAL (SELECT * FROM (VALUES {ratios}) AS v(rule, ratio)) r
 ),
 good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(coalesce(quality, 0)) = 1),
-held AS (SELECT * FROM rated WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
+held AS (
+    -- Every doc_id once, then every text of a language once.
+    SELECT lang, rule, t, any_value(ratio) AS ratio FROM (
+        SELECT DISTINCT ON (doc_id, rule) * FROM rated WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) ORDER BY doc_id, rule, t, lang
+    ) GROUP BY lang, rule, t
+),
 ladder(rule, step, cutoff) AS (VALUES {ladders}),
 counted AS (
     SELECT lang, l.rule, step, cutoff, count(*) AS n, count(*) FILTER (WHERE ratio > cutoff) AS x

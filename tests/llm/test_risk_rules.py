@@ -124,3 +124,32 @@ def test_good_documents_stay_and_junk_falls(spark):
     rates = {r.quality: r.kept for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
     assert rates[1] > 0.98
     assert rates[0] < 0.6
+
+
+def test_repeats_count_once(spark, documents):
+    """Labelled rows fifty times, and as copies under other ids: the cutoffs are those of the rows once."""
+    rnd = __import__("random").Random(7)
+    rows, labels = [], []
+    for i in range(900):
+        rows.append((i, " ".join([f"w{rnd.randint(0, 10**6)}" for _ in range(60)] + ["#"] * rnd.choice([0] * 40 + [1, 2])), "en"))
+        labels.append((i, 1, 0))
+    few = rows[:60]
+    risk = Risk(risk=0.05, error=0.1, rules=(Rule("symbols", "n_symbols / n_words", (0.5, 0.3, 0.1, 0.03, 0.02, 0.01, 0.0)), Rule("capitals", "n_upper / word_chars", (0.9, 0.5))))
+
+    def found(docs, labelled):
+        out = rr.cutoffs(rr.with_features(documents(docs)), spark.createDataFrame(labelled, LABELS), risk).collect()
+        return {r.lang: (r.symbols, r.capitals) for r in out}
+
+    once = found(rows, labels)
+    assert once["en"][0] is not None and once["en"][0] > 0
+    assert found(rows * 50, labels) == once
+    assert found(rows + [(10_000 + i, t, g) for i, t, g in rows], labels + [(10_000 + i, 1, 0) for i in range(900)]) == once
+    # Sixty documents show nothing, however often they are repeated; a second text of an id is no second document.
+    assert found(few * 50, labels) == found(few, labels) == {"en": (None, None)}
+    assert found(few + [(i, t + f" x{k}", g) for i, t, g in few for k in range(20)], labels) == {"en": (None, None)}
+
+
+def test_very_long_text(spark, documents):
+    long = " ".join(f"w{i % 70_000}" for i in range(500_000))
+    (row,) = rr.report(documents([(1, long)]), spark.createDataFrame([(1, 1, 0)], LABELS)).collect()
+    assert tuple(row)[1:6] == plain(long)
