@@ -116,3 +116,65 @@ def test_targets(spark):
     df = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
     for r in mixing.targets(df, Mix()).collect():
         assert r.target == pytest.approx(plain_targets(sizes)[r.source], rel=1e-12)
+
+
+@pytest.mark.parametrize("doc_id", [7, 8, 9, 31, 400, None])
+@pytest.mark.parametrize("share", [1.0, 0.9])
+def test_repeated_rows_do_not_pass_the_target(documents, doc_id, share):
+    """Half of a source is one repeated row: the target is met within the longest text, whatever the row's hash."""
+    rows = [(1000 + i, f"five words are in {i}", "en", "a") for i in range(300)] + [(doc_id, "five words are in it", "en", "a")] * 300
+    rows += [(2000 + i, "a b c", "en", "b") for i in range(400)]
+    report = mixing.report(documents(rows), Mix(share=share)).collect()
+    taken, source = Counter(), {d: s for d, _, _, s in rows}
+    for r in report:
+        assert r.taken in (0, r["size"], 2 * r["size"], 3 * r["size"])
+        taken[source[r.doc_id]] += r.taken
+    target = {source[r.doc_id]: r.target for r in report}
+    assert len(report) == len(rows) and all(abs(taken[s] - target[s]) <= 5 for s in target)
+    # The mix holds as many rows, with their other columns.
+    mix = mixing.mixed(documents(rows).withColumn("n_chars", F.monotonically_increasing_id()), Mix(share=share)).collect()
+    held = Counter()
+    for r in mix:
+        held[r.source] += len(r.text.split())
+    assert held == taken and max(Counter(r.n_chars for r in mix).values()) <= 3
+
+
+def plain_mix(rows, rule, draws):
+    """Rows of the report by brute force: the plan of each source, then within a length the smallest draws; draws: by row."""
+    words = [len(re.findall("[^\x20\x09-\x0d]+", t or "")) for _, t, _ in rows]
+    total = Counter()
+    for n, (_, _, s) in zip(words, rows):
+        total[s] += n
+    target, out = plain_targets(total), Counter()
+    for s in total:
+        budget = round(target[s])
+        rounds = min(rule.rounds, budget // total[s]) if total[s] else 0
+        rest = budget - rounds * total[s] if rounds < rule.rounds else 0
+        own = sorted((n, d, i) for i, (n, d, (_, _, of)) in enumerate(zip(words, draws, rows)) if of == s)
+        sizes = sorted({n for n, _, _ in own})
+        counts = Counter(n for n, _, _ in own)
+        more = mixing.fit(rest, np.array(sizes), np.array([counts[n] for n in sizes]), rule.fitted)
+        for n, k in zip(sizes, more):
+            for place, (_, _, i) in enumerate(x for x in own if x[0] == n):
+                out[rows[i][0], n, total[s], n * (rounds + (place < k))] += 1
+    return out
+
+
+def test_choice_equals_brute_force(spark):
+    """The query's rows, with the seeded draws computed here for each row alone."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(Mix().seed), "doc_id", "text"), 1)
+    given = docs.select("doc_id", "text", "source", draw.alias("draw")).collect()
+    expected = plain_mix([(r.doc_id, r.text, r.source) for r in given], Mix(), [r.draw for r in given])
+    assert Counter((r.doc_id, r["size"], r.source_size, r.taken) for r in QUERIES["op6_mixing"](spark, sf).collect()) == expected
+
+
+def test_very_long_text_takes_little_memory(documents):
+    """Nothing fits into what is left: no table of twice that many words is made."""
+    sizes, counts = np.array([40_000_000, 90_000_000]), np.array([1, 1])
+    assert mixing.fit(20_000_001, sizes, counts, 16_384).tolist() == [1, 0]
+    assert mixing.fit(19_999_999, sizes, counts, 16_384).tolist() == [0, 0]
+    docs = documents([(1, "w " * 2_000_000, "en", "a"), (2, "x y", "en", "b")])
+    taken = {r.doc_id: r.taken for r in mixing.report(docs).collect()}
+    assert taken == {1: 2_000_000, 2: 6}
