@@ -8,10 +8,12 @@ compressed, so a memory map gives sequence k without a copy. A file is written u
 when whole; a rerun writes the same bytes. A document's ids run on from one sequence to the next within its file.
 """
 
+import json
 import re
 import struct
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,8 +38,9 @@ _REMEMBERED = 1 << 20
 
 @dataclass(frozen=True)
 class TokenFiles:
-    """The tokenizer's file, the end id, ids per sequence, sequences per batch, bytes of text per file, and the most files,
-    beyond which files grow."""
+    """The tokenizer's file, the end id, ids per sequence, sequences per batch, bytes of text per file, the most files, beyond
+    which files grow (from 640 GB of text on), and whether strings of special tokens in a text are ordinary text. They are
+    not by default: the tokenizer's plain call gives them their own ids."""
 
     tokenizer: str = public_tokenizers.path("byte_bpe_50k.json")
     end_id: int = 2
@@ -45,20 +48,25 @@ class TokenFiles:
     batch: int = 512
     file_bytes: int = 32 << 20
     most_files: int = 20_000
+    special_as_text: bool = False
 
 
 class Encoder:
     """Ids of whole texts, as little-endian bytes.
 
     The pattern cuts plain Latin text into pieces that the tokenizer merges one by one, so ids of a piece are asked for once
-    and remembered, up to a fixed number of pieces, for all tasks of a worker. Any other text goes to the tokenizer whole.
+    and remembered, up to a fixed number of pieces, for all tasks of a worker. Any other text goes to the tokenizer whole, and
+    so does every text if the tokenizer's file cuts texts in another way.
     """
 
     def __init__(self, rule: TokenFiles):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(rule.tokenizer)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = rule.special_as_text
+        added = {t.content: t.special for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.marks = [mark for mark, special in added.items() if not (special and rule.special_as_text)]
+        self.by_pieces = _cuts_alike(json.loads(self.tokenizer.to_str()))
         self.kind = id_type(self.tokenizer.get_vocab_size(), rule.end_id)
         self.end = np.array([rule.end_id], dtype=self.kind).tobytes()
         outer = self
@@ -79,11 +87,18 @@ class Encoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return self.end
-        if not _LATIN.fullmatch(text):
+        if not self.by_pieces or not _LATIN.fullmatch(text) or any(mark in text for mark in self.marks):
             return self.whole(text) + self.end
         return b"".join(map(self.memory.__getitem__, _PIECES.findall(text))) + self.end
 
 
+def _cuts_alike(file: dict) -> bool:
+    """Whether a tokenizer cuts texts by the pattern above, and merges every piece by itself and always alike."""
+    cut_by, model = file.get("pre_tokenizer") or {}, file["model"]
+    plain = cut_by.get("type") == "ByteLevel" and cut_by.get("use_regex", True) and not cut_by.get("add_prefix_space")
+    return plain and not file.get("normalizer") and not file.get("post_processor") and not file.get("truncation") and not file.get("padding") and model.get("type") == "BPE" and not model.get("dropout")
+
+
 @lru_cache(maxsize=1)
 def _worker_encoder(rule: TokenFiles) -> Encoder:
     return Encoder(rule)
@@ -93,23 +108,56 @@ def id_type(vocabulary: int, end_id: int) -> str:
     return "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
 
 
-def _bounds(docs: DataFrame, rule: TokenFiles) -> list[int]:
-    """Upper ends of the files' ranges of doc_id, all but the last one's."""
+def _quantiles(docs: DataFrame, rule: TokenFiles) -> list[int]:
+    """Upper ends of ranges of doc_id that hold equally many rows; an id that fills whole ranges occurs several times."""
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)).first()[0] or 0
     n = min(-(-size // rule.file_bytes), rule.most_files)
     if n <= 1:
         return []
     parts = F.lit(np.arange(1, n) / n)
-    return sorted(set(docs.agg(F.percentile_approx("doc_id", parts, 100_000)).first()[0] or []))
+    return list(docs.agg(F.percentile_approx("doc_id", parts, 100_000)).first()[0] or [])
+
+
+def _bounds(docs: DataFrame, rule: TokenFiles) -> list[int]:
+    """Upper ends of the files' ranges of doc_id, all but the last one's."""
+    return sorted(set(_quantiles(docs, rule)))
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """Upper ends of ranges of doc_id, all but the last one's, and how many files each has: the first number is for rows without
+    a doc_id, which come first. Only these and ranges of a single id have several, in the order of their texts' hashes."""
+
+    ends: list[int]
+    parts: list[int]
+
+    def files(self) -> int:
+        return sum(self.parts)
+
+    def file_of(self, doc_ids: list[int | None], contents: list[int]) -> list[int]:
+        ends, first = np.array(self.ends, dtype=np.int64), np.r_[0, np.cumsum(self.parts)].tolist()
+        ranges = [0 if i is None else 1 + int(np.searchsorted(ends, i)) for i in doc_ids]
+        return [first[r] + ((c + (1 << 63)) * self.parts[r] >> 64) for r, c in zip(ranges, contents)]
+
+
+def _ranges(docs: DataFrame, rule: TokenFiles) -> Ranges:
+    """``_bounds``, with ids of very many rows in ranges of their own and those, and missing ids, over several files."""
+    found = _quantiles(docs, rule)
+    hot = sorted(i for i, n in Counter(found).items() if n > 1)
+    ends = sorted({*found, *(i - 1 for i in hot)})
+    apart = docs.filter(F.col("doc_id").isNull() | F.col("doc_id").isin(hot)) if hot else docs.filter(F.col("doc_id").isNull())
+    counted = apart.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("bytes"), F.count("*").alias("n")).collect()
+    each = max(rule.file_bytes, sum(r["bytes"] for r in counted) // rule.most_files)
+    sizes = {r["doc_id"]: min(-(-r["bytes"] // each), r["n"]) for r in counted}
+    alone = [ends[k] if k < len(ends) and k and ends[k] - ends[k - 1] == 1 else None for k in range(len(ends) + 1)]
+    return Ranges(ends, [sizes.get(None, 1), *[1 if i is None else sizes.get(i, 1) for i in alone]])
 
 
-def _encode(bounds: list[int], rule: TokenFiles):
+def _encode(ranges: Ranges, rule: TokenFiles):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ends = _worker_encoder(rule), np.array(bounds, dtype=np.int64)
+        encoder = _worker_encoder(rule)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            # Missing ids come first, in the first file.
-            file = [0 if i is None else int(np.searchsorted(ends, i)) for i in ids]
+            file = ranges.file_of(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             texts = batch.column(2).to_pylist()
             for at in range(0, len(texts), 500):
                 tokens = pa.array([encoder(t) for t in texts[at : at + 500]], pa.binary())
@@ -217,13 +265,15 @@ def write(docs: DataFrame, directory: str, rule: TokenFiles = TokenFiles()) -> D
     """Writes the files of ``docs`` in ascending doc_id order; returns (file, n_docs, n_ids, start), one row per file.
 
     start is the number of ids in the files before. A null or empty text is its end id alone. Rows without a doc_id come
-    first; rows of one doc_id stay together, ordered by a hash of their text. An empty table gives no file.
+    first; rows of one doc_id follow each other, ordered by a hash of their text, over several files if they are very many
+    (those equal in doc_id and text in one). A text of any length is encoded whole by one task. Columns other than doc_id and
+    text are ignored, whatever their names. An empty table gives no file.
     """
     kind = Encoder(rule).kind
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("content"), "text")
-    bounds = _bounds(narrow, rule)
-    encoded = narrow.transform(arrow_map, _encode(bounds, rule), "file int, doc_id bigint, content bigint, tokens binary")
-    dealt = encoded.repartitionById(len(bounds) + 1, "file").sortWithinPartitions("file", "doc_id", "content")
+    ranges = _ranges(narrow, rule)
+    encoded = narrow.transform(arrow_map, _encode(ranges, rule), "file int, doc_id bigint, content bigint, tokens binary")
+    dealt = encoded.repartitionById(ranges.files(), "file").sortWithinPartitions("file", "doc_id", "content")
     files = cut(dealt.transform(arrow_map, _write(directory, kind, rule), _FILES))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     return cut(files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0).cast("bigint"))))

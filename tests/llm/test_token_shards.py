@@ -15,7 +15,6 @@ from scrubline.llm.token_shards import TokenFiles
 
 def plain_ids(texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return [e.ids + [2] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -76,3 +75,43 @@ def test_edges(documents):
     missing = ts.round_trip(documents([(None, "x"), (1, "y")])).collect()
     assert [(r.doc_id, r.start) for r in sorted(missing, key=lambda r: r.start)] == [(None, 0), (1, len(plain_ids(["x"])[0]))]
     assert found(ts.round_trip(documents([]))) == []
+
+
+def test_special_strings_and_other_tokenizers(documents):
+    """The plain call's ids by default, ordinary text by option; a file that cuts texts otherwise is not cut here."""
+    texts = ["<|endoftext|> x", "a <|endoftext|>", "Two  Words, it's 12 O'Clock", "plain"]
+    rows = list(enumerate(texts))
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        for as_text in (False, True):
+            tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+            tokenizer.encode_special_tokens = as_text
+            encoder = ts.Encoder(TokenFiles(tokenizer=public_tokenizers.path(name), special_as_text=as_text))
+            assert encoder.by_pieces == (name == "byte_bpe_50k.json")
+            for text in texts:
+                ids = np.frombuffer(encoder(text), dtype=encoder.kind).tolist()
+                assert ids == tokenizer.encode(text, add_special_tokens=False).ids + [2], (name, as_text, text)
+    assert plain_ids(["<|endoftext|> x"]) == [[50256, 2124, 2]]
+    assert found(ts.round_trip(documents(rows))) == expected(rows)
+
+
+@pytest.mark.parametrize("hot", [None, 7])
+def test_hot_and_missing_ids_have_several_files(spark, documents, hot):
+    """A third of all rows has no id, or the same one: they are spread over files, and the order is kept."""
+    rows = [(i, f"row {i} of them") for i in range(400)] + [(hot, f"another text {i}") for i in range(200)]
+    rule = TokenFiles(length=16, batch=3, file_bytes=600)
+    directory = ts.fresh_dir(spark, "test")
+    files = ts.write(documents(rows).repartition(5), directory, rule)
+    found_rows = sorted(((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in ts.read(files, directory).collect()))
+    ids = [r[1] for r in found_rows]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i)) and len(ids) == 600
+    assert all(a[0] + a[2] == b[0] for a, b in zip(found_rows, found_rows[1:])) and found_rows[0][0] == 0
+    sums = lambda of: sorted((d is None, d or 0, zlib.crc32(np.array(x, dtype="<u4").tobytes())) for (d, _), x in zip(of, plain_ids([t for _, t in of])))
+    assert sorted((d is None, d or 0, c) for _, d, _, c in found_rows) == sums(rows)
+    # No file has more than a few times its bytes of text.
+    assert max(r.n_docs for r in files.collect()) <= 120 and files.count() > 12
+
+
+def test_very_long_text(spark, documents):
+    """One text over the bound of an Arrow batch."""
+    rows = [(1, "short"), (2, "word " * 2_000_000), (3, "end")]
+    assert found(ts.round_trip(documents(rows), TokenFiles(length=64))) == expected(rows)
