@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from scrubline.shared import bounded, cut, fresh_dir, remove, shared_dir
 
-__all__ = ["BLANKS", "WORD", "arrow_map", "bounded", "cut", "fresh_dir", "remove", "shared_dir", "shielded", "table", "unsigned"]
+__all__ = ["BLANKS", "WORD", "arrow_map", "bounded", "cut", "fresh_dir", "in_blocks", "remove", "shared_dir", "shielded", "table", "unsigned"]
 
 # What separates words, and a word, as the contracts spell them. Both work in Java's and Python's regex.
 BLANKS = r"\x20\x09-\x0D"
@@ -31,6 +31,27 @@ def arrow_map(df: DataFrame, function: Callable, schema: str | StructType) -> Da
     return df.mapInArrow(function, schema)
 
 
+# Keys of large groups up to this number are sent to all tasks.
+_SENT_KEYS = 500_000
+
+
+def in_blocks(rows: DataFrame, key: str, member: str, most: int) -> DataFrame:
+    """``rows`` (stored ones: they are read several times) with new keys, so that a key has about ``most`` rows at most and any
+    two members of one old key still meet under a new one.
+
+    Members of a larger group are dealt by hash into blocks of half that size, and every pair of blocks is a key, so a row
+    is repeated once per block. Rows must be distinct; a group's size is counted map-side.
+    """
+    large = cut(rows.groupBy(key).agg(F.ceil(2 * F.count("*") / most).alias("__blocks")).filter(F.col("__blocks") > 2))
+    if large.isEmpty():
+        return rows
+    large = bounded(large, _SENT_KEYS)
+    own = F.pmod(F.xxhash64(member), F.col("__blocks"))
+    dealt = rows.join(large, key).withColumn("__own", own).withColumn("__other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__blocks") - 1)))
+    paired = F.xxhash64(key, F.least("__own", "__other"), F.greatest("__own", "__other"))
+    return rows.join(large, key, "left_anti").unionByName(dealt.withColumn(key, paired).select(rows.columns))
+
+
 def unsigned(value: Column) -> Column:
     """A 64-bit value as 16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(value)), 16, "0")

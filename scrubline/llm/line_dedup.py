@@ -12,7 +12,8 @@ all that one dropped character makes of it: two lines within one edit share one,
 
 Hot lines and hot keys: equal lines are one line from their batch on. Inside a key no pairs are emitted: a walk from line to
 line over those not reached yet gives a spanning forest of the verified links, so no link between different lines is lost.
-A key with over ``group_rows`` lines is dealt anew by segments half as long, outside the segment that its lines share.
+A key with over ``group_rows`` lines is dealt anew by segments half as long, outside the segment that its lines share; one that
+is still larger in blocks of half that size, every pair of blocks under a key of its own.
 """
 
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.common import WORD, arrow_map, cut
+from scrubline.llm.common import WORD, arrow_map, cut, in_blocks
 from scrubline.llm.components import components
 
 
@@ -315,8 +316,10 @@ def links(lines: DataFrame, rule: LineDedup = LineDedup()) -> DataFrame:
     groups, hot = shared.filter("not hot").select("key", "id"), shared.filter("hot").select("key", "id").distinct()
     if not hot.isEmpty():
         finer = hot.join(_texts(joined, hot, rule.sent_ids), "id").select("key", "id", "line").transform(arrow_map, _finer_rows(rule), _ROWS)
-        again = dealt(finer).transform(arrow_map, _shared_rows(None), _SHARED).select("key", "id")
-        groups = cut(groups.unionByName(again))
+        # Rows of a key over the limit come as they are read, so a line may come more than once.
+        again = cut(dealt(finer).transform(arrow_map, _shared_rows(rule.group_rows), _SHARED))
+        large = cut(again.filter("hot").select("key", "id").distinct())
+        groups = cut(groups.unionByName(again.filter("not hot").select("key", "id")).unionByName(in_blocks(large, "key", "id", rule.group_rows)))
     with_text = groups.join(_texts(joined, groups, rule.sent_ids), "id").select("key", "id", "line")
     return cut(dealt(with_text).transform(arrow_map, _verify(rule), "a bigint, b bigint"))
 

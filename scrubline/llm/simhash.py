@@ -7,7 +7,8 @@ least one of these. Rows meet by that key, and every link is verified on the who
 Hot keys: copies with equal fingerprints are one row from the start. Inside a key no pairs are emitted: small groups
 give their verified links once (in the first key that the pair shares), larger ones a spanning forest, found by walking
 from member to member over those not reached yet. A group over ``group_rows`` is dealt anew by the bits outside its
-segment, with the same segment cut, so one task never holds more than that.
+segment, with the same segment cut. A group that is still larger is dealt in blocks of half that size, every pair of
+blocks under a key of its own, so one task never holds more than that.
 """
 
 from collections.abc import Iterator
@@ -19,13 +20,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.common import arrow_map, cut, unsigned
+from scrubline.llm.common import arrow_map, cut, in_blocks, unsigned
 from scrubline.llm.components import components
 
 # Fixed value: the seed of the shingles' XXH64.
 SEED = 42
 BITS = 64
 _BLOCK = 1 << 16
+# A group is dealt in blocks of so many rows at least: groups of up to 64 rows list all their links, not a forest.
+_LEAST_DEALT = 1000
 
 
 @dataclass(frozen=True)
@@ -257,8 +260,9 @@ def links(prints: DataFrame, rule: SimHash = SimHash()) -> DataFrame:
     result = found.filter(~F.col("open")).select("a", "b")
     unresolved = found.filter("open").select("a", "b")
     if not unresolved.isEmpty():
-        again = unresolved.transform(arrow_map, _refine(rule.distance), _KEYED).repartition("key").sortWithinPartitions("key", "fp")
         # Members of a group now agree on some 36 bits but for two, and are all distinct.
+        finer = in_blocks(cut(unresolved.transform(arrow_map, _refine(rule.distance), _KEYED)), "key", "fp", max(rule.group_rows, _LEAST_DEALT))
+        again = finer.repartition("key").sortWithinPartitions("key", "fp")
         result = result.unionByName(again.transform(arrow_map, _links(rule.distance, None), _LINKED).select("a", "b"))
     return result
 
@@ -268,7 +272,7 @@ def near_duplicates(docs: DataFrame, rule: SimHash = SimHash()) -> DataFrame:
 
     component_id is the smallest doc_id that links reach, itself included. Null and empty texts and texts without words
     have fingerprint zero and are linked like any other. Rows without a doc_id take part; they count as last in a
-    component, whose id is null if no row of it has one. ``representative`` marks the one (doc_id, content) of each
+    component, whose id is null if no row of it has one. A text of any length is one fingerprint, made by one task. ``representative`` marks the one (doc_id, content) of each
     component that stays: its smallest doc_id, ties by content; identical rows are all marked. Extra columns of
     ``docs`` are ignored; an empty table gives an empty one.
     """

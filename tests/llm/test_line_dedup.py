@@ -161,3 +161,21 @@ def test_one_line_in_most_documents(documents):
     rows = [(i, f"{'the same line in very many documents'}\nown line number {i * 7919} of its own kind {i * 104729}") for i in range(2000)]
     result = ld.report(documents(rows)).filter("line_no = 0").collect()
     assert len(result) == 2000 and sum(r.kept for r in result) == 1 and {r.class_doc_id for r in result} == {0}
+
+
+def test_lines_of_one_template(documents, monkeypatch):
+    """All lines share most of their text, so a key stays over the limit after the second cut and is dealt in blocks."""
+    rnd = random.Random(2)
+    lines = [f"ID {n:07d}: the same words stand behind every number of this list" for n in rnd.sample(range(10**7), 300)]
+    rows = [(i, "\n".join(lines[i * 30 : i * 30 + 30])) for i in range(10)]
+    rule, largest = LineDedup(group_rows=60), []
+
+    def watched(large, key, member, most, whole=ld.in_blocks):
+        dealt = whole(large, key, member, most)
+        largest.append((large.groupBy(key).count().agg(F.max("count")).first()[0], dealt.groupBy(key).count().agg(F.max("count")).first()[0]))
+        return dealt
+
+    monkeypatch.setattr(ld, "in_blocks", watched)
+    assert found(ld.report(documents(rows), rule)) == brute(rows, rule)
+    ((before, after),) = largest
+    assert before == 300 and after <= 100

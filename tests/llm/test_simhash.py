@@ -106,3 +106,27 @@ def test_dense_and_hot_groups(spark, limit, distance):
         label[max(find(place[a]), find(place[b]))] = min(find(place[a]), find(place[b]))
     expected = brute_components(rows, distance)
     assert [find(i) for i in range(len(rows))] == [c for _, _, c in sorted(expected)]
+
+
+def test_groups_that_stay_large_are_dealt_in_blocks(spark, monkeypatch):
+    """All differences lie in twenty bits, so keys of the other segments hold every fingerprint in both cuts."""
+    monkeypatch.setattr(simhash, "_LEAST_DEALT", 150)
+    sizes = []
+    monkeypatch.setattr(simhash, "in_blocks", lambda *a, whole=simhash.in_blocks: sizes.append(a[-1]) or whole(*a))
+    rnd = random.Random(3)
+    center = rnd.getrandbits(64)
+    prints = sorted({center ^ sum(1 << b for b in rnd.sample(range(20), rnd.randint(0, 9))) for _ in range(350)})
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    pairs = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp bigint"), SimHash(group_rows=100)).distinct().collect()
+    place, label = {p: i for i, p in enumerate(signed)}, list(range(len(signed)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a, b in pairs:
+        assert bin((a ^ b) & (1 << 64) - 1).count("1") <= 4
+        label[max(find(place[a]), find(place[b]))] = min(find(place[a]), find(place[b]))
+    expected = brute_components(list(enumerate(prints)))
+    assert sizes == [150] and [find(i) for i in range(len(prints))] == [c for _, _, c in sorted(expected)]
