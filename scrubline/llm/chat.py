@@ -17,7 +17,7 @@ ends in them were written as %25 and %0A, so a role stays on its line.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.llm.common import fresh_dir
+from scrubline.llm.common import exploded, fresh_dir
 
 # The template's marks, and the control strings (first character, rest) that texts must not hold.
 START, END = "<|im_start|>", "<|im_end|>\n"
@@ -46,9 +46,12 @@ def final_messages(log: DataFrame) -> DataFrame:
     """(conv_id, at, role, text): one row per message of the log (conv_id, message, seq, event, role, text).
 
     ``seq`` and ``message`` are of any type that can be ordered; ``at`` is a message's smallest seq. Null texts are empty,
-    unknown events change nothing, the last role that an event names counts, and none is ''.
+    unknown events change nothing, the last role that an event names counts, and none is ''. Of events with one seq openings
+    come first, then regenerations, edits and deltas, so that no delta is lost; deltas are ordered by their texts. Columns of
+    other names are ignored; an empty log gives no messages.
     """
-    event = F.struct("seq", "event", F.coalesce("text", F.lit("")).alias("text"), "role")
+    rank = F.coalesce(*[F.when(F.col("event") == e, F.lit(i)) for i, e in enumerate((OPENING, DROPPED, REPLACED, APPENDED))], F.lit(4))
+    event = F.struct("seq", rank.alias("rank"), "event", F.coalesce("text", F.lit("")).alias("text"), "role")
     grouped = log.groupBy("conv_id", "message").agg(F.sort_array(F.collect_list(event)).alias("events"))
     # The fold: what the last opening, edit or regeneration left, and the deltas behind it, in one concatenation.
     last = F.expr(f"coalesce(array_max(transform(events, (e, i) -> if(e.event in ('{OPENING}', '{REPLACED}', '{DROPPED}'), i, -1))), -1)")
@@ -122,7 +125,7 @@ def as_log(conversations: DataFrame) -> DataFrame:
     """
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     counted = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("n"))
-    single = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    single = exploded(counted, "copy", F.lit(1).cast("bigint"), F.col("n"))
     half = F.expr("cast(length(text) / 2 as int)")
     left, right = F.col("text").substr(F.lit(1), half), F.col("text").substr(half + 1, F.length("text"))
 

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from scrubline.shared import bounded, cut, fresh_dir, remove, shared_dir
 
-__all__ = ["BLANKS", "WORD", "arrow_map", "bounded", "cut", "fresh_dir", "in_blocks", "remove", "shared_dir", "shielded", "table", "unsigned"]
+__all__ = ["BLANKS", "WORD", "arrow_map", "bounded", "cut", "exploded", "fresh_dir", "in_blocks", "remove", "shared_dir", "shielded", "table", "unsigned"]
 
 # What separates words, and a word, as the contracts spell them. Both work in Java's and Python's regex.
 BLANKS = r"\x20\x09-\x0D"
@@ -31,6 +31,19 @@ def arrow_map(df: DataFrame, function: Callable, schema: str | StructType) -> Da
     return df.mapInArrow(function, schema)
 
 
+# Rows that are made from one row in one array.
+_ARRAY_ROWS = 10_000
+
+
+def exploded(df: DataFrame, name: str, first: Column, count: Column) -> DataFrame:
+    """Each row ``count`` times (1 or more) with the numbers from ``first`` on, in two steps: no array holds more than ten
+    thousand of them, however many there are."""
+    part, last = F.col("__part"), first + count
+    parts = df.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((count - 1) / _ARRAY_ROWS))))
+    begin = first + part * _ARRAY_ROWS
+    return parts.withColumn(name, F.explode(F.sequence(begin, F.least(begin + _ARRAY_ROWS, last) - 1))).drop("__part")
+
+
 # Keys of large groups up to this number are sent to all tasks.
 _SENT_KEYS = 500_000
 

@@ -272,7 +272,8 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, rule: Decontamination =
 
     A match holds at least a window: ``window`` words, or a shorter item's whole text. It goes on neither to the left nor to
     the right. Null, empty or wordless texts and items match nothing. An item without an id matches under a null id;
-    repeated rows are treated alike. Columns of ``docs`` with the two names are replaced.
+    repeated rows are treated alike. Columns of ``docs`` with the two names are replaced. Without items nothing matches, and
+    an empty table gives no rows. A text is searched whole by one task, in pieces for the suffix arrays.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")

@@ -423,7 +423,9 @@ def classify(docs: DataFrame, labels: DataFrame, rule: Quality = Quality()) -> D
 
     A document is rejected if its perplexity per character is over its language's threshold. Null or empty texts have no
     perplexity and are kept, as is everything if no document is trusted. A null language is a language of its own.
-    Label rows without a doc_id or quality trust nothing. Extra columns are ignored.
+    Label rows without a doc_id or quality trust nothing. Extra columns are ignored. Repeated rows and copies train and are
+    judged as often as they occur; a perplexity at the threshold is kept. An empty table gives no rows; a text of any length
+    is trained on and judged whole.
     """
     trusted = cut(trusted_ids(labels))
     found = levels(training_sample(docs, trusted, rule), rule)

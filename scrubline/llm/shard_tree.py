@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scrubline.llm.common import bounded, cut
+from scrubline.llm.common import bounded, cut, exploded
 
 
 @dataclass(frozen=True)
@@ -107,11 +107,15 @@ def with_slots(rows: DataFrame, shard: str = "shard", cell_rows: int = 50_000) -
     placed = counted.withColumn("__in", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
     placed = placed.join(bounded(firsts, 500_000), (F.col(shard) == F.col("__shard")) & (F.col("__cell") == F.col("__of")))
     start = F.col("__first") + F.col("__in")
-    return placed.select(*names, F.explode(F.sequence(start, start + F.col("__n") - 1)).alias("slot"))
+    return exploded(placed.select(*names, "__n", start.alias("__start")), "slot", F.col("__start"), F.col("__n")).drop("__n", "__start")
 
 
 def report(docs: DataFrame, shards: int = 16) -> DataFrame:
-    """The digest: doc_id, size, text_crc32, law, shard, slot, grown_shard. A null text is of size 1 and crc32 0."""
+    """The digest: doc_id, size, text_crc32, law, shard, slot, grown_shard. A null text is of size 1 and crc32 0.
+
+    A null doc_id is a key like any other; rows of one doc_id share a shard, and equal rows, however many, get slots one after
+    the other. Only the size and crc32 of a text move, however long it is. Other columns are ignored; an empty table gives no rows.
+    """
     tree = even_tree(shards)
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"))

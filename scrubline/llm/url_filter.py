@@ -105,7 +105,9 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = RULES, si
 
     The longest fitting rule decides; without one a page is blocked if its canonical URL is in ``listed`` (one column,
     ``url``, canonical; nulls and repeats are allowed), else allowed. A null url, or one without ``://``, has empty host and
-    path, no rule, and is allowed. Rows repeat as they come.
+    path, no rule, and is allowed. Rows repeat as they come; a url of any length is judged whole. An empty list blocks
+    nothing, an empty table gives no rows. From some two million listed URLs on the filter stays at its largest size and passes
+    more and more to the exact join, which then decides alone.
     """
     known = cut(listed.select("url").filter("url is not null").distinct())
     filter_, blocks = bloom(known, size)

@@ -94,3 +94,18 @@ def test_hot_conversation(spark):
 def test_main_path_is_native(spark):
     plan = chat.format_log(chat.as_log(chat.probe(spark)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_events_of_one_number(spark):
+    """An edit and a delta with one number: the delta is what comes behind the edit, whatever the rows' order."""
+    log = [(1, 1, 1, "delta", None, "+d"), (1, 1, 1, "edit", None, "NEW"), (1, 1, 1, "message", "user", "old"), (1, 1, 1, "delta", None, "+e")]
+    for rows in (log, log[::-1]):
+        df = spark.createDataFrame(rows, LOG).withColumns({"rank": F.lit("mine"), "at": F.lit(9), "copy": F.lit("x")})
+        assert [tuple(r) for r in chat.final_messages(df).collect()] == [(1, 1, "user", "NEW+d+e")]
+
+
+def test_very_many_equal_rows(spark):
+    """Thirty thousand equal rows of one turn are as many messages."""
+    rows = spark.range(30_000).selectExpr("1L as conv_id", "0L as turn", "'user' as role", "'x' as text")
+    (r,) = chat.digest(chat.format_log(chat.as_log(rows))).collect()
+    assert (r.n_turns, r.loss_chars) == (30_000, 0)

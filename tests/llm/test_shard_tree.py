@@ -96,3 +96,11 @@ def test_written_shards(spark, documents, tmp_path):
     st.write(docs, st.even_tree(4), str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert Counter((r.doc_id, r.text, r.shard) for r in back.collect()) == Counter((r.doc_id, r.text, r.shard) for r in st.with_shard(docs, st.even_tree(4)).collect())
+
+
+def test_very_many_equal_rows_and_none(spark, documents):
+    """A quarter of a million rows without id and text: gapless slots, made without one array of all."""
+    rows = spark.range(250_000).selectExpr("cast(null as bigint) as doc_id", "cast(null as string) as text", "'x' as slot", "1 as shard")
+    found = st.report(rows).agg(F.count("*"), F.countDistinct("slot"), F.min("slot"), F.max("slot"), F.countDistinct("shard")).first()
+    assert tuple(found) == (250_000, 250_000, 0, 249_999, 1)
+    assert st.report(documents([])).collect() == []

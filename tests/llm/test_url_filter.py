@@ -84,3 +84,14 @@ def test_rules_may_be_given(spark):
     rules = (Rule("block", "c", "/"), Rule("allow", "b.c", "/d"), Rule("block", "b.c", "/d/"))
     rows = {r.page_id: (r.rule, r.verdict) for r in uf.judge(pages, pages.select("url").limit(0), rules).collect()}
     assert rows == {1: ("b.c/d/", "block"), 2: ("b.c/d", "allow"), 3: ("c/", "block")}
+
+
+def test_empty_tables_and_very_long_urls(spark):
+    page = "page_id bigint, url string, html string"
+    empty = spark.createDataFrame([], page)
+    assert uf.judge(empty, uf.junk_urls(empty)).collect() == []
+    long = "http://host.org/" + "p" * 2_000_000
+    rows = spark.createDataFrame([(1, long, "!!"), (2, long + "q", "")], page)
+    assert uf.judge(rows, uf.junk_urls(empty)).filter("verdict = 'block'").collect() == []
+    judged = {r.page_id: (r.host, len(r.path), r.verdict) for r in uf.judge(rows, uf.junk_urls(rows)).collect()}
+    assert judged == {1: ("host.org", 2_000_001, "block"), 2: ("host.org", 2_000_002, "allow")}
