@@ -17,7 +17,7 @@ ends in them were written as %25 and %0A, so a role stays on its line.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.llm.common import exploded, fresh_dir
+from scrubline.llm.common import cut, exploded, fresh_dir, remove
 
 # The template's marks, and the control strings (first character, rest) that texts must not hold.
 START, END = "<|im_start|>", "<|im_end|>\n"
@@ -151,13 +151,16 @@ def probe(spark: SparkSession) -> DataFrame:
 
 
 def report(conversations: DataFrame) -> DataFrame:
-    """The digest of all conversations and the probe, from the formatted table written to the shared folder and read back."""
+    """The digest of all conversations and the probe, from the formatted table written to the shared folder and read back; the
+    table goes when the digest is made."""
     spark = conversations.sparkSession
     columns = ("conv_id", "turn", "role", "text")
     every = conversations.select(*columns).unionByName(probe(spark))
     path = fresh_dir(spark, "chat")
     format_log(as_log(every)).write.parquet(path)
-    return digest(spark.read.parquet(path))
+    made = cut(digest(spark.read.parquet(path)))
+    remove(spark, path)
+    return made
 
 
 _SQL_ESCAPED = rf"regexp_replace({{0}}, '{_FIRST}(\\*){_REST}', '\1\\\2\3', 'g')"
