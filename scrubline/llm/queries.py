@@ -86,4 +86,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_chat_formatting": chat.ORACLE,
     "op4_benchmark_decontamination": decontaminate.ORACLE,
     "op10_quality_rules": risk_rules.ORACLE,
+    "op12_spelling_variants": spelling.ORACLE,
 }

@@ -165,3 +165,49 @@ def group(docs: DataFrame, rule: Spelling = Spelling()) -> DataFrame:
     roots = _roots(judged.filter("form is not null").select("word", "form")).withColumnRenamed("word", "of")
     rooted = judged.join(roots, F.col("word") == F.col("of"), "left")
     return rooted.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+
+
+# The same rows for DuckDB, with links from words that agree but for one place.
+ORACLE = r"""
+WITH RECURSIVE crc AS (
+    -- The table of CRC-32, by its rule.
+    SELECT list(list_reduce(range(8), lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, i) ORDER BY i) AS t
+    FROM range(256) r(i)
+), runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+    WHERE length(run) >= 5 GROUP BY ALL
+), bytes AS (
+    SELECT run, n, hex(coalesce(doc_id::VARCHAR, '') || ':' || run) AS h FROM runs
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_transform(range(1, length(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT),
+        lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8), 4294967295)) AS h
+    FROM bytes, crc
+), slipped AS (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n AS m
+    FROM hashed
+), words AS (
+    SELECT word, sum(m)::BIGINT AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(m) >= 3
+), rests AS (
+    SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, n, unnest(range(length(word)))::INT AS i FROM words)
+), near AS (
+    -- One character replaced, or one more in either word.
+    SELECT a.word, b.word AS other, b.n FROM rests a JOIN rests b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM words a JOIN rests b ON a.word = b.rest
+    UNION SELECT a.word, b.word, b.n FROM rests a JOIN words b ON a.rest = b.word
+), stats AS (
+    SELECT word, count(*) AS n_near, min(struct_pack(less := -n, other := other)) AS first FROM near GROUP BY word
+), formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -first.less >= 2 * w.n THEN first.other END AS form,
+        CASE WHEN -first.less >= 2 * w.n THEN -first.less END AS form_n
+    FROM words w LEFT JOIN stats s ON s.word = w.word
+), steps AS (
+    SELECT word, word AS at FROM formed
+    UNION ALL SELECT s.word, f.form FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NOT NULL
+), roots AS (
+    SELECT s.word, s.at AS root FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NULL
+)
+SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN roots r ON r.word = f.word
+"""

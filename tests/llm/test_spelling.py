@@ -5,12 +5,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from scrubline.llm import spelling
-from scrubline.llm.queries import QUERIES
+from scrubline.llm.queries import ORACLE_SQL, QUERIES
 from scrubline.llm.spelling import Spelling
 
 COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
@@ -70,6 +71,18 @@ def test_query_equals_brute_force(spark):
     assert {tuple(r) for r in rows.collect()} == expected and any(r[1] for r in expected)
 
 
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_query_equals_sql(spark, scale):
+    sf = f"/root/testdata/{scale}"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    result = con.execute(ORACLE_SQL["op12_spelling_variants"])
+    df = QUERIES["op12_spelling_variants"](spark, sf)
+    assert [c[0] for c in result.description] == df.columns
+    assert {"string": "VARCHAR", "bigint": "BIGINT"}[dict(df.dtypes)["n_near"]] == "BIGINT"
+    assert Counter(map(tuple, df.collect())) == Counter(result.fetchall())
+
+
 @pytest.mark.parametrize("most_pairs", [1_000_000, 40, 0])
 def test_all_links_are_found(spark, documents, most_pairs):
     """Few letters, so most words have neighbours; with a small limit hot keys are joined by their rests."""
