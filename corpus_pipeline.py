@@ -6,7 +6,9 @@ read back. Every stage is written as Parquet into the shared folder and read aga
 table is removed when the next one is written. The token files stay.
 
 Empty and null texts pass the quality stage, are one group of near duplicates, hold no benchmark text and have size 0, so the
-mix takes them by whole rounds only. Columns that are not of ``documents`` pass through all stages but the last. An
+mix takes them by whole rounds only. Of near duplicates the row of the smallest doc_id stays, of several the one whose text has
+the smallest hash; of rows that tie in the mix the planned number is taken. A row that the mix takes several times is written as
+often, each time with its doc_id. Texts of any length go through whole. Columns that are not of ``documents`` pass through all stages but the last. An
 empty table gives an empty one.
 """
 
