@@ -114,3 +114,73 @@ def test_pieces_of_a_long_text(monkeypatch):
     monkeypatch.setattr(dc, "_PIECE", 64)
     assert (dc._Hasher().hashes(text.lower().encode()) == whole).all()
     assert len(whole) == len(plain_words(text))
+
+
+def longest(words, start, items, window):
+    """Words that the longest match from a place has."""
+    best = 0
+    for item in items:
+        for j in range(len(item)):
+            n = 0
+            while j + n < len(item) and start + n < len(words) and item[j + n] == words[start + n]:
+                n += 1
+            best = max(best, n if n >= min(window, len(item)) else 0)
+    return best
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_matches_are_the_longest(spark, documents, block_bytes):
+    """Each match is verbatim, the longest from its place, and the matches cover all hits; also if items are cut in pieces."""
+    rnd = random.Random(block_bytes)
+    text = lambda n, k: " ".join(rnd.choice("abcdefgh"[:k]) for _ in range(n))
+    items = [(i // 2, text(rnd.choice([1, 3, 8, 50]), 4)) for i in range(16)]
+    rows = [(i, text(rnd.randint(0, 20), 4) + " " + items[i % 16][1] + " " + text(5, 6)) for i in range(64)]
+    rule = Decontamination(window=4, block_bytes=block_bytes)
+    table = spark.createDataFrame(items, ITEMS)
+    hits = {r[0]: r[2] for r in brute(rows, items, 4)}
+    texts = {}
+    for item, whole in items:
+        texts.setdefault(item, []).append(plain_words(whole))
+    for row in dc.with_matches(documents(rows), table, rule).collect():
+        w, covered = plain_words(row.text), set()
+        for m in row.matches:
+            part = w[m.start : m.start + m.length]
+            assert any(whole[m.item_start : m.item_start + m.length] == part for whole in texts[m.item_id])
+            if block_bytes > 60:
+                assert m.length == longest(w, m.start, [x for own in texts.values() for x in own], 4)
+            covered |= set(range(m.start, m.start + m.length))
+        assert len(covered) == hits[row.doc_id]
+
+
+def test_block_bound(spark, documents):
+    """Very many equal items are one, a long one is cut: no block is over its limit, and every window is in one piece."""
+    rnd = random.Random(4)
+    long = " ".join(f"t{rnd.randint(0, 5000)}" for _ in range(20_000))
+    own = [f"item {i} " + " ".join(f"u{rnd.randint(0, 900)}" for _ in range(rnd.randint(3, 30))) for i in range(200)]
+    same = "the same item again and again in this table of the benchmark"
+    items = [(1, same)] * 10_000 + [(i + 10, x) for i, x in enumerate(own)] + [(9999, long)]
+    rule = Decontamination(block_bytes=40_000)
+    dealt = dc.blocks(spark.createDataFrame(items, ITEMS), rule).collect()
+    sizes = {}
+    for r in dealt:
+        sizes[r.cell, r.block] = sizes.get((r.cell, r.block), 0) + len(r.text) + 1
+    assert max(sizes.values()) <= rule.block_bytes and sum(r.item_id == 1 for r in dealt) == 1
+    windows = sorted(r.first + j for r in dealt if r.item_id == 9999 for j in range(len(r.text.split()) - rule.window + 1))
+    assert windows == list(range(20_000 - rule.window + 1))
+    middle = " ".join(long.split()[1000:15_000])
+    rows = [(1, same.upper()), (2, "x " + middle + " y"), (3, own[7] + " and " + own[8]), (4, "nothing of it")]
+    result = dc.with_matches(documents(rows), spark.createDataFrame(items, ITEMS), rule)
+    assert found(dc.report(documents(rows), spark.createDataFrame(items, ITEMS), rule)) == brute(rows, list(dict.fromkeys(items)))
+    # A match that goes through several pieces, in several blocks, is one.
+    assert [tuple(m) for m in result.filter("doc_id = 2").first().matches] == [(1, 14_000, 9999, 1000)]
+
+
+def test_no_pairs_of_places_and_items(spark, documents):
+    """A passage that a document repeats and very many items share: one match per place, and each item once."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    items = [(i, f"own{i} {passage} tail{i}") for i in range(500)]
+    rows = [(1, f"{passage} x " * 300), (2, f"own7 {passage} tail7")]
+    result = {r.doc_id: r for r in dc.with_matches(documents(rows), spark.createDataFrame(items, ITEMS)).collect()}
+    assert [(m.start, m.length) for m in result[1].matches] == [(13 * i, 12) for i in range(300)] and result[1].item_ids == list(range(500))
+    assert [tuple(m) for m in result[2].matches] == [(0, 14, 7, 0)]
+    assert found(dc.report(documents(rows), spark.createDataFrame(items, ITEMS))) == brute(rows, items)
