@@ -34,11 +34,14 @@ class Quality:
     """Order in characters, and the quantile of trusted perplexities that is still accepted.
 
     ``grid`` is the resolution of the quantile in nats per character; ``least`` the trusted documents a language needs;
-    ``head_rows`` the most rows of the model that are sent to the tasks, whatever the training text's size.
+    ``head_rows`` the most rows of the model that are sent to the tasks, whatever the training text's size: at the default as a
+    table of 2^19 slots of 24 bytes, 13 MB. ``sent_rows`` is the most rows of any joined table of values that is sent, of
+    about 100 bytes each.
     """
 
     order: int = 5
     head_rows: int = 262_144
+    sent_rows: int = 65_536
     quantile: float = 0.99
     grid: float = 0.001
     least: int = 50
@@ -199,7 +202,7 @@ def _table(order: int, keys: np.ndarray, logp: np.ndarray, backoff: np.ndarray,
     np.add.at(b, place, backoff)
     bits = max(4, int(2 * len(unique) - 1).bit_length())
     slots = np.zeros(1 << bits, dtype=np.uint64)  # key 0 stands for an empty slot
-    out_p, out_b = np.full(1 << bits, np.nan, dtype=np.float32), np.zeros(1 << bits, dtype=np.float32)
+    out_p, out_b = np.full(1 << bits, np.nan), np.zeros(1 << bits)
     left, at = np.arange(len(unique)), _slot(unique, bits)
     while len(left):
         free = slots[at] == 0
@@ -305,7 +308,7 @@ def _known(head: Model, text: str) -> tuple[float, Counter]:
             key = key * _PRIME + codes[k : k + size]
         at = _find(head, key ^ _salt(head.order))
         hit = at >= 0
-        total += float(head.logp[at[hit]].astype(np.float64).sum())
+        total += float(head.logp[at[hit]].sum())
         others.update(piece[i : i + head.order] for i in np.flatnonzero(~hit).tolist())
     return total, others
 
@@ -349,15 +352,15 @@ def _partial_rows(sent):
     return run
 
 
-def _looked_up(grams: DataFrame, found: Levels) -> DataFrame:
+def _looked_up(grams: DataFrame, found: Levels, rule: Quality) -> DataFrame:
     """``grams`` (gram, docs), distinct, with their log probability: backed off from order to order until one is known."""
     order, out = len(found.grams), grams
     value = F.lit(found.unseen)
     for k in range(1, order + 1):
-        level = bounded(found.grams[k - 1].select(F.col("gram").alias(f"g{k}"), F.log("p").alias(f"p{k}")), 65_536)
+        level = bounded(found.grams[k - 1].select(F.col("gram").alias(f"g{k}"), F.log("p").alias(f"p{k}")), rule.sent_rows)
         out = out.join(level, F.expr(f"substring(gram, {order - k + 1})") == F.col(f"g{k}"), "left")
         if k > 1:
-            weights = bounded(found.weights[k - 1].select(F.col("context").alias(f"c{k}"), F.log("g").alias(f"w{k}")), 65_536)
+            weights = bounded(found.weights[k - 1].select(F.col("context").alias(f"c{k}"), F.log("g").alias(f"w{k}")), rule.sent_rows)
             out = out.join(weights, F.expr(f"substring(gram, {order - k + 1}, {k - 1})") == F.col(f"c{k}"), "left")
             value = F.coalesce(F.col(f"w{k}"), F.lit(0.0)) + value
         value = F.coalesce(F.col(f"p{k}"), value)
@@ -372,18 +375,24 @@ def _surprise_by_joins(narrow: DataFrame, found: Levels, rule: Quality) -> DataF
     parts = spark.read.schema(_SCORED).parquet(place)
     docs = parts.filter("gram is null").select("doc_id", "content", "lang", "chars", "known")
     tail = parts.filter("gram is not null").select("content", "gram", "n")
-    values = cut(_looked_up(cut(tail.groupBy("gram").agg(F.count("*").alias("docs"))), found))
-    # N-grams of very many documents, at most a million, are sent; so no key of the shuffled join is hot.
-    often = max(1000, (values.agg(F.sum("docs")).first()[0] or 0) // 1_000_000)
-    joined = [tail.join(bounded(values.filter(of).select("gram", "logp"), 1_000_000), "gram") for of in (F.col("docs") > often, F.col("docs") <= often)]
+    values = cut(_looked_up(cut(tail.groupBy("gram").agg(F.count("*").alias("docs"))), found, rule))
+    # N-grams of very many documents, at most ``sent_rows``, are sent; so no key of the shuffled join is hot.
+    often = max(1000, (values.agg(F.sum("docs")).first()[0] or 0) // rule.sent_rows)
+    joined = [tail.join(bounded(values.filter(of).select("gram", "logp"), rule.sent_rows), "gram") for of in (F.col("docs") > often, F.col("docs") <= often)]
     # Decimal sums: the same in any order of rows. Copies of a text have the same n-grams, so their sum is that of each times their number.
     term = (F.col("n") * F.col("logp")).cast("decimal(28,9)")
     sums = joined[0].unionByName(joined[1]).groupBy("content").agg(F.sum(term).alias("rest"))
-    copies = docs.groupBy("content").agg(F.count("*").alias("copies"))
-    rests = sums.join(copies, "content").select("content", (F.col("rest").cast("double") / F.col("copies")).alias("rest"))
-    total = F.col("known") + F.coalesce("rest", F.lit(0.0))
+    copies = cut(docs.groupBy("content").agg(F.count("*").alias("copies")))
+    rests = cut(sums.join(copies, "content").select("content", (F.col("rest").cast("double") / F.col("copies")).alias("rest")))
+    # Texts of very many copies, at most ``sent_rows``, are sent; documents of the others meet their sums by a shuffle.
+    many = max(1000, (copies.agg(F.sum("copies")).first()[0] or 0) // rule.sent_rows)
+    hot = copies.filter(F.col("copies") > many).join(rests, "content", "left").select(F.col("content").alias("hot"), F.coalesce("rest", F.lit(0.0)).alias("sent"))
+    beside = docs.join(bounded(hot, rule.sent_rows), F.col("content") == F.col("hot"), "left")
+    beside = beside.withColumn("of", F.when(F.col("hot").isNull(), F.col("content")).otherwise(F.xxhash64("content", "doc_id")))
+    added = beside.join(rests.withColumnRenamed("content", "of"), "of", "left")
+    total = F.col("known") + F.coalesce("sent", "rest", F.lit(0.0))
     surprise = F.when(F.col("chars") > 0, -total / F.col("chars"))
-    out = cut(docs.join(bounded(rests, 1_000_000), "content", "left").select("doc_id", "content", "lang", surprise.alias("surprise")))
+    out = cut(added.select("doc_id", "content", "lang", surprise.alias("surprise")))
     remove(spark, place)
     return out
 
@@ -447,4 +456,4 @@ def accepted(docs: DataFrame, labels: DataFrame, rule: Quality = Quality()) -> D
     out = rejected.select(F.col("doc_id").alias("__id"), F.col("content").alias("__of"), F.col("lang").alias("__in")).distinct()
     same_text = (F.xxhash64("text") == F.col("__of")) & F.col("lang").eqNullSafe(F.col("__in"))
     on = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & same_text
-    return docs.join(bounded(out, 1_000_000), on, "left_anti")
+    return docs.join(bounded(out, 4 * rule.sent_rows), on, "left_anti")

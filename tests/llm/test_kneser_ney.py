@@ -111,6 +111,18 @@ def test_query_is_the_same_with_a_small_head(spark):
     by_place = lambda df: sorted(map(tuple, df.collect()), key=str)
     for one, other in zip(by_place(kn.classify(docs, labels)), by_place(kn.classify(docs, labels, Quality(head_rows=5_000)))):
         assert one[:3] == other[:3] and (one[3] == other[3] or one[3] == pytest.approx(other[3], rel=1e-5))
+        assert one[4] == other[4] and one[5] == other[5]
+
+
+def test_sums_of_many_copies(spark, documents):
+    """A text of very many copies gets its sum by the sent table, the others by the shuffle, empty and null ones none."""
+    texts = ["zzz qqq the dog"] * 1200 + [""] * 1100 + [None, "the dog sat !!", "é\U0001f600 là", "x y z"] * 2
+    found = kn.levels(documents(TRAIN), Quality())
+    plain = Plain(TRAIN, 5)
+    rows = kn.with_surprise(documents(texts), found, Quality(head_rows=20, sent_rows=1)).orderBy("doc_id").collect()
+    assert [r.doc_id for r in rows] == list(range(len(texts)))
+    for text, row in zip(texts, rows):
+        assert row.surprise is None if not text else row.surprise == pytest.approx(plain.surprise(text), abs=1e-8)
 
 
 def test_all_trusted_text_is_trained_on(spark, documents):
