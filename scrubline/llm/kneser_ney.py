@@ -428,9 +428,10 @@ def thresholds(scored: DataFrame, trusted: DataFrame, rule: Quality) -> DataFram
 
 
 def classify(docs: DataFrame, labels: DataFrame, rule: Quality = Quality()) -> DataFrame:
-    """(doc_id, content, lang, perplexity, threshold, kept): one row per row of ``docs``.
+    """(doc_id, content, lang, perplexity, threshold, kept, pooled): one row per row of ``docs``.
 
-    A document is rejected if its perplexity per character is over its language's threshold. Null or empty texts have no
+    A document is rejected if its perplexity per character is over its language's threshold; ``pooled`` says that its language
+    has fewer than ``least`` held-out trusted documents and takes the threshold of all languages (null where there is none). Null or empty texts have no
     perplexity and are kept, as is everything if no document is trusted. A null language is a language of its own.
     Label rows without a doc_id or quality trust nothing. Extra columns are ignored. Repeated rows and copies train and are
     judged as often as they occur; a perplexity at the threshold is kept. An empty table gives no rows; a text of any length
@@ -446,7 +447,7 @@ def classify(docs: DataFrame, labels: DataFrame, rule: Quality = Quality()) -> D
     judged = scored.join(own, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
     kept = F.coalesce(F.col("surprise") <= limit, F.lit(True))
     return judged.select(
-        "doc_id", "content", "lang", F.exp("surprise").alias("perplexity"), F.exp(limit).alias("threshold"), kept.alias("kept")
+        "doc_id", "content", "lang", F.exp("surprise").alias("perplexity"), F.exp(limit).alias("threshold"), kept.alias("kept"), F.when(limit.isNotNull(), F.col("limit").isNull()).alias("pooled")
     )
 
 

@@ -38,7 +38,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return judged.select("doc_id", "lang", "perplexity", "threshold", "kept")
+    return judged.select("doc_id", "lang", "perplexity", "threshold", "kept", "pooled")
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

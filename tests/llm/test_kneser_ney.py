@@ -149,6 +149,23 @@ def test_thresholds_are_exact_quantiles(spark):
         assert expected - 1e-9 <= row.limit <= expected + rule.grid + 1e-9
 
 
+def test_rare_languages_take_the_pooled_threshold(spark, documents):
+    """Also: the query's decisions follow from its perplexities and the plain quantiles."""
+    rule = Quality(least=20, quantile=0.9)
+    docs = documents([(i, "the cat sat on the mat " + "abcdefgh"[i % 8] * (i % 11), "en" if i % 10 else "xx") for i in range(120)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(110)], LABELS)
+    rows = kn.classify(docs, labels, rule).collect()
+    half = {r.doc_id: r.h for r in docs.select("doc_id", F.pmod(kn._order_hash(rule), F.lit(2)).alias("h")).collect()}
+    held = [r for r in rows if half[r.doc_id] == 1 and r.doc_id < 110]
+    assert sum(r.lang == "en" for r in held) >= 20 > sum(r.lang == "xx" for r in held)
+    for r in rows:
+        values = sorted(math.log(x.perplexity) for x in held if r.lang == "xx" or x.lang == "en")
+        limit = values[math.ceil(0.9 * len(values) - 1e-9) - 1]
+        assert r.pooled == (r.lang == "xx") and limit - 1e-9 <= math.log(r.threshold) <= limit + rule.grid + 1e-9
+        assert r.kept == (r.perplexity <= r.threshold * (1 + 1e-12))
+    assert {r.kept for r in rows} == {True, False}
+
+
 def test_held_out_accuracy(spark):
     """Labelled documents of the half that no training sample comes from: good ones stay, most bad ones go."""
     sf = "/root/testdata/sf0.1"
