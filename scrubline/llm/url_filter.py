@@ -1,10 +1,10 @@
 """URL filter: short rules first, then a long list of canonical URLs behind a blocked Bloom filter.
 
 The list's canonical URLs set bits in blocks of 256 bits, eight words with one bit each; the blocks are built by a
-grouped bit_or and are at most ``max_blocks`` rows, so sending them to all tasks is bounded however long the list is. A page
-whose block lacks a bit is surely not listed. Only possible hits take part in the exact join with the list, which removes
-false positives; a longer list than the filter is sized for costs a larger join, never a wrong verdict. Both sides of
-that join are plain exchanges, so adaptive execution splits a URL that very many pages share.
+grouped bit_or, and their number grows with the list. Up to ``sent_blocks`` rows they are sent to all tasks. A larger filter
+stays sharded by block, and pages that no rule decides meet their block by a shuffle. A page whose block lacks a bit is surely
+not listed. Only possible hits take part in the exact join with the list, which removes false positives. Both sides of
+the joins are plain exchanges, so adaptive execution splits a URL that very many pages share.
 """
 
 from collections.abc import Sequence
@@ -19,6 +19,7 @@ from scrubline.llm.common import cut
 _SALTS = (0x47B6137B, 0x44974D91, 0x8824AD5B, 0xA2B7289D, 0x705495C7, 0x2DF1424B, 0x9EFC4947, 0x5C6BFB31)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
+_SPREAD = 4096
 _TRACKING = r"&(utm_[^=&]*|ref)=[^&]*"
 
 
@@ -46,8 +47,10 @@ RULES = (
 
 @dataclass(frozen=True)
 class Bloom:
+    """Bits per listed URL, and the most blocks (32 bytes each, about 100 as a row) that are sent to all tasks."""
+
     bits_per_url: int = 16
-    max_blocks: int = 1 << 17
+    sent_blocks: int = 1 << 17
 
 
 def host(url: Column) -> Column:
@@ -94,7 +97,7 @@ def _masks(url: Column) -> list[Column]:
 def bloom(listed: DataFrame, size: Bloom) -> tuple[DataFrame, int]:
     """(block, w0..w7) of the non-empty blocks, and the number of blocks, from distinct ``url``."""
     wanted = max(1, listed.count() * size.bits_per_url // 256)
-    blocks = min(size.max_blocks, 1 << (wanted - 1).bit_length())
+    blocks = min(1 << 31, 1 << (wanted - 1).bit_length())
     words = {f"w{i}": m for i, m in enumerate(_masks(F.col("url")))}
     marked = listed.select(_block(F.col("url"), blocks).alias("block"), *[m.alias(n) for n, m in words.items()])
     return cut(marked.groupBy("block").agg(*[F.bit_or(n).alias(n) for n in words])), blocks
@@ -106,16 +109,23 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = RULES, si
     The longest fitting rule decides; without one a page is blocked if its canonical URL is in ``listed`` (one column,
     ``url``, canonical; nulls and repeats are allowed), else allowed. A null url, or one without ``://``, has empty host and
     path, no rule, and is allowed. Rows repeat as they come; a url of any length is judged whole. An empty list blocks
-    nothing, an empty table gives no rows. From some two million listed URLs on the filter stays at its largest size and passes
-    more and more to the exact join, which then decides alone.
+    nothing, an empty table gives no rows. The filter has the same bits per URL for a list of any
+    length, up to some 10^10 URLs.
     """
     known = cut(listed.select("url").filter("url is not null").distinct())
     filter_, blocks = bloom(known, size)
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     parsed = pages.select(*kept, host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), canonical(F.col("url")).alias("__url"))
     ruled = with_rule(parsed, rules)
-    sent = F.broadcast(filter_.withColumnsRenamed({c: f"__{c}" for c in filter_.columns}))
-    probed = ruled.join(sent, (_block(F.col("__url"), blocks) == F.col("__block")) & F.col("__rule").isNull(), "left")
+    filter_ = filter_.withColumnsRenamed({c: f"__{c}" for c in filter_.columns})
+    if blocks <= size.sent_blocks:
+        probed = ruled.join(F.broadcast(filter_), (_block(F.col("__url"), blocks) == F.col("__block")) & F.col("__rule").isNull(), "left")
+    else:
+        # Rows that ask nothing are dealt over numbers that no block has.
+        nothing = -1 - F.pmod(F.monotonically_increasing_id(), F.lit(_SPREAD))
+        asked = F.col("__rule").isNull() & F.col("__url").isNotNull()
+        at = ruled.withColumn("__at", F.when(asked, _block(F.col("__url"), blocks)).otherwise(nothing))
+        probed = at.join(filter_, F.col("__at") == F.col("__block"), "left")
     every = F.lit(True)
     for i, mask in enumerate(_masks(F.col("__url"))):
         every = every & (F.col(f"__w{i}").bitwiseAND(mask) == mask)

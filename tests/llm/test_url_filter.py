@@ -57,11 +57,11 @@ def test_edges(spark):
 
 
 def test_false_positives_are_removed(spark):
-    """A filter of one block lets nearly everything through; the verdicts stay exact. One URL holds most rows."""
+    """A filter of one bit per URL lets nearly everything through; the verdicts stay exact. One URL holds most rows."""
     pages = spark.range(3000).select(F.col("id").alias("page_id"), F.when(F.col("id") < 1500, "http://hot.org/a").otherwise(F.concat(F.lit("http://x.org/"), "id")).alias("url"))
     listed = pages.filter("page_id % 3 = 0").select(uf.canonical(F.col("url")).alias("url"))
     known = {r.url for r in listed.collect()}
-    for size in (Bloom(), Bloom(bits_per_url=1, max_blocks=1)):
+    for size in (Bloom(), Bloom(bits_per_url=1, sent_blocks=1)):
         rows = uf.judge(pages, listed, (), size).collect()
         assert len(rows) == 3000
         assert all((r.verdict == "block") == (r.url[7:] in known) for r in rows)
@@ -95,3 +95,18 @@ def test_empty_tables_and_very_long_urls(spark):
     assert uf.judge(rows, uf.junk_urls(empty)).filter("verdict = 'block'").collect() == []
     judged = {r.page_id: (r.host, len(r.path), r.verdict) for r in uf.judge(rows, uf.junk_urls(rows)).collect()}
     assert judged == {1: ("host.org", 2_000_001, "block"), 2: ("host.org", 2_000_002, "allow")}
+
+
+def test_large_filters_stay_sharded(spark):
+    """Blocks grow with the list; over the limit pages meet them by a shuffle, with the same verdicts."""
+    urls = [(i, f"http://site{i % 50}.org/{i}") for i in range(6000)] + [(i, "http://hot.org/a") for i in range(2000)] + URLS
+    pages = spark.createDataFrame(urls, "page_id bigint, url string").withColumn("block", F.lit("mine"))
+    listed = pages.filter("crc32(url) % 5 = 0 or url like '%hot%' or url like '%example%'").select(uf.canonical(F.col("url")).alias("url"))
+    _, blocks = uf.bloom(listed.filter("url is not null").distinct(), Bloom())
+    assert blocks > 16
+    names = ["page_id", "url", "block", "host", "path", "rule", "verdict"]
+    rows = [Counter(tuple(r) for r in uf.judge(pages, listed, size=size).select(names).collect()) for size in (Bloom(), Bloom(sent_blocks=16))]
+    assert rows[0] == rows[1] and sum(rows[0].values()) == len(urls)
+    assert sum(n for r, n in rows[0].items() if r[1] == "http://hot.org/a" and r[6] == "block") == 2000
+    plan = lambda size: uf.judge(pages, listed, size=size)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan(Bloom(sent_blocks=16)) and "strategy=broadcast" in plan(Bloom())
