@@ -35,12 +35,13 @@ class Quality:
 
     ``grid`` is the resolution of the quantile in nats per character; ``least`` the trusted documents a language needs;
     ``head_rows`` the most rows of the model that are sent to the tasks, whatever the training text's size: at the default as a
-    table of 2^19 slots of 24 bytes, 13 MB. ``sent_rows`` is the most rows of any joined table of values that is sent, of
-    about 100 bytes each.
+    table of 2^19 slots of 24 bytes, 13 MB. ``sent_grams`` is the most other n-grams whose values are
+    sent to be joined, of about 100 bytes each, ``sent_rows`` the most rows of any other joined table that is sent.
     """
 
     order: int = 5
     head_rows: int = 262_144
+    sent_grams: int = 1_000_000
     sent_rows: int = 65_536
     quantile: float = 0.99
     grid: float = 0.001
@@ -376,9 +377,9 @@ def _surprise_by_joins(narrow: DataFrame, found: Levels, rule: Quality) -> DataF
     docs = parts.filter("gram is null").select("doc_id", "content", "lang", "chars", "known")
     tail = parts.filter("gram is not null").select("content", "gram", "n")
     values = cut(_looked_up(cut(tail.groupBy("gram").agg(F.count("*").alias("docs"))), found, rule))
-    # N-grams of very many documents, at most ``sent_rows``, are sent; so no key of the shuffled join is hot.
-    often = max(1000, (values.agg(F.sum("docs")).first()[0] or 0) // rule.sent_rows)
-    joined = [tail.join(bounded(values.filter(of).select("gram", "logp"), rule.sent_rows), "gram") for of in (F.col("docs") > often, F.col("docs") <= often)]
+    # N-grams of very many documents, at most ``sent_grams``, are sent; so no key of the shuffled join is hot.
+    often = max(1000, (values.agg(F.sum("docs")).first()[0] or 0) // rule.sent_grams)
+    joined = [tail.join(bounded(values.filter(of).select("gram", "logp"), rule.sent_grams), "gram") for of in (F.col("docs") > often, F.col("docs") <= often)]
     # Decimal sums: the same in any order of rows. Copies of a text have the same n-grams, so their sum is that of each times their number.
     term = (F.col("n") * F.col("logp")).cast("decimal(28,9)")
     sums = joined[0].unionByName(joined[1]).groupBy("content").agg(F.sum(term).alias("rest"))

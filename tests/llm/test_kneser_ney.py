@@ -119,7 +119,7 @@ def test_sums_of_many_copies(spark, documents):
     texts = ["zzz qqq the dog"] * 1200 + [""] * 1100 + [None, "the dog sat !!", "é\U0001f600 là", "x y z"] * 2
     found = kn.levels(documents(TRAIN), Quality())
     plain = Plain(TRAIN, 5)
-    rows = kn.with_surprise(documents(texts), found, Quality(head_rows=20, sent_rows=1)).orderBy("doc_id").collect()
+    rows = kn.with_surprise(documents(texts), found, Quality(head_rows=20, sent_rows=1, sent_grams=1)).orderBy("doc_id").collect()
     assert [r.doc_id for r in rows] == list(range(len(texts)))
     for text, row in zip(texts, rows):
         assert row.surprise is None if not text else row.surprise == pytest.approx(plain.surprise(text), abs=1e-8)
