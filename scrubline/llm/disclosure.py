@@ -4,15 +4,19 @@ Base spans are e-mail addresses, IP addresses, card and phone numbers. Each dist
 tells how strongly a word discloses it (Sanchez and Batet, "C-sanitized: a privacy model for document redaction and
 sanitization", 2016). With p over documents, the information content of an entity is IC = -log2 p(entity), and what a word
 tells of it is their pointwise mutual information, PMI = log2 p(entity, word) / (p(entity) p(word)), where both occur together
-if the word stands within ``reach`` characters of the entity. A word whose PMI is at least ``disclosed`` of the entity's IC, seen
-so in ``least_texts`` different texts, is not left beside that entity: it is generalised to the family of words that
-begin alike if the family itself stays under the threshold, else removed. A document without base spans has nothing to
-protect and loses nothing.
-
-Built-in functions only. Texts are read twice: once for spans and the words near them, kept as one narrow row per document, and
-once to count the documents of each word, map-side first. Positions come from the lengths of the pieces between
-matches; they are summed in blocks, so that long texts with very many matches take no quadratic time. Words near an
-entity are at most two windows of them, so no group of documents, however large, makes pairs with another.
+if one document holds them, at whatever places; with a ``reach``, only if the word stands within so many characters of the
+entity. A word whose PMI is at least ``disclosed`` of the entity's IC, seen so in ``least_texts`` different texts, is not left
+beside that entity: it is generalised to the family of words that begin alike if the family itself stays under the threshold,
+else removed. A document without base spans has nothing to protect and loses nothing.
+
+Built-in functions only. Texts are read twice: once for spans, kept with the texts that have any (with a reach, with the words near
+them instead), and once to count the documents of each word, map-side first. Positions come from the lengths of the pieces
+between matches; they are summed in blocks, so that long texts with very many matches take no quadratic time.
+
+Whole texts make a pair of each word and each entity in them, counted map-side, from which is left out beforehand only what
+cannot reach the threshold: entities in fewer than ``least_texts`` different texts, and words in so many documents that even one
+which is wherever the entity is would tell too little. Entities of the same texts tell the same and are paired as one, and
+copies of a text are paired once, so no group of documents, however large, makes pairs with another.
 """
 
 from collections.abc import Callable
@@ -36,15 +40,17 @@ _BYTE = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _VALID_IP = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 _WORD = r"\p{L}+"
 _BLOCK = 64
+# The commonest words are sent to all tasks, which leave out pairs of them early; those of others are left out after counting.
+_COMMON = 65_536
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Characters on either side of an entity in which words are near it, the share of an entity's information that a word may
-    not tell, the fewest different texts that show it, the shortest word, the letters by which a family of words is
-    known, and the most pairs that are sent to all tasks."""
+    """Characters on either side of an entity in which words are near it (None: the whole text), the share of an entity's
+    information that a word may not tell, the fewest different texts that show it, the shortest word, the letters by which a
+    family of words is known, and the most narrow rows of a table that are sent to all tasks."""
 
-    reach: int = 64
+    reach: int | None = 64
     disclosed: float = 0.75
     least_texts: int = 3
     least_chars: int = 4
@@ -118,11 +124,17 @@ def _dialled(value: Column) -> Column:
     return F.length(_digits(value)).between(9, 15)
 
 
+def _hashed(kind: str, value: Column) -> Column:
+    """An entity: a hash of kind and value as written plainly."""
+    plainly = {"email": F.lower, "ip": lambda v: v, "card": _digits, "phone": _digits}[kind]
+    return F.xxhash64(F.lit(KINDS.index(kind)), plainly(value))
+
+
 def _base(text: Column) -> Column:
-    """(start, kind, end) of all base spans in order; a kind is its place in ``KINDS``."""
+    """(start, kind, end, entity) of all base spans in order; a kind is its place in ``KINDS``."""
     def of(kind: str, spans: Column, valid: Callable[[Column], Column] | None = None) -> Column:
         good = spans if valid is None else F.filter(spans, lambda x: valid(x["value"]))
-        return F.transform(good, lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), x["end"].alias("end")))
+        return F.transform(good, lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), x["end"].alias("end"), _hashed(kind, x["value"]).alias("entity")))
 
     none = F.array().cast(_SPANS)
     holds = lambda sign, pattern: F.when(F.contains(text, F.lit(sign)), _matches(text, pattern)).otherwise(none)
@@ -137,17 +149,32 @@ def _base(text: Column) -> Column:
 
 
 def _entity(value: Column) -> Column:
-    """A hash of kind and value as written plainly; null for what is no base span."""
+    """The entity of a match of any kind; null for what is no base span."""
     mail, phone = F.contains(value, F.lit("@")), F.startswith(value, F.lit("+"))
     ip = F.contains(value, F.lit("."))
     return (
-        F.when(mail, F.xxhash64(F.lit(0), F.lower(value)))
-        .when(phone, F.when(_dialled(value), F.xxhash64(F.lit(3), _digits(value))))
-        .when(ip, F.when(F.rlike(value, F.lit(_VALID_IP)), F.xxhash64(F.lit(1), value)))
-        .otherwise(F.when(_luhn(value), F.xxhash64(F.lit(2), _digits(value))))
+        F.when(mail, _hashed("email", value))
+        .when(phone, F.when(_dialled(value), _hashed("phone", value)))
+        .when(ip, F.when(F.rlike(value, F.lit(_VALID_IP)), _hashed("ip", value)))
+        .otherwise(F.when(_luhn(value), _hashed("card", value)))
     )
 
 
+def _words(part: Column, start: Column, rule: Disclosure) -> Column:
+    """(start, end, term) of the words in a part of a text that begins at ``start``."""
+    long = F.filter(_matches(part, _WORD, start), lambda x: F.length(x["value"]) >= rule.least_chars)
+    return F.transform(long, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lower(x["value"]).alias("term")))
+
+
+def _outside(text: Column, rule: Disclosure) -> Column:
+    """(start, end, term) of all words of a text but those in e-mail addresses, the only base spans that hold letters."""
+    def between(mails: Column, pieces: Column) -> Column:
+        start = lambda i: F.when(i == 0, F.lit(0).cast("bigint")).otherwise(F.get(mails, i - 1)["end"])
+        return F.flatten(F.transform(pieces, lambda piece, i: _words(piece, start(i), rule)))
+
+    return _let(_matches(text, EMAIL), lambda mails: _let(F.split(text, EMAIL, -1), lambda pieces: between(mails, pieces)))
+
+
 _NEAR = "array<struct<entity:bigint,start:bigint,end:bigint,term:string>>"
 
 
@@ -159,8 +186,7 @@ def _near(text: Column, rule: Disclosure) -> Column:
     pattern = "|".join((EMAIL, PHONE, CARD, IP))
 
     def words(entity: Column, part: Column, start: Column) -> Column:
-        long = F.filter(_matches(part, _WORD, start), lambda x: F.length(x["value"]) >= rule.least_chars)
-        return F.transform(long, lambda x: F.struct(entity.alias("entity"), x["start"].alias("start"), x["end"].alias("end"), F.lower(x["value"]).alias("term")))
+        return F.transform(_words(part, start, rule), lambda x: F.struct(entity.alias("entity"), x["start"].alias("start"), x["end"].alias("end"), x["term"].alias("term")))
 
     def before(entity: Column, piece: Column, end: Column) -> Column:
         part = F.when(F.length(piece) > rule.reach, F.regexp_replace(F.right(piece, F.lit(rule.reach)), r"^\p{L}+", "")).otherwise(piece)
@@ -187,16 +213,40 @@ def _family(term: Column, rule: Disclosure) -> Column:
 
 
 def _found(docs: DataFrame, rule: Disclosure, *kept: Column) -> DataFrame:
-    """(row, content, base, near, kept...): one stored row per row of ``docs``, with a number of its own."""
+    """(row, content, base, kept..., and near, or without a reach entities, text): one stored row per row of ``docs``, with a
+    number of its own; the text is null where nothing was found."""
     text = F.coalesce(F.col("text"), F.lit(""))
     based = docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("content"), _base(text).alias("base"), text.alias("text"), *kept)
+    bare = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+    if rule.reach is None:
+        entities = F.array_distinct(F.transform("base", lambda x: x["entity"]))
+        return cut(based.withColumns({"base": bare, "entities": entities, "text": F.when(F.size("base") > 0, F.col("text"))}))
     near = F.when(F.size("base") > 0, _near(F.col("text"), rule)).otherwise(F.array().cast(_NEAR))
-    return cut(based.withColumn("near", near).drop("text"))
+    return cut(based.withColumns({"base": bare, "near": near}).drop("text"))
 
 
-def disclosing(docs: DataFrame, found: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
-    """(entity, term, kind, told): the words that tell too much of an entity, and what becomes of them beside it."""
-    total = found.count()
+def _each_term(texts: DataFrame, rule: Disclosure) -> DataFrame:
+    """One row for each different word and each different family in a text, with the other columns."""
+    long = F.filter(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), lambda w: F.length(w) >= rule.least_chars)
+    others = [c for c in texts.columns if c != "text"]
+    held = texts.select(*others, F.array_distinct(F.transform(F.array_distinct(long), F.lower)).alias("w"))
+    return held.select(*others, F.explode(F.concat("w", F.array_distinct(F.transform("w", lambda w: _family(w, rule))))).alias("term")).filter("term is not null")
+
+
+def _sharing(found: DataFrame, rule: Disclosure, total: int) -> DataFrame:
+    """(row, content, entities of (entity, n_entity)) of the rows with entities that words may disclose; entities of the
+    same texts are one."""
+    held = found.filter(F.size("base") > 0).select("row", "content", F.explode("entities").alias("own"))
+    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), F.col("content")))
+    texts = held.groupBy("own", "content").agg(F.count("*").alias("n")).groupBy("own")
+    counted = texts.agg(F.sum("n").alias("n_entity"), F.count("*").alias("texts"), mark(1).alias("one"), mark(2).alias("two"))
+    shown = counted.filter((F.col("texts") >= rule.least_texts) & (F.col("n_entity") < total))
+    shown = bounded(shown.select("own", F.xxhash64("texts", "one", "two").alias("entity"), "n_entity"), rule.sent)
+    return cut(held.join(shown, "own").groupBy("row", "content").agg(F.collect_set(F.struct("entity", "n_entity")).alias("entities")))
+
+
+def _pairs_near(found: DataFrame, rule: Disclosure) -> DataFrame:
+    """(entity, n_entity, term, n_pair): words and families within reach of entities in enough texts."""
     has = lambda x: x["term"].isNotNull()
     per_row = F.array_distinct(F.transform("near", lambda x: x["entity"]))
     entities = found.filter(F.size("near") > 0).select(F.explode(per_row).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
@@ -207,10 +257,46 @@ def disclosing(docs: DataFrame, found: DataFrame, rule: Disclosure = Disclosure(
     # A text counts once towards the evidence, its copies as documents.
     texts = together.filter("term is not null").groupBy("entity", "term", "content").agg(F.count("*").alias("n"))
     pairs = cut(texts.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count("*").alias("texts")).filter(F.col("texts") >= rule.least_texts))
-    all_words = F.filter(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)), lambda w: F.length(w) >= rule.least_chars)
-    held = docs.select(F.array_distinct(all_words).alias("w")).select(F.explode(F.concat("w", F.array_distinct(F.transform("w", lambda w: _family(w, rule))))).alias("term"))
-    counted = held.filter("term is not null").groupBy("term").agg(F.count("*").alias("n_term"))
-    rated = pairs.join(counted, "term").join(entities, "entity")
+    return pairs.join(entities, "entity").select("entity", "n_entity", "term", "n_pair")
+
+
+def _commonest(counted: DataFrame) -> DataFrame:
+    """The words in most documents, whole powers of two of them, at most ``_COMMON``."""
+    level = F.floor(F.log2("n_term"))
+    sizes, taken, lowest = counted.groupBy(level.alias("level")).count().collect(), 0, 64
+    for row in sorted(sizes, reverse=True):
+        if (taken := taken + row["count"]) > _COMMON:
+            break
+        lowest = row["level"]
+    return F.broadcast(counted.filter(level >= lowest))
+
+
+def _pairs_whole(found: DataFrame, sharing: DataFrame, counted: DataFrame, rule: Disclosure, total: int) -> DataFrame:
+    """(entity, n_entity, term, n_pair): words and families anywhere in enough texts of entities; not those that stand in too
+    many documents to disclose any."""
+    # A word wherever the entity is tells 1 - log2(n_term / n_entity) / log2(total / n_entity); a little more is let through.
+    most = lambda n: n * F.pow(F.lit(float(total)) / n, F.lit(1 - rule.disclosed)) * 1.001
+    common = _commonest(counted.filter(F.col("n_term") > most(F.lit(float(rule.least_texts)))))
+    # A text counts once towards the evidence, its copies as documents.
+    once = sharing.groupBy("content").agg(F.min("row").alias("row"), F.count("*").alias("n"))
+    texts = found.filter(F.size("base") > 0).select("row", "text").join(sharing.join(once, ["content", "row"]).select("row", "n", "entities"), "row").drop("row")
+    terms = _each_term(texts, rule).join(common, "term", "left")
+    telling = F.filter("entities", lambda e: F.col("n_term").isNull() | (F.col("n_term") <= most(e["n_entity"])))
+    together = terms.select("n", "term", F.explode(telling).alias("e")).groupBy("e.entity", "e.n_entity", "term")
+    pairs = together.agg(F.sum("n").alias("n_pair"), F.count("*").alias("texts")).filter(F.col("texts") >= rule.least_texts)
+    return cut(pairs.select("entity", "n_entity", "term", "n_pair"))
+
+
+def disclosing(docs: DataFrame, found: DataFrame, rule: Disclosure = Disclosure(), sharing: DataFrame | None = None) -> DataFrame:
+    """(entity, term, kind, told): the words that tell too much of an entity, and what becomes of them beside it."""
+    total = found.count()
+    counted = _each_term(docs.select("text"), rule).groupBy("term").agg(F.count("*").alias("n_term"))
+    if rule.reach is None:
+        counted = cut(counted)
+        pairs = _pairs_whole(found, _sharing(found, rule, total) if sharing is None else sharing, counted, rule, total)
+    else:
+        pairs = _pairs_near(found, rule)
+    rated = pairs.join(counted, "term")
     # Word ends beside an entity can differ from those in the whole text, so a count of the former may be the larger one.
     told = F.log2(F.col("n_pair") * F.lit(float(total)) / (F.col("n_entity") * F.greatest("n_term", "n_pair"))) / F.log2(F.lit(float(total)) / F.col("n_entity"))
     rated = cut(rated.filter(F.col("n_entity") < total).select("entity", "term", told.alias("told")).filter(F.col("told") >= rule.disclosed))
@@ -222,15 +308,31 @@ def disclosing(docs: DataFrame, found: DataFrame, rule: Disclosure = Disclosure(
     return cut(joined.select("entity", "term", kind.alias("kind"), "told"))
 
 
+def _words_near(docs: DataFrame, found: DataFrame, rule: Disclosure) -> DataFrame:
+    """(row, start, end, kind): the disclosing words within reach of an entity."""
+    told = bounded(disclosing(docs, found, rule).select("entity", "term", "kind"), rule.sent)
+    beside = found.filter(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*").filter("term is not null")
+    return beside.join(told, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("kind").alias("kind"))
+
+
+def _words_whole(docs: DataFrame, found: DataFrame, rule: Disclosure) -> DataFrame:
+    """(row, start, end, kind): the disclosing words at all their places in the texts of an entity."""
+    sharing = _sharing(found, rule, found.count())
+    told = bounded(disclosing(docs, found, rule, sharing).select("entity", "term", "kind"), rule.sent)
+    in_row = cut(sharing.select("row", F.explode("entities.entity").alias("entity")).join(told, "entity").groupBy("row", "term").agg(F.max("kind").alias("kind")))
+    rows, terms = bounded(in_row.select("row").distinct(), rule.sent), bounded(told.select("term").distinct(), rule.sent)
+    texts = found.filter(F.size("base") > 0).select("row", "text").join(rows, "row", "left_semi")
+    places = texts.select("row", F.explode(_outside(F.col("text"), rule)).alias("x")).select("row", "x.*")
+    return places.join(terms, "term", "left_semi").join(in_row, ["row", "term"]).select("row", "start", "end", "kind")
+
+
 def _with_spans(docs: DataFrame, rule: Disclosure, *kept: Column) -> DataFrame:
     """(kept..., base, spans): arrays of (start, kind, end) in order; ``spans`` holds the base spans and the words."""
     names = [f"kept{i}" for i in range(len(kept))]
     found = _found(docs, rule, *[c.alias(n) for c, n in zip(kept, names)])
-    told = bounded(disclosing(docs, found, rule).select("entity", "term", "kind"), rule.sent)
-    beside = found.filter(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*").filter("term is not null")
-    words = beside.join(told, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("kind").alias("kind"))
+    words = (_words_whole if rule.reach is None else _words_near)(docs, found, rule)
     extra = words.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("extra"))
-    plain, to_join = found.filter(F.size("near") == 0), found.filter(F.size("near") > 0)
+    plain, to_join = found.filter(F.size("base") == 0), found.filter(F.size("base") > 0)
     joined = to_join.join(extra, "row", "left")
     spans = F.array_sort(F.concat("base", F.coalesce("extra", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))))
     return plain.select(*names, "base", F.col("base").alias("spans")).unionByName(joined.select(*names, "base", spans.alias("spans")))

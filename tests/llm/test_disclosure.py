@@ -226,3 +226,98 @@ def test_empty_table_and_other_columns(spark, documents):
 def test_no_python_in_the_plan(spark, documents):
     plan = disclosure.report(documents(corpus()))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def plain_whole(docs, rule):
+    """As ``plain`` for whole texts: every base span is an entity, and every word of a document stands beside it."""
+    texts = [t or "" for _, t in docs]
+    based = [base(t) for t in texts]
+    total, n_entity, n_term, n_pair, seen = len(docs), Counter(), Counter(), Counter(), defaultdict(set)
+
+    def entity(text, s, k, e):
+        return k, text[s:e].lower() if k == 0 else text[s:e] if k == 1 else tuple(digits(text[s:e]))
+
+    held = [{entity(t, *b) for b in bs} for t, bs in zip(texts, based)]
+    for text, entities in zip(texts, held):
+        words = {w.lower() for w in regex.findall(r"\p{L}+", text) if len(w) >= rule.least_chars}
+        terms = words | {family(w, rule) for w in words} - {None}
+        n_entity.update(entities)
+        n_term.update(terms)
+        n_pair.update((e, x) for e in entities for x in terms)
+        for e in entities:
+            for x in terms:
+                seen[e, x].add(text)
+
+    def tells(e, term):
+        if len(seen[e, term]) < rule.least_texts or n_entity[e] == total:
+            return False
+        pmi = math.log2(n_pair[e, term] * total / (n_entity[e] * n_term[term]))
+        return pmi / math.log2(total / n_entity[e]) >= rule.disclosed
+
+    rows = []
+    for (doc_id, _), text, bs, entities in zip(docs, texts, based, held):
+        mails = [(s, e) for s, k, e in bs if k == 0]
+        extra = []
+        for begin, end in zip([0, *[e for _, e in mails]], [*[s for s, _ in mails], len(text)]):
+            for m in regex.finditer(r"\p{L}+", text[begin:end]):
+                term = m.group().lower()
+                told = [5 if not family(term, rule) or tells(e, family(term, rule)) else 4 for e in entities if len(term) >= rule.least_chars and tells(e, term)]
+                extra += [(begin + m.start(), max(told), begin + m.end())] if told else []
+        rows.append((doc_id, [sum(k == i for _, k, _ in bs) for i in range(4)], bs, sorted(bs + extra)))
+    return rows
+
+
+WHOLE = Disclosure(reach=None)
+
+
+def test_words_far_from_the_entity(spark, documents, tmp_path):
+    docs = corpus()
+    documents(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = plain_whole(docs, WHOLE)
+    assert sorted((tuple(r) for r in QUERIES["op11_pii"](spark, str(tmp_path)).collect()), key=str) == digest(rows)
+    texts = {d: t for d, t in docs}
+    spans = {d: [texts[d][s:e].lower() for s, k, e in sp if k > 3] for d, _, _, sp in rows}
+    # The second 'quillon' ends a text that names the address 30 words before; no document without an entity loses it.
+    assert [w for w in spans[200] if w == "quillon"] == ["quillon"] * 2 and texts[200].endswith("quillon")
+    assert spans[400] == []
+
+
+def test_words_behind_other_entities_and_ends(spark, documents):
+    docs = [(i, f"filler words of many kinds {i}") for i in range(60)]
+    far = "a b c " * 40
+    for i in range(4):
+        docs.append((100 + i, f"Quillon {far} ann@example.org, x{i}@y.org 1.2.3.4 +1 {i} zoé {far}Ingvild"))
+        docs.append((200 + i, f"Rhubarb 300.1.1.1 378282246310005@mail.test {i} Ivor éann@b.co {far} rhubarb İstanbul"))
+    rows = plain_whole(docs, WHOLE)
+    assert result(documents(docs), WHOLE) == digest(rows)
+    texts = {d: t for d, t in docs}
+    words = {d: [texts[d][s:e] for s, k, e in sp if k > 3] for d, _, _, sp in rows}
+    assert words[100] == ["Quillon", "Ingvild"] and words[200] == ["Rhubarb", "Ivor", "rhubarb", "İstanbul"]
+
+
+@pytest.mark.parametrize("rule", [WHOLE, Disclosure(reach=None, sent=0), Disclosure(reach=None, disclosed=0.3, least_texts=2, family=2, sent=0), Disclosure(reach=None, disclosed=0.0, least_texts=1), Disclosure(reach=None, disclosed=-0.5)])
+def test_whole_texts(spark, documents, rule):
+    rng = random.Random(12)
+    words = [a + b for a in ("alp", "bet", "gam", "delt", "x") for b in ("a", "ine", "oid", "ule", "A", "ÉS")]
+    entities = [f"user{i}@mail{i % 3}.example.org" for i in range(5)] + ["+1 555 123 4567", "+1 (555) 123-4567", "10.2.3.4", "4111 1111 1111 1111"]
+    docs = [(i, " , ".join(rng.sample(words, rng.randint(1, 4)) + [e for e in entities if rng.random() < 0.06] + rng.sample(words, 3))) for i in range(300)]
+    # Entities of the same texts, copies, and a text of all entities.
+    docs += [(1000 + i, f"Zacharias {entities[4]} twin@example.org twin2@example.org {words[i]} {words[i + 7]}") for i in range(6)] * 2
+    docs += [(2000 + i, f"{docs[i % 3][1]}") for i in range(40)] + [(3000, " ".join(entities + words)), (None, None), (3000, "")]
+    rows = plain_whole(docs, rule)
+    assert sum(k > 3 for _, _, _, s in rows for _, k, _ in s) > 5
+    assert result(documents(docs), rule) == digest(rows)
+
+
+def test_sanitised_whole_texts(spark, documents):
+    docs = [(i, "filler words of many kinds") for i in range(50)] + [(60 + i, f"Quillon {'a b ' * 50}{i} ann@example.org") for i in range(3)]
+    got = {r.doc_id: r.text for r in disclosure.sanitise(documents(docs), WHOLE).collect()}
+    assert got == dict(docs[:50]) | {60 + i: f"[REMOVED] {'a b ' * 50}{i} [EMAIL]" for i in range(3)}
+
+
+def test_long_whole_texts(spark, documents):
+    many = " ".join(f"user{i}@mail.example.org word{chr(97 + i % 26) * 3}" for i in range(20_000))
+    docs = [(i, f"{many} {i} Quillon") for i in range(3)] + [(9 + i, "filler text") for i in range(20)]
+    rows = {r[0]: r for r in result(documents(docs), WHOLE)}
+    # 26 different words at 20,000 places, and 'Quillon'.
+    assert [rows[i][1] for i in range(3)] == [20_000] * 3 and [rows[i][-1].count("removed") for i in range(3)] == [20_001] * 3
